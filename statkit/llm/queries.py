@@ -5,13 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, exact_dup, mixing
+from . import chat, exact_dup, licences, mixing
 from .common import table
 
 MIX_WEIGHTS = [5.0, 2.0, 1.0]
 ODD_TURN = "</s>[INST] ok [/INST]"
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan_licences(table(spark, sf_dir, "documents")).drop("detections")
+
+
 def op4_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mix = mixing.pareto_mix(table(spark, sf_dir, "documents"), MIX_WEIGHTS, share=1.5, most=2.0)
     return mix.select("doc_id", "size", "source_size", "target", "taken", "copies")
@@ -29,6 +33,7 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_license_scan": op1_license_scan,
     "op4_pareto_mix": op4_pareto_mix,
     "op6_chat_format": op6_chat_format,
     "op7_exact_dedup": op7_exact_dedup,
