@@ -14,8 +14,8 @@ from .common import LOWER, UPPER, whole_text
 from .license_rules import CONFIDENCE, rules
 
 WORD = "0-9A-Za-z\\x{80}-\\x{10FFFF}"
-#: Every rule's matches hold one of these, in any case.
-GATE = "(?i)licen[sc]|copyright|copyleft|spdx|rights|vorbehalten|droits|derechos|public|cc0|cc[^0-9a-z\\x{80}-\\x{10FFFF}]+by|gpl|wtfpl|cecill|confidential|terms|bsd|sspl|mpl|eupl|creative|aws|ofl|opensource|uganda|lppl|legal|documents|libpng|boost|attribution"
+#: Every rule's matches hold a word that begins with one of these, in any case.
+GATE = f"(?i)[^{WORD}](?:licen[sc]|copy(?:right|left)|spdx|rights|vorbehalten|droits|derechos|public|cc0|cc[^{WORD}]+by|[al]?gpl|wtfpl|cecill|confidential|terms|bsd|sspl|mpl|eupl|creative|unlicense|aws|ofl|opensource|uganda|lppl|legal|documents|libpng|boost|attribution)"
 
 
 def _spaces(text: Column) -> Column:
@@ -48,7 +48,7 @@ def scan_licences(docs: DataFrame) -> DataFrame:
     table = F.array(*[F.struct(F.lit(k).alias("keyword"), F.lit(r).alias("regex"), F.lit(label).alias("label"), F.lit(rank).alias("rank"), F.lit(i).alias("place"), F.lit(base).alias("base")) for i, (k, r, label, rank, base) in enumerate(rules())])
     rows = docs.select("doc_id", whole_text().alias("body"))
     words = F.concat(F.lit(" "), F.trim(F.regexp_replace(F.translate("body", UPPER, LOWER), f"[^{WORD}]+", " ")), F.lit(" "))
-    rows = rows.select("doc_id", F.regexp_count("body", F.lit(f"[{WORD}]+")).cast("long").alias("n_words"), F.when(F.col("body").rlike(GATE), words).alias("words"))
+    rows = rows.select("doc_id", F.regexp_count("body", F.lit(f"[{WORD}]+")).cast("long").alias("n_words"), F.when(F.concat(F.lit(" "), "body").rlike(GATE), words).alias("words"))
     words = F.col("words")
     found = F.flatten(F.transform(F.filter(table, lambda r: F.contains(words, r["keyword"])), lambda r: _spans(words, r)))
     rows = rows.select("doc_id", "n_words", F.coalesce(F.when(words.isNotNull(), F.sort_array(found)), F.expr("cast(array() as array<struct<start:int,till:int,rank:int,place:int,label:string,base:boolean>>)")).alias("detections"))
