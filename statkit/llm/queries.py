@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, exact_dup, licences, mixing
+from . import chat, exact_dup, licences, mixing, pii
 from .common import table
 
 MIX_WEIGHTS = [5.0, 2.0, 1.0]
@@ -32,11 +32,17 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_personal_data(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2(pii.shown("base").cast("binary"), 256).alias("base_sha256"), pii.shown("redactions").alias("spans"))
+
+
 QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op4_pareto_mix": op4_pareto_mix,
     "op6_chat_format": op6_chat_format,
     "op7_exact_dedup": op7_exact_dedup,
+    "op10_pii": op10_pii,
 }
 
 _SHOWN = "length({0}) + length({0}) - length(replace({0}, chr(92), ''))"
