@@ -1 +1,8 @@
 """Operators for preparing language-model training data at scale."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions of this package travel to the executors by value, so that executors need not have it installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, exact_dup, licences, mixing, pii
+from . import chat, exact_dup, licences, mixing, near_dup, pii
 from .common import table
 
 MIX_WEIGHTS = [5.0, 2.0, 1.0]
@@ -21,6 +21,10 @@ def op4_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix.select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
+def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents"), width=3, percent=85, bands=24, rows=4)
+
+
 def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     odd = spark.range(1).select(F.lit(-1).cast("long").alias("conv_id"), F.posexplode(F.array(F.lit("user"), F.lit("assistant"))).alias("turn", "role"), F.lit(ODD_TURN).alias("text"))
@@ -40,6 +44,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op4_pareto_mix": op4_pareto_mix,
+    "op5_minhash_near_dedup": op5_minhash_near_dedup,
     "op6_chat_format": op6_chat_format,
     "op7_exact_dedup": op7_exact_dedup,
     "op10_pii": op10_pii,
@@ -50,6 +55,20 @@ for _control in chat.CONTROL:
     _SHOWN += f" + (length({{0}}) - length(replace({{0}}, '{_control}', ''))) // {len(_control)}"
 
 ORACLE = {
+    "op5_minhash_near_dedup": """
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS ws FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 3 THEN [array_to_string(ws, ' ')]
+    ELSE list_transform(range(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2]) END) AS g FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+e AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * k >= 85 * (x.n + y.n - k)),
+u AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
+r AS (SELECT doc_id AS node, doc_id AS seen FROM documents UNION SELECT r.node, u.b FROM r JOIN u ON u.a = r.seen),
+c AS (SELECT node, min(seen) AS component_id FROM r GROUP BY node)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, c.component_id, d.doc_id = c.component_id AS kept
+FROM documents d JOIN c ON c.node = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id""",
     "op6_chat_format": f"""
 WITH t AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
