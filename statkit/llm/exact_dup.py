@@ -5,8 +5,8 @@ min/max statistics on the digest (level 0). Compaction merges runs by digest and
 number of rows (level 1). Digests with more than one row are hits; their texts are compared byte by byte with the text of
 the row that stays, and rows whose bytes differ (a digest collision) are grouped anew by their bytes.
 
-Only hits' texts move: a row's text is shuffled if its digest falls into a bucket of the digest space that holds a hit.
-A hot group of copies is salted over many tasks.
+Mostly hits' texts move: a row's text is shuffled if a filter of bounded size can't tell that its digest is no hit. A hot
+group of copies is salted over many tasks.
 """
 
 from __future__ import annotations
@@ -16,8 +16,9 @@ from pyspark.sql import functions as F
 
 from .common import stored, whole_text
 
-FILTER_BITS = 16  #: buckets of the hit filter: 2 ** 16 rows at most are broadcast
-SALT_ROWS = 512  #: rows of one digest that share a verification task
+FILTER_ROWS = 1 << 20  #: a hit filter has 128 buckets for each hit, and 2 ** 21 in all beyond so many hits; so its broadcast is bounded
+SALT_ROWS = 512  #: rows of one hot digest that share a verification task
+HOT_DIGESTS = 10_000  #: a digest is hot with more than SALT_ROWS rows and 1 / HOT_DIGESTS of all rows; so there are fewer of them
 
 
 def digest_of(text: Column, bits: int = 256) -> Column:
@@ -36,9 +37,12 @@ def compact(runs: DataFrame, keep: str = "smallest") -> DataFrame:
     return runs.groupBy("digest").agg(chosen.alias("keep_id"), F.count(F.lit(1)).alias("n"))
 
 
-def bucket(digest: Column) -> Column:
-    """Which of 2 ** FILTER_BITS buckets of the hit filter a digest falls into."""
-    return F.pmod(F.xxhash64(digest), F.lit(1 << FILTER_BITS)).cast("int")
+def maybe_in(rows: DataFrame, *key: str, hits: DataFrame, of: list[str], n: int) -> DataFrame:
+    """rows whose key may be one of the n hits' columns `of`: a broadcast filter without false negatives."""
+    bits = n.bit_length() + 7 if n <= FILTER_ROWS else 21
+    place = lambda columns: F.pmod(F.xxhash64(*columns), F.lit(1 << bits))
+    found = F.broadcast(hits.select(place(of).alias("__place")).distinct())
+    return rows.withColumn("__place", place(key)).join(found, "__place", "left_semi").drop("__place")
 
 
 def exact_duplicates(docs: DataFrame, keep: str = "smallest", digest_bits: int = 256) -> DataFrame:
@@ -56,14 +60,16 @@ def exact_duplicates(docs: DataFrame, keep: str = "smallest", digest_bits: int =
     hits = index.filter("n > 1")
     single = runs.join(index.filter("n = 1"), "digest").select("doc_id", "digest", "keep_id", F.col("n").alias("group_size"))
 
-    filtered = F.broadcast(hits.select(bucket(F.col("digest")).alias("bucket")).distinct())
+    n_hits, n_rows = hits.count(), runs.count()
     texts = docs.select("doc_id", whole_text().alias("body")).withColumn("digest", digest_of(F.col("body"), digest_bits))
-    texts = texts.withColumn("bucket", bucket(F.col("digest"))).join(filtered, "bucket", "left_semi").drop("bucket")
-    salts = F.ceil(F.col("n") / SALT_ROWS).cast("int")
-    members = texts.join(hits, "digest").withColumn("salt", F.pmod(F.xxhash64("doc_id"), salts).cast("int"))
-    keepers = texts.join(hits, "digest").filter(F.col("doc_id").eqNullSafe(F.col("keep_id")))
-    keepers = keepers.groupBy("digest", "n").agg(F.max("body").alias("kept_body"))
-    keepers = keepers.select("digest", "kept_body", F.explode(F.sequence(F.lit(0), salts - 1)).alias("salt"))
+    texts, all_texts = maybe_in(texts, "digest", hits=hits, of=["digest"], n=n_hits), texts
+    keepers = maybe_in(all_texts, "digest", "doc_id", hits=hits, of=["digest", "keep_id"], n=n_hits).withColumnRenamed("digest", "d2")
+    keepers = keepers.join(hits, (F.col("d2") == F.col("digest")) & F.col("doc_id").eqNullSafe(F.col("keep_id")))
+    keepers = keepers.groupBy("digest", "keep_id", "n").agg(F.max("body").alias("kept_body"))
+    salts = F.when(F.col("n") > max(SALT_ROWS, n_rows // HOT_DIGESTS), F.ceil(F.col("n") / SALT_ROWS).cast("int")).otherwise(1)
+    keepers = keepers.select("digest", "keep_id", "n", "kept_body", F.explode(F.sequence(F.lit(0), salts - 1)).alias("salt"))
+    hot = hits.select("digest", salts.alias("salts")).filter("salts > 1")
+    members = texts.join(F.broadcast(hot), "digest", "left").withColumn("salt", F.coalesce(F.pmod(F.xxhash64("doc_id"), "salts"), F.lit(0)).cast("int"))
     verified = members.join(keepers, ["digest", "salt"]).select("doc_id", "digest", "keep_id", "n", (F.col("body") == F.col("kept_body")).alias("same"))
     verified = stored(verified, "verified")
 
