@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, exact_dup, licences, mixing, near_dup, packing, pii
+from . import chat, exact_dup, langid, licences, mixing, near_dup, packing, pii
 from .common import table
 
 MIX_WEIGHTS = [5.0, 2.0, 1.0]
@@ -20,6 +20,11 @@ def op2_best_fit_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), capacity=2048)
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)) == 2
+    return langid.identify_languages(table(spark, sf_dir, "documents"), held_out)
+
+
 def op4_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mix = mixing.pareto_mix(table(spark, sf_dir, "documents"), MIX_WEIGHTS, share=1.5, most=2.0)
     return mix.select("doc_id", "size", "source_size", "target", "taken", "copies")
@@ -48,6 +53,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op2_best_fit_pack": op2_best_fit_pack,
+    "op3_language_id": op3_language_id,
     "op4_pareto_mix": op4_pareto_mix,
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
     "op6_chat_format": op6_chat_format,
