@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, exact_dup, langid, licences, mixing, near_dup, packing, pii
+from . import chat, exact_dup, langid, licences, mixing, near_dup, packing, pii, quality, topk
 from .common import table
 
 MIX_WEIGHTS = [5.0, 2.0, 1.0]
@@ -45,6 +45,16 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def op8_mtree_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.pmod(F.col("vec_id"), F.lit(100)) == 0, k=10)
+
+
+def op9_cotrain_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang", "n_chars")
+    scored = quality.score_quality(docs, table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", F.col("__t").alias("text_score"), F.col("__p").alias("page_score"), F.col("__q").alias("score"), (F.col("__q") >= 0.5).alias("kept"))
+
+
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find_personal_data(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2(pii.shown("base").cast("binary"), 256).alias("base_sha256"), pii.shown("redactions").alias("spans"))
@@ -58,6 +68,8 @@ QUERIES = {
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
     "op6_chat_format": op6_chat_format,
     "op7_exact_dedup": op7_exact_dedup,
+    "op8_mtree_topk": op8_mtree_topk,
+    "op9_cotrain_quality": op9_cotrain_quality,
     "op10_pii": op10_pii,
 }
 
@@ -66,6 +78,15 @@ for _control in chat.CONTROL:
     _SHOWN += f" + (length({{0}}) - length(replace({{0}}, '{_control}', ''))) // {len(_control)}"
 
 ORACLE = {
+    "op8_mtree_topk": """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.e, c.e)::BIGINT AS score
+  FROM v q JOIN v c ON c.vec_id <> q.vec_id WHERE q.vec_id % 100 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM p)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= 10""",
     "op5_minhash_near_dedup": """
 WITH RECURSIVE w AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS ws FROM documents),
