@@ -173,3 +173,9 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: i
     out = sketch.select("doc_id", "n_shingles", "digest").join(labels, "digest", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("root", "doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+
+
+def drop_near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+    """docs without the rows whose component a smaller doc_id stands for; all columns of docs. Rows with null doc_id stay."""
+    lost = near_duplicates(docs, width, percent).filter("not kept").select(F.col("doc_id").alias("__lost")).distinct()
+    return docs.join(lost, F.col("doc_id") == F.col("__lost"), "left_anti")
