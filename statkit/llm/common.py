@@ -40,3 +40,8 @@ def unit_hash(seed: int, *columns: Column) -> Column:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def broadcast_if(df: DataFrame, rows: int, most: int = 100_000) -> DataFrame:
+    """df marked for broadcast if its known number of rows is at most `most`; else as it is, for a shuffled join."""
+    return F.broadcast(df) if rows <= most else df

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stored, unit_hash, whole_text
+from .common import broadcast_if, stored, unit_hash, whole_text
 
 GRID = 1 << 14  #: slices of the ranks of a source
 
@@ -68,9 +68,11 @@ def pareto_mix(docs: DataFrame, weights: list[float], share: float = 1.5, most:
     per = per.withColumn("whole", F.coalesce(F.floor(F.try_divide(F.col("target"), F.col("source_size")) + F.lit(1e-12)), F.lit(0)).cast("long"))
     per = stored(per.withColumn("quota", F.greatest(F.round(F.col("target") - F.col("whole") * F.col("source_size")), F.lit(0.0)).cast("long")), "targets")
 
+    sources = per.count()
+
     chance = F.try_divide(F.col("quota") * F.sqrt(F.col("size").cast("double")), F.col("root"))
     chance = F.least(F.greatest(F.coalesce(chance, F.lit(0.0)), F.lit(1e-9)), F.lit(1 - 1e-9))
-    ranked = rows.join(per.withColumnRenamed("source", "s2"), F.col("source").eqNullSafe(F.col("s2"))).drop("s2")
+    ranked = rows.join(broadcast_if(per.withColumnRenamed("source", "s2"), sources), F.col("source").eqNullSafe(F.col("s2"))).drop("s2")
     odds = F.log(F.col("u") / (1 - F.col("u"))) - F.log(chance / (1 - chance))
     ranked = ranked.withColumn("rank", odds).withColumn("slice", F.least(F.greatest(F.floor((F.col("rank") + 32) * (GRID / 64)), F.lit(0)), F.lit(GRID - 1)).cast("int"))
 
@@ -82,7 +84,7 @@ def pareto_mix(docs: DataFrame, weights: list[float], share: float = 1.5, most:
     full = slices.filter(F.col("before") + F.col("words") <= F.col("quota")).groupBy("source").agg(F.max("slice").alias("last"))
     cuts = per.select("source").join(edge, F.col("source").eqNullSafe(F.col("s2")), "left").drop("s2")
     cuts = cuts.join(full.withColumnRenamed("source", "s3"), F.col("source").eqNullSafe(F.col("s3")), "left").drop("s3").withColumnRenamed("source", "s2")
-    ranked = ranked.join(cuts, F.col("source").eqNullSafe(F.col("s2"))).drop("s2")
+    ranked = ranked.join(broadcast_if(cuts, sources), F.col("source").eqNullSafe(F.col("s2"))).drop("s2")
 
     inside = ranked.filter(F.col("slice").eqNullSafe(F.col("edge")))
     ordered = Window.partitionBy("source").orderBy("rank", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)

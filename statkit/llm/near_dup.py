@@ -5,10 +5,12 @@ MinHash signature: a first permutation of the 64-bit shingle codes, then coordin
 permutation of the code shifted by k. Documents with the same set are one class from there on. Signatures are cut into
 bands; classes that share a band are candidates, and each link is confirmed on the full sets.
 
-Within a band's bucket not all pairs are compared. Members are ranked; round j compares the ranks from 2 ** j to
-2 ** (j + 1) - 1 with all later members that are not in the same component yet, then components are joined. A bucket of
-near copies collapses in the first rounds; a bucket without links is compared in full. So no link between different texts
-is lost to a cap, and a hot bucket's pairs are dealt out by a join.
+A bucket's pairs are never emitted. First each bucket's smallest member is compared with its others, which collapses
+groups of near copies, and components are joined. Buckets that still hold several components are then compared in full,
+in blocks: members are cut into chunks of BLOCK shingles, each pair of chunks meets in a task of bounded size, where all
+intersections come from a matrix product, and only a spanning forest of the links leaves the task. So no link between
+different texts is lost to a cap. Star pairs whose set sizes exclude a link, or whose signatures agree in far too few
+coordinates for one, are not loaded.
 """
 
 from __future__ import annotations
@@ -25,6 +27,8 @@ from .common import stored
 from .components import connected
 
 M64 = (1 << 64) - 1
+BLOCK = 1 << 16  #: shingles of a chunk at most, but for a single longer text
+SLACK = 6.0  #: standard deviations below the expected number of equal coordinates of a just linked pair
 SHINGLE = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63)  #: odd multipliers of a shingle's words
 
 
@@ -80,18 +84,32 @@ def _sketches(width: int, bands: int, rows: int):
         codes = Words()
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1)
-            n, digests, keys = [], [], []
+            n, digests, keys, short = [], [], [], []
             for text in texts:
                 s = shingle_codes(text.as_py(), width, codes)
                 n.append(len(s))
                 if not len(s):
                     digests.append(None)
                     keys.append(None)
+                    short.append(None)
                     continue
                 digests.append(xxhash.xxh3_128_digest(s.tobytes()))
                 sig = signature(s, bands * rows).reshape(bands, rows)
+                short.append((sig & np.uint64(255)).astype(np.uint8).tobytes())
                 keys.append([xxhash.xxh3_64_intdigest(bytes([b & 255, b >> 8]) + sig[b].tobytes()) - (1 << 63) for b in range(bands)])
-            yield pa.RecordBatch.from_arrays([ids, pa.array(n, pa.int64()), pa.array(digests, pa.binary()), pa.array(keys, pa.list_(pa.int64()))], names=["doc_id", "n_shingles", "digest", "bands"])
+            yield pa.RecordBatch.from_arrays([ids, pa.array(n, pa.int64()), pa.array(digests, pa.binary()), pa.array(keys, pa.list_(pa.int64())), pa.array(short, pa.binary())], names=["doc_id", "n_shingles", "digest", "bands", "short"])
+
+    return run
+
+
+def _likely(least: int):
+    """Of rows (left, right, left signature, right signature), one byte a coordinate: pairs that agree in `least` places."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                x, y = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(batch.num_rows, -1) for i in (2, 3))
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array((x == y).sum(axis=1) >= least))
 
     return run
 
@@ -119,6 +137,55 @@ def _links(width: int, percent: int):
     return run
 
 
+def common(sets: list[np.ndarray]) -> np.ndarray:
+    """The sizes of all intersections: codes that many sets hold by a matrix product, the others by counting pairs."""
+    m = len(sets)
+    codes = np.concatenate(sets)
+    owner = np.repeat(np.arange(m), [len(s) for s in sets])
+    order = np.argsort(codes, kind="stable")
+    codes, owner = codes[order], owner[order]
+    first = np.flatnonzero(np.concatenate(([True], codes[1:] != codes[:-1])))
+    df = np.diff(np.append(first, len(codes)))
+    out = np.zeros((m, m))
+    many = np.flatnonzero(df > 8)
+    for at in range(0, len(many), 4096):
+        part = many[at : at + 4096]
+        x = np.zeros((m, len(part)), np.float32)
+        rows = np.concatenate([owner[first[c] : first[c] + df[c]] for c in part])
+        x[rows, np.repeat(np.arange(len(part)), df[part])] = 1
+        out += x @ x.T
+    for n in range(2, 9):
+        places = first[df == n]
+        for a in range(n):
+            for b in range(a + 1, n):
+                out += np.bincount(owner[places + a] * m + owner[places + b], minlength=m * m).reshape(m, m)
+    return np.maximum(out, out.T)
+
+
+def _blocks(width: int, percent: int):
+    """Of a block (head, root, body): a spanning forest of the links between its members of different components."""
+
+    def run(block: pa.Table) -> pa.Table:
+        heads, at = np.unique(block.column("head").to_numpy(), return_index=True)
+        roots = block.column("root").to_numpy()[at]
+        codes, texts = Words(), block.column("body")
+        sets = [shingle_codes(texts[int(i)].as_py(), width, codes) for i in at]
+        size = np.array([len(s) for s in sets])
+        both = common(sets)
+        near = (100 * both >= percent * (size[:, None] + size[None, :] - both)) & (roots[:, None] != roots[None, :])
+        label = np.arange(len(heads))
+        while True:
+            low = np.minimum(label, np.where(near, label[None, :], len(heads)).min(axis=1, initial=len(heads)))
+            low = low[low]
+            if (low == label).all():
+                break
+            label = low
+        moved = np.flatnonzero(label != np.arange(len(heads)))
+        return pa.table({"a": pa.array(heads[moved], pa.int64()), "b": pa.array(heads[label[moved]], pa.int64())})
+
+    return run
+
+
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: int = 24, rows: int = 4) -> DataFrame:
     """A row per row of docs: doc_id, n_shingles, component_id, kept.
 
@@ -131,39 +198,41 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: i
     nothing. Rows with null doc_id have null component_id and are kept; they link nothing. Repeated rows (same doc_id and
     text) get the same answer each. An empty table gives no rows.
     """
-    sketch = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_sketches(width, bands, rows), "doc_id long, n_shingles long, digest binary, bands array<long>")
+    sketch = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_sketches(width, bands, rows), "doc_id long, n_shingles long, digest binary, bands array<long>, short binary")
     sketch = stored(sketch, "sketches")
     sets = sketch.filter("doc_id is not null and digest is not null")
-    classes = stored(sets.groupBy("digest").agg(F.min("doc_id").alias("head"), F.min_by("bands", "doc_id").alias("bands")), "classes")
-    keys = classes.select("head", F.explode("bands").alias("band"))
+    classes = stored(sets.groupBy("digest").agg(F.min("doc_id").alias("head"), F.min_by(F.struct("bands", "short"), "doc_id").alias("s"), F.min("n_shingles").alias("size")), "classes")
+    keys = classes.select("head", "size", F.explode("s.bands").alias("band"))
     shared = keys.groupBy("band").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     members = stored(keys.join(shared, "band").withColumn("rank", F.row_number().over(Window.partitionBy("band").orderBy("head"))), "members")
     largest = members.agg(F.max("n")).first()[0] or 0
 
     involved = members.select("head").distinct()
+    shorts = classes.select("head", F.col("s.short").alias("short"))
+    linked = percent / 100
+    least = int(bands * rows * linked - SLACK * (bands * rows * linked * (1 - linked)) ** 0.5)
     texts = stored(docs.select(F.col("doc_id").cast("long").alias("head"), F.col("text").alias("body")).join(involved, "head", "left_semi").dropDuplicates(["head"]), "texts", compression="zstd") if largest else None
-    links, roots = None, None
-    low = 1
-    while low < largest:
-        here = members.filter(F.col("n") > low) if roots is None else members.filter(F.col("n") > low).join(roots.withColumnRenamed("node", "head"), "head", "left").withColumn("root", F.coalesce("root", "head"))
-        centres = here.filter(F.col("rank").between(low, 2 * low - 1))
-        pairs = centres.select("band", F.col("head").alias("a"), F.col("rank").alias("ra"), *(["root"] if roots is not None else []))
-        right = here.select("band", F.col("head").alias("b"), F.col("rank").alias("rb"), *([F.col("root").alias("rootb")] if roots is not None else []))
-        pairs = pairs.join(right, "band").filter("rb > ra")
-        if roots is not None:
-            pairs = pairs.filter("root <> rootb")
-        pairs = stored(pairs.select("a", "b").distinct(), "pairs")
-        low *= 2
-        if not pairs.take(1):
-            continue
-        loaded = pairs.join(texts.select(F.col("head").alias("b"), F.col("body").alias("right")), "b").join(texts.select(F.col("head").alias("a"), F.col("body").alias("left")), "a")
-        found = loaded.select("a", "b", "left", "right").mapInArrow(_links(width, percent), "a long, b long")
-        found = stored(found, "links")
-        if not found.take(1):
-            continue
-        links = found if links is None else links.unionByName(found)
+    roots = None
+    if largest:
+        star = members.filter("rank = 1").select("band", F.col("head").alias("a"), F.col("size").alias("na"))
+        pairs = star.join(members.filter("rank > 1").select("band", F.col("head").alias("b"), F.col("size").alias("nb")), "band")
+        pairs = pairs.filter(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")).select("a", "b").distinct()
+        pairs = pairs.join(shorts.toDF("a", "sa"), "a").join(shorts.toDF("b", "sb"), "b").select("a", "b", "sa", "sb").mapInArrow(_likely(least), "a long, b long")
+        loaded = pairs.join(texts.toDF("b", "right"), "b").join(texts.toDF("a", "left"), "a")
+        links = stored(loaded.select("a", "b", "left", "right").mapInArrow(_links(width, percent), "a long, b long"), "links")
         roots = stored(connected(links), "roots")
 
+        here = members.filter("n > 2").join(roots.withColumnRenamed("node", "head"), "head", "left").withColumn("root", F.coalesce("root", "head"))
+        upto = Window.partitionBy("band").orderBy("rank").rowsBetween(Window.unboundedPreceding, 0)
+        here = here.withColumn("chunk", F.floor(F.sum("size").over(upto) / BLOCK))
+        parted = here.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.max("chunk").alias("chunks")).filter("low <> high")
+        here = here.join(parted.select("band", "chunks"), "band").select("band", "head", "root", "chunk", "chunks")
+        blocks = here.join(texts, "head").withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks"))))
+        blocks = blocks.groupBy("band", F.least("chunk", "other").alias("low"), F.greatest("chunk", "other").alias("high"))
+        more = stored(blocks.applyInArrow(_blocks(width, percent), "a long, b long"), "links")
+        if more.take(1):
+            roots = stored(connected(links.unionByName(more)), "roots")
+
     labels = classes.select("digest", "head")
     if roots is not None:
         labels = labels.join(roots.withColumnRenamed("node", "head"), "head", "left")
