@@ -1 +1 @@
-"""Part of statkit."""
+"""statkit: Spark building blocks for public-statistics data."""

@@ -1 +1 @@
-"""Part of statkit."""
+"""Column functions: text, codes and periods."""

@@ -1 +1 @@
-"""Part of statkit."""
+"""Operators over tables: lookups, reshaping, rates, ranking, checks, loads, cells and indicators."""

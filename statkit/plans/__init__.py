@@ -1 +1,6 @@
-"""Part of statkit."""
+"""Registered queries over the test tables, each with DuckDB SQL where that can express it."""
+
+from statkit.plans import cleaning, joins, loading, measures, shapes, sourcing
+from statkit.plans.registry import ORACLE, QUERIES
+
+__all__ = ["ORACLE", "QUERIES", "cleaning", "joins", "loading", "measures", "shapes", "sourcing"]

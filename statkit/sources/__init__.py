@@ -1 +1 @@
-"""Part of statkit."""
+"""Scans of landed files."""

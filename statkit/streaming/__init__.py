@@ -1 +1 @@
-"""Part of statkit."""
+"""Incremental ingestion as file streams."""
