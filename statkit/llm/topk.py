@@ -1,8 +1,8 @@
 """Exact top-k inner-product search with an M-tree.
 
-Vectors are indexed by Euclidean distance: a bounded set of pivots is drawn, each vector goes to its nearest pivot, and a
-pivot's vectors are cut into pages. A page stores its centre, its covering radius, its largest norm and each entry's
-distance to the centre (parent distance). Since x.y = (|x|^2 + |y|^2 - |x - y|^2) / 2, a lower bound on the distance is an
+Vectors are indexed by Euclidean distance: a bounded set of pivots (the root's routing objects) is drawn, each vector goes
+to its nearest pivot, and a pivot's vectors are cut by their distance into pages. The page table stores each entry's
+distance to its pivot (parent distance); a page's covering ring and largest norm follow from its entries. Since x.y = (|x|^2 + |y|^2 - |x - y|^2) / 2, a lower bound on the distance is an
 upper bound on the inner product. Queries are taken in blocks of bounded size; a block first reads, of a bounded sample of
 vectors, its k best scores as a threshold, then each task visits its pages best first: a page, and an entry by its parent
 distance, is passed over where the triangle inequality shows that it can't reach the query's k-th score so far.
@@ -67,10 +67,10 @@ class Best:
         self.least[q] = np.maximum(self.least[q], self.score[q, -1])
 
 
-def visit(best: Best, q: np.ndarray, q_ids: np.ndarray, ids: np.ndarray, x: np.ndarray, centre: np.ndarray, parent: np.ndarray, radius: float, norm: float, to_centre: np.ndarray) -> int:
+def visit(best: Best, q: np.ndarray, q_ids: np.ndarray, ids: np.ndarray, x: np.ndarray, parent: np.ndarray, norm: float, to_centre: np.ndarray) -> int:
     """One page for all queries whose bound allows it; the number of inner products computed."""
     square = (q**2).sum(axis=1)
-    nearest = np.maximum(to_centre - radius, 0.0)
+    nearest = np.maximum(np.maximum(to_centre - parent.max(), parent.min() - to_centre), 0.0)
     may = np.flatnonzero((square + norm**2 - nearest**2) / 2 + 1e-6 * (1 + square) >= best.least)
     if not len(may):
         return 0
@@ -86,25 +86,23 @@ def visit(best: Best, q: np.ndarray, q_ids: np.ndarray, ids: np.ndarray, x: np.n
     return len(may) * len(columns)
 
 
-def _searched(q_ids: np.ndarray, q: np.ndarray, least: np.ndarray, k: int):
+def _searched(q_ids: np.ndarray, q: np.ndarray, least: np.ndarray, k: int, pivots: np.ndarray):
     """Rows (vec_id, v, pivot, away, page), grouped by page: this task's k best of each query."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best, square = Best(len(q_ids), k, least), (q**2).sum(axis=1)
+        best = Best(len(q_ids), k, least)
+        to_pivot = np.sqrt(np.maximum((q**2).sum(axis=1)[:, None] + (pivots**2).sum(axis=1)[None, :] - 2 * (q @ pivots.T), 0.0))
         for batch in batches:
             if not batch.num_rows:
                 continue
             page = batch.column("page").to_numpy(zero_copy_only=False)
             ids, x = batch.column("vec_id").to_numpy(zero_copy_only=False), matrix(batch.column("v"))
             cuts = [0, *(np.flatnonzero(page[1:] != page[:-1]) + 1), len(page)]
-            nodes = []
-            for a, b in zip(cuts, cuts[1:], strict=False):  # a page that two batches share is two nodes
-                centre = x[a:b].mean(axis=0)
-                parent = np.sqrt(((x[a:b] - centre) ** 2).sum(axis=1))
-                away = np.sqrt(np.maximum(square + (centre**2).sum() - 2 * (q @ centre), 0.0))
-                nodes.append((float((away - parent.max()).min()), a, b, centre, parent, away))
-            for _, a, b, centre, parent, away in sorted(nodes, key=lambda n: n[0]):  # best first
-                visit(best, q, q_ids, ids[a:b], x[a:b], centre, parent, float(parent.max()), float(np.sqrt((x[a:b] ** 2).sum(axis=1).max())), away)
+            parent, near = batch.column("away").to_numpy(zero_copy_only=False), batch.column("pivot").to_numpy(zero_copy_only=False)
+            bound = [float(np.maximum(to_pivot[:, near[a]] - parent[a:b].max(), 0.0).min()) for a, b in zip(cuts, cuts[1:], strict=False)]
+            for i in np.argsort(bound, kind="stable"):  # best first; a page that two batches share is two nodes
+                a, b = cuts[i], cuts[i + 1]
+                visit(best, q, q_ids, ids[a:b], x[a:b], parent[a:b], float(np.sqrt((x[a:b] ** 2).sum(axis=1).max())), to_pivot[:, near[a]])
         rows, columns = np.nonzero(np.isfinite(best.score))
         yield pa.RecordBatch.from_arrays([pa.array(q_ids[rows]), pa.array(best.ids[rows, columns]), pa.array(best.score[rows, columns].astype(np.int64))], names=["query_id", "vec_id", "score"])
 
@@ -132,7 +130,7 @@ def top_k(vectors: DataFrame, queries, k: int = 10, scale: int = 1024) -> DataFr
     fan = max(1, n // (PIVOTS * PAGE))  # a hot pivot's vectors are cut by distance first, into rings
     routed = routed.withColumn("page", F.xxhash64("pivot", F.floor(F.col("away") * fan / scale).cast("int"), F.pmod(F.xxhash64("vec_id"), F.lit(4))))
     parts = max(1, min(spark.sparkContext.defaultParallelism * 4, -(-n // PAGE)))
-    pages = stored(routed.repartition(parts, "page").sortWithinPartitions("page", "away").select("vec_id", "v", "page"), "pages")
+    pages = stored(routed.repartition(parts, "page").sortWithinPartitions("page", "away").select("vec_id", "v", "pivot", "away", "page"), "pages")
     asked = rows.filter(queries).withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(max(1, -(-rows.filter(queries).count() * 5 // (4 * BLOCK))))))
     found = empty.select("query_id", "vec_id", "score")
     for block in [r["block"] for r in asked.select("block").distinct().orderBy("block").collect()]:
@@ -144,6 +142,6 @@ def top_k(vectors: DataFrame, queries, k: int = 10, scale: int = 1024) -> DataFr
             s[q_ids[a : a + 512, None] == sample_ids[None, :]] = -np.inf
             if s.shape[1] > k:
                 least[a : a + 512] = np.partition(s, s.shape[1] - k, axis=1)[:, s.shape[1] - k]
-        found = found.unionByName(pages.mapInArrow(_searched(q_ids, q, least, k), "query_id long, vec_id long, score long"))
+        found = found.unionByName(pages.mapInArrow(_searched(q_ids, q, least, k, sample[:PIVOTS]), "query_id long, vec_id long, score long"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

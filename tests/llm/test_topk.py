@@ -51,4 +51,4 @@ def test_pages_are_passed_over_by_their_bounds():
     parent = np.sqrt(((x - centre) ** 2).sum(axis=1))
     best = topk.Best(3, 5, np.full(3, 0.0))
     away = np.sqrt(((q - centre) ** 2).sum(axis=1))
-    assert topk.visit(best, q, np.arange(3), np.arange(500) + 10, x, centre, parent, float(parent.max()), float(np.sqrt((x**2).sum(axis=1).max())), away) == 0
+    assert topk.visit(best, q, np.arange(3), np.arange(500) + 10, x, parent, float(np.sqrt((x**2).sum(axis=1).max())), away) == 0
