@@ -135,3 +135,15 @@ def coded_answers(t, spark):
     answer = F.when(i % 4 == 0, " sí ").when(i % 4 == 1, "NO").when(i % 4 == 2, "?")
     house = F.when(i % 3 == 0, "S/N").when(i % 3 == 1, F.concat(u.cast("string"), F.lit(".0"))).otherwise(" 12-B")
     return t("events").select("event_id", text.yes_no(answer).alias("answer"), codes.domain((u % 12).cast("string"), (0, 1, 2, 8, 9)).alias("code"), state.alias("state"), country.alias("country"), text.number_text(house).alias("house"))
+
+
+@query("""
+SELECT s_suppkey, round(s_acctbal::DECIMAL(18, 4), 1)::DOUBLE AS rounded, CASE WHEN length(s_name) = 18 THEN s_name END AS name, nullif(s_nationkey, 0) AS nation, CASE WHEN s_acctbal BETWEEN 0 AND 9000 THEN s_acctbal END AS inside,
+  split_part(s_name, '#', 2) AS number, left(s_name, 4) AS start FROM supplier""")
+def validity_and_rounding(t, spark):
+    """Validity by length and range, rounding of decimals, null scalars and parts of text."""
+    bal = F.col("s_acctbal")
+    return t("supplier").select(
+        "s_suppkey", F.round(bal.cast("decimal(18,4)"), 1).cast("double").alias("rounded"), codes.of_length(F.col("s_name"), 18).alias("name"), F.nullif("s_nationkey", F.lit(0)).alias("nation"),
+        codes.within(bal, 0, 9000).alias("inside"), F.split_part("s_name", F.lit("#"), F.lit(2)).alias("number"), F.left("s_name", F.lit(4)).alias("start"),
+    )

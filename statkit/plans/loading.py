@@ -179,3 +179,19 @@ def indicator_required(t, spark):
     """An indicator with required parameters."""
     _views(t)
     return CATALOGUE.run(spark, "status_share", first="1996", last=1999)
+
+
+@query("""
+WITH f AS (SELECT l_orderkey, l_linenumber, n_nationkey AS nation_id, p_partkey AS part_id, l_quantity AS quantity FROM lineitem JOIN supplier ON s_suppkey = l_suppkey JOIN nation ON n_nationkey = s_nationkey JOIN part ON p_partkey = l_partkey)
+SELECT l_orderkey, l_linenumber, nation_id, part_id, quantity FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY nation_id, part_id, quantity) AS r FROM f) WHERE r = 1""")
+def staged_load(t, spark):
+    """Staged rows resolved against their dimensions in one plan, then merged by key."""
+    from statkit.operators import lookup
+
+    staged = t("lineitem").join(t("supplier"), F.col("s_suppkey") == F.col("l_suppkey")).join(t("nation").select("n_nationkey", "n_name"), F.col("n_nationkey") == F.col("s_nationkey"))
+    staged = staged.select("l_orderkey", "l_linenumber", F.lower("n_name").alias("nation"), "l_partkey", F.col("l_quantity").alias("quantity"))
+    facts = lookup.name_lookup(staged, t("nation"), "nation", "n_name", {"n_nationkey": "nation_id"})
+    facts = lookup.lookup(facts.withColumnRenamed("l_partkey", "p_partkey").withColumn("part_id", F.col("p_partkey")), t("part").select("p_partkey", "p_brand"), ["p_partkey"], {"p_brand": "brand"}, "drop")
+    facts = facts.select("l_orderkey", "l_linenumber", "nation_id", "part_id", "quantity")
+    old = facts.filter("quantity > 40").withColumn("quantity", F.lit(0.0))
+    return loads.upsert(old, facts, ["l_orderkey", "l_linenumber"])

@@ -191,3 +191,40 @@ def utm_project(t, spark):
     lon, lat = utm_to_degrees(F.col("x"), F.col("y"))
     out = raw.select("c_custkey", lon.alias("lon"), lat.alias("lat"))
     return out.withColumn("point", cells.point(F.col("lon"), F.col("lat"), -106.0, 19.0, -103.0, 21.0))
+
+
+@query("""
+WITH s AS (SELECT p_partkey, CASE WHEN p_partkey % 3 = 0 THEN upper(p_name) WHEN p_partkey % 3 = 1 THEN replace(p_name, ' ', '  ') ELSE p_name END AS name FROM part)
+SELECT name FROM (SELECT name, row_number() OVER (PARTITION BY lower(replace(name, '  ', ' ')) ORDER BY p_partkey) AS r FROM s) WHERE r = 1""")
+def dedup_first_spelling(t, spark):
+    """One spelling of each normalised name, the first one seen."""
+    from statkit.functions.text import match_key
+
+    k, name = F.col("p_partkey"), F.col("p_name")
+    spelt = t("part").select(k, F.when(k % 3 == 0, F.upper(name)).when(k % 3 == 1, F.replace(name, F.lit(" "), F.lit("  "))).otherwise(name).alias("name"))
+    return ranking.keep_one(spelt, [match_key(F.col("name"))], [F.asc("p_partkey")]).select("name")
+
+
+@query("""
+WITH u AS (
+  SELECT o_custkey AS customer, o_orderpriority AS label, year(o_orderdate)::INTEGER AS edition, NULL::DOUBLE AS price FROM orders WHERE year(o_orderdate) < 1998
+  UNION ALL SELECT o_custkey, o_orderpriority, year(o_orderdate), o_totalprice FROM orders WHERE year(o_orderdate) >= 1998)
+SELECT customer, label, edition, price FROM (SELECT *, row_number() OVER (PARTITION BY customer ORDER BY edition DESC, label, price NULLS LAST) AS r FROM u) WHERE r = 1""")
+def edition_union(t, spark):
+    """An old and a new layout united by name, the latest edition of each key kept."""
+    from statkit.sources.files import union_all
+
+    rows = t("orders").select(F.col("o_custkey").alias("customer"), F.col("o_orderpriority").alias("label"), F.year("o_orderdate").alias("edition"), F.col("o_totalprice").alias("price"))
+    both = union_all(rows.filter("edition < 1998").drop("price"), rows.filter("edition >= 1998"))
+    return ranking.keep_one(both, ["customer"], [F.desc("edition"), F.asc("label"), F.asc_nulls_last("price")]).select("customer", "label", "edition", "price")
+
+
+@query("""
+WITH p AS (SELECT c_nationkey::VARCHAR AS unit, count(*) AS n FROM customer GROUP BY 1 UNION ALL SELECT '00', count(*) FROM customer UNION ALL SELECT '9999', 0)
+SELECT unit, n, (SELECT min(unit) FROM p WHERE unit NOT IN ('00', '9999')) AS first_unit FROM p WHERE unit NOT IN ('00', '9999') AND n IS NOT NULL""")
+def drop_aggregate_rows(t, spark):
+    """Totals and sentinel units shipped inside the data are dropped; a constant taken as a minimum."""
+    units = t("customer").groupBy(F.col("c_nationkey").cast("string").alias("unit")).agg(F.count(F.lit(1)).alias("n"))
+    shipped = units.unionByName(t("customer").agg(F.lit("00").alias("unit"), F.count(F.lit(1)).alias("n")))
+    clean = shipped.filter(~F.col("unit").isin("00", "9999")).dropna(subset=["n"])
+    return clean.crossJoin(F.broadcast(clean.agg(F.min("unit").alias("first_unit"))))  # one row

@@ -97,3 +97,11 @@ def published_mart(t, spark):
     loads.publish(t("orders").limit(0).groupBy(F.col("o_orderstatus").alias("status")).agg(F.count(F.lit(1)).alias("n")), path)
     loads.publish(t("orders").groupBy(F.col("o_orderstatus").alias("status")).agg(F.count(F.lit(1)).alias("n")), path)
     return loads.current(spark, path)
+
+
+@query("""SELECT p_brand, string_agg(DISTINCT p_type || '=' || m, ',' ORDER BY p_type || '=' || m) AS entries FROM (SELECT p_brand, p_type, min(p_size) AS m FROM part GROUP BY 1, 2) GROUP BY 1""")
+def grouped_lookup(t, spark):
+    """A lookup file of (group, key, value) as one map per group."""
+    rows = t("part").groupBy("p_brand", "p_type").agg(F.min("p_size").alias("m"))
+    maps = files.grouped_lookup(rows, "p_brand", "p_type", "m")
+    return maps.select("p_brand", F.array_join(F.array_sort(F.transform(F.map_entries("entries"), lambda e: F.concat_ws("=", e["key"], e["value"]))), ",").alias("entries"))
