@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -13,11 +14,12 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where that is unset."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = tempfile.mkdtemp(prefix="spark-shared-")
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
+    return (spark.conf.get("spark.checkpoint.dir", None) or _own()).rstrip("/")
+
+
+@functools.cache
+def _own() -> str:
+    return tempfile.mkdtemp(prefix="spark-shared-")
 
 
 def stored(df: DataFrame, name: str, **options: str) -> DataFrame:
