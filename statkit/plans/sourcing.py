@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -14,12 +15,14 @@ from statkit.sources import editions, files
 from statkit.streaming.editions import ingest_editions
 
 
+@functools.cache
+def _own() -> str:
+    return tempfile.mkdtemp(prefix="spark-landing-")
+
+
 def landing(spark) -> str:
     """A new folder below the shared one that spark.checkpoint.dir names; a temporary one where that is unset."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        shared = tempfile.mkdtemp(prefix="spark-landing-")
-        spark.conf.set("spark.checkpoint.dir", shared)
+    shared = spark.conf.get("spark.checkpoint.dir", None) or _own()
     return f"{shared.rstrip('/')}/landing-{uuid.uuid4().hex}"
 
 
