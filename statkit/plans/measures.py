@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from statkit.functions.periods import months_between
-from statkit.operators import checks, lookup, rates
+from statkit.operators import checks, rates
 from statkit.operators.ranking import keep_one, ranks, top_and_rest
+from statkit.plans import marts
 from statkit.plans.registry import query
 
 GRID = """
@@ -25,14 +25,10 @@ FROM n CROSS JOIN m LEFT JOIN f ON f.n_nationkey = n.n_nationkey AND f.period =
 @query(GRID)
 def month_rate_grid(t, spark):
     """Every nation in every month, counts with zeros, rate per 100,000 customers."""
-    orders, customer = t("orders"), t("customer")
-    dated = orders.join(customer, orders.o_custkey == customer.c_custkey).select(F.col("c_nationkey").alias("nation"), F.trunc("o_orderdate", "MM").alias("period"), "o_orderpriority")
-    facts = dated.groupBy("nation", "period").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH")).alias("urgent"))
-    span = orders.agg(F.min("o_orderdate").alias("a"), F.max("o_orderdate").alias("b"))
+    facts = t("orders").join(t("customer"), F.col("o_custkey") == F.col("c_custkey")).select(F.col("c_nationkey").alias("nation"), "o_orderdate", "o_orderpriority")
     units = t("nation").select(F.col("n_nationkey").alias("nation"), F.col("n_name").alias("name"))
-    full = lookup.grid(units, months_between(span, "a", "b"), facts, ["nation", "period"], {"n": 0, "urgent": 0})
-    people = customer.groupBy(F.col("c_nationkey").alias("nation")).agg(F.count(F.lit(1)).alias("people"))
-    return rates.per_population(full, people, ["nation"], "n", "people").drop("people")
+    people = t("customer").groupBy(F.col("c_nationkey").alias("nation")).agg(F.count(F.lit(1)).alias("people"))
+    return marts.rate_mart(facts, units, people, "nation", "o_orderdate", {"n": F.lit(True), "urgent": F.col("o_orderpriority").isin("1-URGENT", "2-HIGH")}, "n")
 
 
 @query("""
@@ -232,3 +228,20 @@ def share_lacking(t, spark):
     """Complement of a share."""
     out = t("customer").groupBy(F.col("c_mktsegment").alias("segment")).agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("c_acctbal") > 0).alias("have"))
     return out.withColumn("lacking", rates.lacking(F.col("have"), F.col("n")))
+
+
+@query("""
+WITH g AS (SELECT c_nationkey AS nation, o_orderpriority AS priority, count(*) AS n FROM orders JOIN customer ON c_custkey = o_custkey GROUP BY 1, 2)
+SELECT *, row_number() OVER (PARTITION BY nation ORDER BY n DESC, priority)::INTEGER AS place, row_number() OVER (PARTITION BY nation ORDER BY n DESC, priority) = 1 AS dominant, round(n * 100.0::DOUBLE / sum(n) OVER (PARTITION BY nation), 4) AS share FROM g""")
+def composition(t, spark):
+    """Each unit's categories with share, place and dominance."""
+    facts = t("orders").join(t("customer"), F.col("o_custkey") == F.col("c_custkey")).select(F.col("c_nationkey").alias("nation"), F.col("o_orderpriority").alias("priority"))
+    return marts.composition_mart(facts, ["nation"], "priority", F.count(F.lit(1)))
+
+
+@query("""
+WITH g AS (SELECT o_orderstatus AS status, year(o_orderdate)::INTEGER AS year, count(*) AS value FROM orders GROUP BY 1, 2)
+SELECT a.status, a.year, a.value, b.value AS before, round((a.value - b.value) * 100.0::DOUBLE / b.value, 4) AS change FROM g a LEFT JOIN g b ON b.status = a.status AND b.year = a.year - 1""")
+def yearly_change(t, spark):
+    """A measure beside the year before's."""
+    return marts.yearly_change(t("orders").withColumnRenamed("o_orderstatus", "status"), ["status"], F.year("o_orderdate"), F.count(F.lit(1)))
