@@ -37,10 +37,10 @@ def case_functions(t, spark):
     return t("part").select("p_partkey", text.capitalised(F.col("p_name")).alias("sentence"), F.lower("p_type").alias("low"), F.upper("p_name").alias("up"))
 
 
-@query("""SELECT doc_id, lower(strip_accents(substr(text, 1, 200))) AS folded FROM documents WHERE lang IN ('es', 'fr')""")
+@query("""SELECT doc_id, lower(strip_accents(text)) AS folded FROM documents""")
 def accent_fold(t, spark):
-    """Accents folded over real text."""
-    return t("documents").filter(F.col("lang").isin("es", "fr")).select("doc_id", F.lower(text.accent_fold(F.substring("text", 1, 200))).alias("folded"))
+    """Accents folded over whole texts."""
+    return t("documents").select("doc_id", F.lower(text.accent_fold(F.col("text"))).alias("folded"))
 
 
 @query("""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from statkit.operators import checks, rates
+from statkit.operators import checks, labour, rates
 from statkit.operators.ranking import keep_one, ranks, top_and_rest
 from statkit.plans import marts
 from statkit.plans.registry import query
@@ -245,3 +245,31 @@ SELECT a.status, a.year, a.value, b.value AS before, round((a.value - b.value) *
 def yearly_change(t, spark):
     """A measure beside the year before's."""
     return marts.yearly_change(t("orders").withColumnRenamed("o_orderstatus", "status"), ["status"], F.year("o_orderdate"), F.count(F.lit(1)))
+
+
+def _survey_sql() -> str:
+    sums, out = [], []
+    for s, sex in (("", "true"), ("_h", "sex = 1"), ("_m", "sex = 2")):
+        for name, rules in labour.POPULATIONS.items():
+            met = [f"{c} <> 1" if a == "not 1" else f"{c} IN ({', '.join(map(str, a))})" for c, a in rules]
+            sums.append(f"sum(CASE WHEN {' AND '.join([*met, sex])} THEN fac ELSE 0 END)::BIGINT AS {name}{s}")
+        out += [f"{n}{s}" for n in labour.SHOWN]
+        out += [f"round(({' + '.join(n + s for n in top)}) * 100.0::DOUBLE / nullif({below}{s}, 0), 2) AS {rate}{s}" for rate, (top, below) in labour.RATES.items()]
+    return f"""
+WITH b AS (
+  SELECT year(l_shipdate)::INTEGER AS anio, quarter(l_shipdate)::INTEGER AS trimestre, l_quantity::BIGINT AS fac, (1 + l_partkey % 2)::INTEGER AS sex, (l_suppkey % 3)::INTEGER AS r_def, (1 + l_partkey % 3)::INTEGER AS c_res, (l_partkey % 100)::INTEGER AS eda,
+    (1 + l_partkey % 2 * (l_linenumber % 2))::INTEGER AS clase1, (1 + l_linenumber % 3)::INTEGER AS clase2, CASE WHEN l_linenumber < 6 THEN (l_partkey % 4)::INTEGER END AS ambito1, (l_suppkey % 5)::INTEGER AS dur9c, (l_partkey % 6)::INTEGER AS tpg_p8a,
+    (l_partkey % 3)::INTEGER AS remune2c, (l_suppkey % 2)::INTEGER AS sub_o, (l_partkey % 5)::INTEGER AS tcco, (l_partkey % 7)::INTEGER AS tue2, (l_suppkey % 4)::INTEGER AS emp_ppal FROM lineitem),
+a AS (SELECT anio, trimestre, {', '.join(sums)} FROM b WHERE r_def = 0 AND c_res IN (1, 3) AND eda BETWEEN 15 AND 98 GROUP BY 1, 2)
+SELECT anio, trimestre, {', '.join(out)} FROM a"""
+
+
+@query(_survey_sql())
+def labour_rates(t, spark):
+    """Thirteen weighted populations and eleven rates, in total and by sex, in one aggregation."""
+    part, supp, line = F.col("l_partkey"), F.col("l_suppkey"), F.col("l_linenumber")
+    micro = {
+        "anio": F.year("l_shipdate"), "trimestre": F.quarter("l_shipdate"), "fac": F.col("l_quantity").cast("bigint"), "sex": part % 2 + 1, "r_def": supp % 3, "c_res": part % 3 + 1, "eda": part % 100,
+        "clase1": part % 2 * (line % 2) + 1, "clase2": line % 3 + 1, "ambito1": F.when(line < 6, part % 4), "dur9c": supp % 5, "tpg_p8a": part % 6, "remune2c": part % 3, "sub_o": supp % 2, "tcco": part % 5, "tue2": part % 7, "emp_ppal": supp % 4,
+    }
+    return labour.labour_rates(labour.in_universe(t("lineitem").select(*[c.alias(n) for n, c in micro.items()])), ["anio", "trimestre"])
