@@ -60,7 +60,7 @@ def pareto_mix(docs: DataFrame, weights: list[float], share: float = 1.5, most:
     repeated rows are rows like any other (equal rows share a rank; which of them is taken makes no difference). A source
     without words has target 0. An empty table gives no rows.
     """
-    rows = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), unit_hash(seed, F.col("doc_id"), F.substring(whole_text(), 1, 64)).alias("u"))
+    rows = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), unit_hash(seed, F.col("doc_id"), whole_text()).alias("u"))
     rows = stored(rows, "sizes")
     targets = source_targets(rows, weights, share, most)
     root = rows.groupBy("source").agg(F.sum(F.sqrt(F.col("size").cast("double")) * F.col("size")).alias("root"))
