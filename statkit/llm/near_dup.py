@@ -28,6 +28,7 @@ from .components import connected
 
 M64 = (1 << 64) - 1
 BLOCK = 1 << 16  #: shingles of a chunk at most, but for a single longer text
+LEAST = 128  #: what a shorter text counts for; so a chunk has at most BLOCK / LEAST members
 SLACK = 6.0  #: standard deviations below the expected number of equal coordinates of a just linked pair
 SHINGLE = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63)  #: odd multipliers of a shingle's words
 
@@ -224,7 +225,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: i
 
         here = members.filter("n > 2").join(roots.withColumnRenamed("node", "head"), "head", "left").withColumn("root", F.coalesce("root", "head"))
         upto = Window.partitionBy("band").orderBy("rank").rowsBetween(Window.unboundedPreceding, 0)
-        here = here.withColumn("chunk", F.floor(F.sum("size").over(upto) / BLOCK))
+        here = here.withColumn("chunk", F.floor(F.sum(F.greatest("size", F.lit(LEAST))).over(upto) / BLOCK))
         parted = here.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.max("chunk").alias("chunks")).filter("low <> high")
         here = here.join(parted.select("band", "chunks"), "band").select("band", "head", "root", "chunk", "chunks")
         blocks = here.join(texts, "head").withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks"))))

@@ -58,6 +58,16 @@ def test_chains_and_hot_groups(spark, seed):
     assert result(near_dup.near_duplicates(frame, 3, 85)) == brute(rows, 3, 85)
 
 
+def test_blocks_of_many_chunks(spark, monkeypatch):
+    """Short texts that share one frequent shingle, cut into many chunks; near ones are still found across chunks."""
+    monkeypatch.setattr(near_dup, "BLOCK", 2048)
+    rng = np.random.default_rng(11)
+    rows = [(i, f"a b c {rng.integers(0, 10**6)}") for i in range(150)]
+    rows += [(1000 + i, "a b c d e f g h i j k l m n o p q r s t u v w x y z " + " ".join(str(x) for x in rng.integers(0, 3, 2))) for i in range(40)]
+    frame = spark.createDataFrame([(int(i), t) for i, t in rows], "doc_id long, text string")
+    assert result(near_dup.near_duplicates(frame, 3, 85)) == brute(rows, 3, 85)
+
+
 def test_odd_rows(odd, none):
     found = near_dup.near_duplicates(odd, 3, 85).collect()
     assert len(found) == odd.count() and near_dup.near_duplicates(none).count() == 0
