@@ -50,9 +50,11 @@ def counter(df: DataFrame, within: Sequence[str], order: Sequence[str | Column],
 def numbered(df: DataFrame, order: Sequence[str], name: str = "id", start: int = 0) -> DataFrame:
     """Consecutive ids by a total order, without sorting in one task.
 
-    Rows are range-partitioned by the order; each partition's first id is the number of rows before it.
+    Rows are range-partitioned by the order; each partition's first id is the number of rows before it. The number of
+    partitions is given, so that adaptive execution can't merge them differently where the table is read twice.
     """
-    parts = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__part", F.spark_partition_id())
+    width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = df.repartitionByRange(width, *order).sortWithinPartitions(*order).withColumn("__part", F.spark_partition_id())
     parts = parts.withColumn("__nth", F.row_number().over(Window.partitionBy("__part").orderBy(*order)))
     sizes = parts.groupBy("__part").agg(F.count(F.lit(1)).alias("__size"))  # a row per partition
     before = F.coalesce(F.sum("__size").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
