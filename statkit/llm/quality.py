@@ -143,8 +143,9 @@ def score_quality(docs: DataFrame, labels: DataFrame, sample: int = 6000, pool:
     marks = labels.select(F.col("doc_id").alias("l_id"), F.col("quality").cast("double").alias("quality")).filter("l_id is not null and quality in (0, 1)").distinct()
     rows = docs.select("doc_id", "text", "source", "lang", F.col("n_chars").cast("long").alias("n_chars"), unit_hash(seed, F.col("doc_id")).alias("draw")).filter("doc_id is not null")
     n_marks, n_rows = marks.count(), docs.count()
+    # about `sample` ids: few enough to send to every task, so that no text is shuffled
     drawn = marks.filter(unit_hash(seed, F.col("l_id")) * max(n_marks, 1) < sample)
-    first = rows.join(drawn, F.col("doc_id") == F.col("l_id")).select("draw", "quality", "text", "source", "lang", "n_chars")
+    first = rows.join(F.broadcast(drawn), F.col("doc_id") == F.col("l_id")).select("draw", "quality", "text", "source", "lang", "n_chars")
     other = rows.filter(unit_hash(seed + 1, F.col("doc_id")) * max(n_rows - n_marks, 1) < pool).join(marks, F.col("doc_id") == F.col("l_id"), "left_anti")
     other = other.select("draw", F.lit(None).cast("double").alias("quality"), "text", "source", "lang", "n_chars")
     gathered = first.unionByName(other).mapInArrow(_views, "draw double, quality double, text array<double>, page array<double>")
