@@ -7,6 +7,8 @@ then rank, then rule order) contains its interval and its rank is no worse. All
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -45,7 +47,8 @@ def scan_licences(docs: DataFrame) -> DataFrame:
     detection that stays, else 0. Null text counts as empty: no words, empty labels, null first_word and last_word. Null
     doc_id and repeated rows are rows like any other. An empty table gives no rows.
     """
-    table = F.array(*[F.struct(F.lit(k).alias("keyword"), F.lit(r).alias("regex"), F.lit(label).alias("label"), F.lit(rank).alias("rank"), F.lit(i).alias("place"), F.lit(base).alias("base")) for i, (k, r, label, rank, base) in enumerate(rules())])
+    listed = [dict(zip(("keyword", "regex", "label", "rank", "base"), r, strict=True)) | {"place": i} for i, r in enumerate(rules())]
+    table = F.from_json(F.lit(json.dumps(listed)), "array<struct<keyword:string,regex:string,label:string,rank:int,place:int,base:boolean>>")  # a literal, folded once
     rows = docs.select("doc_id", whole_text().alias("body"))
     words = F.concat(F.lit(" "), F.trim(F.regexp_replace(F.translate("body", UPPER, LOWER), f"[^{WORD}]+", " ")), F.lit(" "))
     rows = rows.select("doc_id", F.regexp_count("body", F.lit(f"[{WORD}]+")).cast("long").alias("n_words"), F.when(F.concat(F.lit(" "), "body").rlike(GATE), words).alias("words"))
