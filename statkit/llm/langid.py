@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stored, unit_hash
+from .common import broadcast_if, stored, unit_hash
 
 UNKNOWN = "und"
 BASE = 1 << 21  #: code points fit below; an n-gram is a number in this base
@@ -82,7 +82,7 @@ def language_profiles(labelled: DataFrame, sample: int = 4000, most: int = 400,
     there are fewer), by a hash of doc_id; that bounds the work.
     """
     sizes = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("rows")).withColumnRenamed("lang", "l2")
-    drawn = labelled.select("doc_id", "lang", "text").join(sizes, F.col("lang") == F.col("l2")).filter(unit_hash(seed, F.col("doc_id")) * F.col("rows") < sample)
+    drawn = labelled.select("doc_id", "lang", "text").join(broadcast_if(sizes, sizes.count()), F.col("lang") == F.col("l2")).filter(unit_hash(seed, F.col("doc_id")) * F.col("rows") < sample)
     counts = drawn.filter(F.col("text").isNotNull()).select("lang", "text").mapInArrow(_counted, "lang string, gram long, n long")
     counts = counts.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram")) - 1
