@@ -14,6 +14,9 @@ from statkit.plans.registry import query
 from statkit.sources import editions, files
 from statkit.streaming.editions import ingest_editions
 
+FILE_LINES = 100_000  #: expected lines of a landed file of short lines, which one task decodes
+FILE_TEXTS = 5_000  #: lines at most of a landed file of whole documents
+
 
 @functools.cache
 def _own() -> str:
@@ -41,8 +44,8 @@ def encoding_scan(t, spark):
     line = F.regexp_replace(F.replace("text", F.lit("\n"), F.lit(" ")), "[^ -~\\x{A1}-\\x{FF}]", "?")
     docs = t("documents").select("lang", F.concat_ws("\t", "lang", line).alias("value"))
     path = landing(spark)
-    docs.filter("lang IN ('de', 'fr')").select("value").write.options(encoding="ISO-8859-1", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(f"{path}/latin", sep="\x01", quote="")
-    docs.filter("lang NOT IN ('de', 'fr')").select("value").write.text(f"{path}/utf")
+    docs.filter("lang IN ('de', 'fr')").select("value").write.options(maxRecordsPerFile=FILE_TEXTS, encoding="ISO-8859-1", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(f"{path}/latin", sep="\x01", quote="")
+    docs.filter("lang NOT IN ('de', 'fr')").select("value").write.options(maxRecordsPerFile=FILE_TEXTS).text(f"{path}/utf")
     lines = files.decoded_lines(spark, f"{path}/*/part-*").filter("line <> ''")
     parts = F.split("line", "\t", 2)
     return lines.select(parts[0].alias("lang"), parts[1].alias("line")).groupBy("lang").agg(F.count(F.lit(1)).alias("lines"), F.sum(F.length("line").cast("bigint")).alias("chars"))
@@ -53,9 +56,12 @@ def ragged_csv(t, spark):
     """A header found below a preamble; surplus fields rejoined, short lines padded."""
     path, size = landing(spark), F.col("p_size")
     line = F.when(size % 3 == 1, F.concat_ws(",", "p_partkey", "p_brand")).when(size % 3 == 2, F.concat_ws(",", "p_partkey", "p_brand", "p_type", "p_size")).otherwise(F.concat_ws(",", "p_partkey", "p_brand", "p_type"))
-    whole = t("part").groupBy("p_brand").agg(F.array_join(F.concat(F.array(F.lit("Statistics office"), F.lit("Code,Brand,Label")), F.array_sort(F.collect_list(line))), "\n").alias("value"))
-    whole.select("value").repartition(4).write.text(path)
-    rows = files.below_header(files.decoded_lines(spark, f"{path}/part-*"), ["code"])
+    lines = t("part").select(line.alias("value"), F.xxhash64(F.monotonically_increasing_id()).alias("salt"))
+    n = max(4, -(-lines.count() // FILE_LINES))  # each file holds about FILE_LINES lines, whatever the brands' sizes
+    lines = lines.select("value", F.pmod("salt", F.lit(n)).alias("file"), F.lit(2).alias("place"))
+    heads = spark.range(n).select(F.inline(F.array(F.struct(F.lit("Statistics office").alias("value"), F.col("id").alias("file"), F.lit(0).alias("place")), F.struct(F.lit("Code,Brand,Label").alias("value"), F.col("id").alias("file"), F.lit(1).alias("place")))))
+    lines.unionByName(heads).repartition(n, "file").sortWithinPartitions("file", "place").select("file", "value").write.partitionBy("file").text(path)
+    rows = files.below_header(files.decoded_lines(spark, f"{path}/file=*/part-*"), ["code"])
     rows = rows.filter(~F.col("line").isin("", "Statistics office", "Code,Brand,Label")).select(files.repaired_fields(F.col("line"), 3).alias("f"))
     return rows.select(F.col("f")[0].cast("bigint").alias("p_partkey"), F.col("f")[1].alias("brand"), F.col("f")[2].alias("label"))
 
