@@ -21,6 +21,7 @@ from .common import stored, unit_hash
 
 PIVOTS = 256  #: routing objects of the tree's root
 PAGE = 1024  #: entries of a page at most
+SLICE = 1024  #: queries that a page is visited with at once
 BLOCK = 16_384  #: queries of a block; so many vectors are sent to the tasks at most
 SAMPLE = 4096  #: vectors that give a block's first thresholds
 
@@ -67,27 +68,29 @@ class Best:
         self.least[q] = np.maximum(self.least[q], self.score[q, -1])
 
 
-def visit(best: Best, q: np.ndarray, q_ids: np.ndarray, ids: np.ndarray, x: np.ndarray, parent: np.ndarray, norm: float, to_centre: np.ndarray) -> int:
-    """One page for all queries whose bound allows it; the number of inner products computed."""
+def visit(best: Best, q: np.ndarray, q_ids: np.ndarray, ids: np.ndarray, x: np.ndarray, parent: np.ndarray, norm: float, to_centre: np.ndarray, most: int = SLICE) -> int:
+    """One page for all queries whose bound allows it, `most` at a time; the number of inner products computed."""
     square = (q**2).sum(axis=1)
     nearest = np.maximum(np.maximum(to_centre - parent.max(), parent.min() - to_centre), 0.0)
     may = np.flatnonzero((square + norm**2 - nearest**2) / 2 + 1e-6 * (1 + square) >= best.least)
-    if not len(may):
-        return 0
-    gap = np.abs(to_centre[may][:, None] - parent[None, :])  # a lower bound on the distance by the stored parent distances
-    bound = (square[may][:, None] + (x**2).sum(axis=1)[None, :] - gap**2) / 2 + 1e-6 * (1 + square[may][:, None])
-    open_ = bound >= best.least[may][:, None]
-    columns = np.flatnonzero(open_.any(axis=0))
-    if not len(columns):
-        return 0
-    scores = q[may] @ x[columns].T
-    scores[~open_[:, columns] | (q_ids[may][:, None] == ids[columns][None, :])] = -np.inf
-    best.add(may, ids[columns], scores)
-    return len(may) * len(columns)
-
-
-def _searched(q_ids: np.ndarray, q: np.ndarray, least: np.ndarray, k: int, pivots: np.ndarray):
-    """Rows (vec_id, v, pivot, away, page), grouped by page: this task's k best of each query."""
+    own, done = (x**2).sum(axis=1), 0
+    for start in range(0, len(may), most):
+        part = may[start : start + most]
+        gap = np.abs(to_centre[part][:, None] - parent[None, :])  # a lower bound on the distance by the stored parent distances
+        bound = (square[part][:, None] + own[None, :] - gap**2) / 2 + 1e-6 * (1 + square[part][:, None])
+        open_ = bound >= best.least[part][:, None]
+        columns = np.flatnonzero(open_.any(axis=0))
+        if not len(columns):
+            continue
+        scores = q[part] @ x[columns].T
+        scores[~open_[:, columns] | (q_ids[part][:, None] == ids[columns][None, :])] = -np.inf
+        best.add(part, ids[columns], scores)
+        done += len(part) * len(columns)
+    return done
+
+
+def _searched(q_ids: np.ndarray, q: np.ndarray, least: np.ndarray, k: int, pivots: np.ndarray, most: int = PAGE):
+    """Rows (vec_id, v, pivot, away, page), grouped by page and cut at `most` rows: this task's k best of each query."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best = Best(len(q_ids), k, least)
@@ -97,10 +100,11 @@ def _searched(q_ids: np.ndarray, q: np.ndarray, least: np.ndarray, k: int, pivot
                 continue
             page = batch.column("page").to_numpy(zero_copy_only=False)
             ids, x = batch.column("vec_id").to_numpy(zero_copy_only=False), matrix(batch.column("v"))
-            cuts = [0, *(np.flatnonzero(page[1:] != page[:-1]) + 1), len(page)]
+            runs = [0, *(np.flatnonzero(page[1:] != page[:-1]) + 1), len(page)]
+            cuts = [*(i for a, b in zip(runs, runs[1:], strict=False) for i in range(a, b, most)), len(page)]
             parent, near = batch.column("away").to_numpy(zero_copy_only=False), batch.column("pivot").to_numpy(zero_copy_only=False)
             bound = [float(np.maximum(to_pivot[:, near[a]] - parent[a:b].max(), 0.0).min()) for a, b in zip(cuts, cuts[1:], strict=False)]
-            for i in np.argsort(bound, kind="stable"):  # best first; a page that two batches share is two nodes
+            for i in np.argsort(bound, kind="stable"):  # best first; each cut of a page is a node with a ring of its own
                 a, b = cuts[i], cuts[i + 1]
                 visit(best, q, q_ids, ids[a:b], x[a:b], parent[a:b], float(np.sqrt((x[a:b] ** 2).sum(axis=1).max())), to_pivot[:, near[a]])
         rows, columns = np.nonzero(np.isfinite(best.score))
@@ -142,6 +146,6 @@ def top_k(vectors: DataFrame, queries, k: int = 10, scale: int = 1024) -> DataFr
             s[q_ids[a : a + 512, None] == sample_ids[None, :]] = -np.inf
             if s.shape[1] > k:
                 least[a : a + 512] = np.partition(s, s.shape[1] - k, axis=1)[:, s.shape[1] - k]
-        found = found.unionByName(pages.mapInArrow(_searched(q_ids, q, least, k, sample[:PIVOTS]), "query_id long, vec_id long, score long"))
+        found = found.unionByName(pages.mapInArrow(_searched(q_ids, q, least, k, sample[:PIVOTS], PAGE), "query_id long, vec_id long, score long"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -1,6 +1,7 @@
 import math
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from statkit.llm import queries, topk
@@ -52,3 +53,17 @@ def test_pages_are_passed_over_by_their_bounds():
     best = topk.Best(3, 5, np.full(3, 0.0))
     away = np.sqrt(((q - centre) ** 2).sum(axis=1))
     assert topk.visit(best, q, np.arange(3), np.arange(500) + 10, x, parent, float(np.sqrt((x**2).sum(axis=1).max())), away) == 0
+
+
+def test_a_large_group_of_equal_vectors_is_cut_into_pages(monkeypatch):
+    n, pages, scored = 5000, [], []
+    visit, add = topk.visit, topk.Best.add
+    monkeypatch.setattr(topk, "visit", lambda best, q, q_ids, ids, *a: (pages.append(len(ids)), visit(best, q, q_ids, ids, *a))[1])
+    monkeypatch.setattr(topk.Best, "add", lambda self, q, ids, scores: (scored.append(scores.shape), add(self, q, ids, scores))[1])
+    batch = pa.RecordBatch.from_arrays([pa.array(np.arange(n)), pa.array([[3, 4]] * n), pa.array(np.zeros(n, np.int32)), pa.array(np.zeros(n)), pa.array(np.zeros(n, np.int64))], names=["vec_id", "v", "pivot", "away", "page"])
+    q = np.full((3000, 2), [3.0, 4.0])
+    (out,) = topk._searched(np.arange(3000), q, np.full(3000, -np.inf), 2, np.array([[3.0, 4.0]]))(iter([batch]))
+    got = sorted(zip(*(c.to_pylist() for c in out.columns), strict=True))
+    assert got == [(i, c, 25) for i in range(3000) for c in [c for c in range(3) if c != i][:2]]
+    assert sum(pages) == n and max(pages) <= topk.PAGE
+    assert max(a for a, _ in scored) <= 1024 and max(b for _, b in scored) <= topk.PAGE
