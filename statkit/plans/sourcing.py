@@ -42,13 +42,14 @@ def delimited_scan(t, spark):
 def encoding_scan(t, spark):
     """Files in UTF-8 and in Latin-1, decoded by a validity test."""
     line = F.regexp_replace(F.replace("text", F.lit("\n"), F.lit(" ")), "[^ -~\\x{A1}-\\x{FF}]", "?")
-    docs = t("documents").select("lang", F.concat_ws("\t", "lang", line).alias("value"))
+    mark = F.coalesce(F.concat(F.lit("="), "lang"), F.lit("-"))  # a null lang is a mark of its own
+    docs = t("documents").select(F.coalesce(F.col("lang").isin("de", "fr"), F.lit(False)).alias("latin"), F.concat_ws("\t", mark, line).alias("value"))
     path = landing(spark)
-    docs.filter("lang IN ('de', 'fr')").select("value").write.options(maxRecordsPerFile=FILE_TEXTS, encoding="ISO-8859-1", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(f"{path}/latin", sep="\x01", quote="")
-    docs.filter("lang NOT IN ('de', 'fr')").select("value").write.options(maxRecordsPerFile=FILE_TEXTS).text(f"{path}/utf")
+    docs.filter("latin").select("value").write.options(maxRecordsPerFile=FILE_TEXTS, encoding="ISO-8859-1", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(f"{path}/latin", sep="\x01", quote="")
+    docs.filter("NOT latin").select("value").write.options(maxRecordsPerFile=FILE_TEXTS).text(f"{path}/utf")
     lines = files.decoded_lines(spark, f"{path}/*/part-*").filter("line <> ''")
     parts = F.split("line", "\t", 2)
-    return lines.select(parts[0].alias("lang"), parts[1].alias("line")).groupBy("lang").agg(F.count(F.lit(1)).alias("lines"), F.sum(F.length("line").cast("bigint")).alias("chars"))
+    return lines.select(F.when(parts[0] != "-", F.substring(parts[0], 2, 2**31 - 1)).alias("lang"), F.get(parts, 1).alias("line")).groupBy("lang").agg(F.count(F.lit(1)).alias("lines"), F.sum(F.length("line").cast("bigint")).alias("chars"))
 
 
 @query("""SELECT p_partkey, p_brand AS brand, CASE WHEN p_size % 3 = 1 THEN NULL WHEN p_size % 3 = 2 THEN p_type || ',' || p_size ELSE p_type END AS label FROM part""")

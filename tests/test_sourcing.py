@@ -13,3 +13,9 @@ def test_ragged_files_are_bounded_with_one_hot_brand(spark, tmp_path, monkeypatc
     assert rows.count() == 2000 and rows.filter("brand = 'Brand#1'").select("p_partkey").distinct().count() == 2000
     sizes = [sum(1 for _ in f.open()) for f in (tmp_path / "landed").rglob("part-*")]
     assert len(sizes) >= 20 and max(sizes) <= 250
+
+
+def test_documents_without_lang_are_a_group(spark):
+    docs = spark.createDataFrame([(None, "no lang"), (None, "ja"), ("de", "größer"), ("en", "one\ntwo"), ("-", "dash"), (None, None)], "lang string, text string")
+    rows = sourcing.encoding_scan(lambda name: docs, spark).collect()
+    assert {r["lang"]: (r["lines"], r["chars"]) for r in rows} == {None: (3, 9), "de": (1, 6), "en": (1, 7), "-": (1, 4)}
