@@ -1,8 +1,9 @@
 """Exact dedup with a log-structured merge index.
 
 Every scan task is a memtable: it sorts its digests and flushes them as one run, a Parquet file with a Bloom filter and
-min/max statistics on the digest (level 0). Compaction merges runs by digest and keeps the identifier that stays and the
-number of rows (level 1). Digests with more than one row are hits; their texts are compared byte by byte with the text of
+min/max statistics on the digest (level 0). Compaction groups all runs' rows by digest (a hash aggregation, not an ordered
+merge) and keeps the identifier that stays and the number of rows (level 1). This query reads neither the runs' order nor
+their Bloom filters, which serve point reads of the stored runs; the filter in use is the broadcast hit filter (maybe_in). Digests with more than one row are hits; their texts are compared byte by byte with the text of
 the row that stays, and rows whose bytes differ (a digest collision) are grouped anew by their bytes.
 
 Mostly hits' texts move: a row's text is shuffled if a filter of bounded size can't tell that its digest is no hit. A hot
