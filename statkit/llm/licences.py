@@ -17,7 +17,7 @@ from .license_rules import CONFIDENCE, rules
 
 WORD = "0-9A-Za-z\\x{80}-\\x{10FFFF}"
 #: Every rule's matches hold a word that begins with one of these, in any case.
-GATE = f"(?i)[^{WORD}](?:licen[sc]|copy(?:right|left)|spdx|rights|vorbehalten|droits|derechos|public|cc0|cc[^{WORD}]+by|[al]?gpl|wtfpl|cecill|confidential|terms|bsd|sspl|mpl|eupl|creative|unlicense|aws|ofl|opensource|uganda|lppl|legal|documents|libpng|boost|attribution)"
+GATE = f"(?i)[^{WORD}](?:licen[sc]|copy(?:right|left)|spdx|rights|vorbehalten|droits|derechos|public|cc0|cc[^{WORD}]+by|[al]?gpl|wtfpl|cecill|confidential|terms|bsd|sspl|mpl|eupl|creative|unlicense|aws|ofl|opensource|uganda|lppl|legal|documents|libpng|boost|attribution|mariadb)"
 
 
 def _spaces(text: Column) -> Column:

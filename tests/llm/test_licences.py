@@ -1,4 +1,6 @@
+import itertools
 import re
+from re import _parser
 
 import pytest
 
@@ -68,3 +70,33 @@ def test_odd_rows(odd, none):
 def test_rules_are_many_and_compile():
     rules = license_rules.rules()
     assert len(rules) > 200 and all(re.compile(r[1]) for r in rules)
+
+
+def examples(pattern):
+    """The shortest text of each branch of a parsed regex."""
+    parts = []
+    for op, value in pattern:
+        if op is _parser.LITERAL:
+            parts.append([chr(value)])
+        elif op is _parser.IN:
+            parts.append([chr(value[0][1] if value[0][0] is _parser.LITERAL else value[0][1][0])])
+        elif op is _parser.BRANCH:
+            parts.append([x for branch in value[1] for x in examples(branch)])
+        elif op is _parser.SUBPATTERN:
+            parts.append(examples(value[3]))
+        elif op in (_parser.MAX_REPEAT, _parser.MIN_REPEAT, _parser.POSSESSIVE_REPEAT):
+            parts.append([x * value[0] for x in examples(value[2])] if value[0] else [""])
+        else:
+            raise AssertionError(op)
+    return ["".join(x) for x in itertools.product(*parts)]
+
+
+def test_gate_passes_an_example_of_each_rule():
+    gate = re.compile(licences.GATE.replace("\\x{80}-\\x{10FFFF}", "\x80-\U0010ffff"))
+    missed = {(r[2], x) for r in license_rules.rules() for x in examples(_parser.parse(r[1])) if not gate.search(f" {x}")}
+    assert not missed
+
+
+def test_address_alone_gives_its_label(spark):
+    r = licences.scan_licences(spark.createDataFrame([(1, "see https://mariadb.com/bsl11")], "doc_id int, text string")).first()
+    assert r["labels"] == "busl-1.1"
