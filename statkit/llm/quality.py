@@ -135,18 +135,23 @@ def score_quality(docs: DataFrame, labels: DataFrame, sample: int = 6000, pool:
 
     docs needs doc_id, text, source, lang and n_chars; labels needs doc_id and quality (0 or 1; null rows are not used).
     sample and pool: about so many labelled and unlabelled documents fit the classifiers (all, if fewer), drawn by a hash of
-    doc_id; their features (about 130 numbers a document) are gathered on the driver. Without both labels every score is 1.
+    doc_id, at rates from the numbers of labelled and unlabelled documents that docs has (labels of other ids do not count);
+    their features (about 130 numbers a document) are gathered on the driver. Without both labels every score is 1.
 
     Null text counts as empty; null source, lang and n_chars have features of their own. Null doc_id is scored, never
     sampled. Repeated rows are rows like any other; a doc_id with several labels has them all. An empty table gives no rows.
     """
     marks = labels.select(F.col("doc_id").alias("l_id"), F.col("quality").cast("double").alias("quality")).filter("l_id is not null and quality in (0, 1)").distinct()
     rows = docs.select("doc_id", "text", "source", "lang", F.col("n_chars").cast("long").alias("n_chars"), unit_hash(seed, F.col("doc_id")).alias("draw")).filter("doc_id is not null")
-    n_marks, n_rows = marks.count(), docs.count()
+    # labels of documents that docs has, with the documents' number: identifiers only, no text
+    ids = rows.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
+    known = stored(marks.join(ids, F.col("l_id") == F.col("doc_id")).select("l_id", "quality", "n"), "known")
+    sums = known.groupBy("l_id").agg(F.sum("n").alias("pairs"), F.max("n").alias("n")).agg(F.sum("pairs").alias("pairs"), F.sum("n").alias("n")).first()
+    n_pairs, n_other = sums["pairs"] or 0, rows.count() - (sums["n"] or 0)
     # about `sample` ids: few enough to send to every task, so that no text is shuffled
-    drawn = marks.filter(unit_hash(seed, F.col("l_id")) * max(n_marks, 1) < sample)
+    drawn = known.filter(unit_hash(seed, F.col("l_id")) * max(n_pairs, 1) < sample).select("l_id", "quality")
     first = rows.join(F.broadcast(drawn), F.col("doc_id") == F.col("l_id")).select("draw", "quality", "text", "source", "lang", "n_chars")
-    other = rows.filter(unit_hash(seed + 1, F.col("doc_id")) * max(n_rows - n_marks, 1) < pool).join(marks, F.col("doc_id") == F.col("l_id"), "left_anti")
+    other = rows.filter(unit_hash(seed + 1, F.col("doc_id")) * max(n_other, 1) < pool).join(known, F.col("doc_id") == F.col("l_id"), "left_anti")
     other = other.select("draw", F.lit(None).cast("double").alias("quality"), "text", "source", "lang", "n_chars")
     gathered = first.unionByName(other).mapInArrow(_views, "draw double, quality double, text array<double>, page array<double>")
     gathered = [tuple(r) for r in stored(gathered, "views").collect()]

@@ -28,3 +28,13 @@ def test_odd_rows(spark, odd, none):
     assert quality.score_quality(odd, labels.limit(0)).filter("__q < 0.99").count() == 0
     assert quality.keep_good(odd, labels.limit(0)).columns == odd.columns
     assert quality.score_quality(none, labels).count() == 0
+
+
+def test_labels_of_foreign_ids_do_not_change_the_samples(spark, monkeypatch):
+    docs = spark.range(2000).selectExpr("id AS doc_id", "concat('text ', id) AS text", "'a' AS source", "'en' AS lang", "10L AS n_chars")
+    labels = spark.range(400).selectExpr("id AS doc_id", "cast(id % 2 AS int) AS quality").union(spark.range(10**6, 10**6 + 20_000).selectExpr("id", "cast(id % 2 AS int)"))
+    seen = []
+    monkeypatch.setattr(quality, "cotrain", lambda labelled, pool: seen.append((len(labelled), len(pool))))
+    quality.score_quality(docs, labels, sample=200, pool=200)
+    (labelled, pool), = seen
+    assert 140 <= labelled <= 260 and 140 <= pool <= 260
