@@ -3,7 +3,8 @@
 High-recall generators propose spans. Base kinds (email, ip, card, phone) stay whenever their check holds. The others are
 judged: format and context features of every candidate of the corpus are counted (a small table: the features are few and
 coarse), gradient-boosted trees are fitted on these counts with the base checks and explicit key assignments as labels,
-scores are calibrated on a fold of their own, and each generator gets the lowest threshold that keeps the wanted precision.
+scores are calibrated on a fold of their own, and each generator with positive labels there gets the lowest threshold that
+keeps the wanted precision on it; of the others the calibrated probability itself must reach that precision.
 The trees are then one column expression. The texts are read once; everything is DataFrame functions.
 """
 
@@ -61,6 +62,7 @@ def _candidates(body: Column, kind: int) -> Column:
     def described(x: Column) -> Column:
         m, start = x["m"], x["start"]
         size, digits = F.length(m), F.regexp_replace(m, "[^0-9]", "")
+        before = F.substring(body, F.greatest(start - 23, F.lit(1)), F.least(start, F.lit(24)))
         valid = {
             "email": F.lit(True),
             "ip": m.rlike(IP_PARTS),
@@ -68,9 +70,9 @@ def _candidates(body: Column, kind: int) -> Column:
             "phone": F.length(digits).between(8, 15),
             "secret": F.lit(True),
             "hexkey": F.lit(None).cast("boolean"),
-            "account": F.when(F.length(digits) < 12, F.lit(False)),
+            # few digits are no account, unless they are what local_phone or phone proposes too
+            "account": F.when((F.length(digits) < 12) & ~m.rlike(PATTERNS["local_phone"][1]) & ~before.endswith("+"), F.lit(False)),
         }.get(name, F.lit(None).cast("boolean"))
-        before = F.substring(body, F.greatest(start - 23, F.lit(1)), F.least(start, F.lit(24)))
         return F.struct(
             F.lit(kind).alias("kind"), start.alias("start"), (start + size).alias("till"),
             F.least(F.floor(size / 6), F.lit(7)).cast("int").alias("size"),
@@ -101,9 +103,9 @@ def propose(docs: DataFrame) -> DataFrame:
 
 
 def feature_counts(spans: DataFrame) -> list:
-    """Labelled candidates of the corpus counted by features, label and fold: at most 8*5*4*3*3*3*2*2 * 4 rows."""
+    """Labelled candidates of the corpus counted by kind, features, label and fold: at most 11 * 8*5*4*3*3*3*2*2 * 4 rows."""
     each = spans.select(F.pmod(F.xxhash64("doc_id"), F.lit(4)).alias("h"), F.explode("spans").alias("s")).filter("s.valid is not null")
-    return each.groupBy(*[F.col(f"s.{f}").alias(f) for f in FEATURES], F.col("s.valid").cast("int").alias("label"), (F.col("h") == 0).cast("int").alias("fold")).count().collect()
+    return each.groupBy(F.col("s.kind").alias("kind"), *[F.col(f"s.{f}").alias(f) for f in FEATURES], F.col("s.valid").cast("int").alias("label"), (F.col("h") == 0).cast("int").alias("fold")).count().collect()
 
 
 def boost(counts: list, trees: int = 24, depth: int = 2, rate: float = 0.3) -> tuple[float, list, tuple[float, float]]:
@@ -157,6 +159,35 @@ def boost(counts: list, trees: int = 24, depth: int = 2, rate: float = 0.3) -> t
     return (start, grown, (a, b))
 
 
+def thresholds(counts: list, model: tuple, precision: float) -> list[float]:
+    """Each kind's least score, from the calibration fold of counts (kind, features, label, fold, count).
+
+    A kind with positive labels there: the lowest score at and above which `precision` of its labelled candidates are
+    positive. A kind with none: `precision` as the calibrated probability, and above all of its negative candidates.
+    """
+    start, trees, (a, b) = model
+
+    def leaf(tree, x) -> float:
+        while isinstance(tree, tuple):
+            tree = tree[2] if x[tree[0]] <= tree[1] else tree[3]
+        return tree
+
+    held: dict[int, dict[float, list[int]]] = {}
+    for kind, *x, label, fold, n in map(tuple, counts):
+        if fold == 1:
+            score = 1 / (1 + math.exp(-(a * (start + sum(leaf(t, x) for t in trees)) + b)))
+            held.setdefault(kind, {}).setdefault(round(score, 9), [0, 0])[label] += n
+    out = []
+    for kind in range(len(KINDS)):
+        at, bad, good, least = held.get(kind, {}), 0, 0, None
+        for score in sorted(at, reverse=True):
+            bad, good = bad + at[score][0], good + at[score][1]
+            if good and good >= precision * (good + bad):
+                least = score - 1e-8  # the tasks' sums may round otherwise
+        out.append(max([precision, *[score + 1e-8 for score in at]]) if least is None else least)
+    return out
+
+
 def score_of(span: Column, model: tuple) -> Column:
     """The calibrated probability of a candidate as a column expression."""
     start, trees, (a, b) = model
@@ -177,17 +208,19 @@ def find_personal_data(docs: DataFrame, precision: float = 0.9) -> DataFrame:
 
     docs needs doc_id and text. base: spans (kind, start, till, score) of the base kinds that pass their check, by kind and
     start; redactions: these and the other candidates that the model selects, without any that overlaps a base span, and of
-    others that overlap the one with the higher score. precision: the calibrated probability that a selected candidate must
-    have. Where the corpus has no labelled candidates of both labels, nothing is added to the base. Null text counts as
+    others that overlap the one with the higher score. precision: what the selected candidates of a kind must have on the
+    calibration fold; where a kind has no positive labels there, the calibrated probability that a candidate must have. Where the corpus has no labelled candidates of both labels, nothing is added to the base. Null text counts as
     empty: no spans. Null doc_id and repeated rows are rows like any other. An empty table gives no rows.
     """
     spans = stored(propose(docs), "spans")
-    model = boost(feature_counts(spans))
+    counts = feature_counts(spans)
+    model = boost([tuple(r)[1:] for r in counts])
+    least = F.array(*[F.lit(float(t)) for t in thresholds(counts, model, precision)])
     slim = lambda s, score: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["till"].alias("till"), score.alias("score"))
     base = F.transform(F.filter("spans", lambda s: (s["kind"] < len(BASE)) & s["valid"]), lambda s: slim(s, F.lit(1.0)))
     rows = spans.select("doc_id", base.alias("base"), F.filter("spans", lambda s: s["kind"] >= len(BASE)).alias("more"))
     scored = F.transform("more", lambda s: slim(s, score_of(s, model))) if model[1] else F.expr("cast(array() as array<struct<kind:int,start:int,till:int,score:double>>)")
-    rows = rows.select("doc_id", "base", F.filter(scored, lambda s: s["score"] >= precision).alias("more"))
+    rows = rows.select("doc_id", "base", F.filter(scored, lambda s: s["score"] >= F.element_at(least, s["kind"] + 1)).alias("more"))
     rows = rows.withColumn("more", F.filter("more", lambda s: ~F.exists("base", lambda b: (b["start"] < s["till"]) & (s["start"] < b["till"]))))
     ordered = F.array_sort(F.transform("more", lambda s: F.struct(s["start"].alias("start"), (-s["score"]).alias("less"), s["kind"].alias("kind"), s["till"].alias("till"))))
     kept = "array<struct<start:int,less:double,kind:int,till:int>>"

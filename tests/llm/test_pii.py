@@ -1,6 +1,8 @@
 import hashlib
 import re
 
+from pyspark.sql import functions as F
+
 from statkit.llm import pii, queries
 
 PATTERNS = {
@@ -84,3 +86,20 @@ def test_boosting_learns_and_is_calibrated():
     start, trees, (slope, offset) = pii.boost(rows)
     assert trees and 0.5 < slope < 2 and abs(offset) < 1
     assert pii.boost([])[1] == []
+
+
+def test_each_generator_has_its_own_threshold():
+    secret, account, iban = (pii.KINDS.index(k) for k in ("secret", "account", "iban"))
+    model = (0.0, [(0, 0.0, -2.0, (0, 1.0, 0.0, 2.0))], (1.0, 0.0))  # scores 0.12, 0.5 and 0.88 for sizes 0, 1 and 2
+    row = lambda kind, size, label, n, fold=1: (kind, size, *[0] * 7, label, fold, n)
+    counts = [row(secret, 2, 1, 90), row(secret, 1, 1, 9), row(secret, 1, 0, 1), row(secret, 0, 0, 50), row(secret, 0, 1, 1000, 0), row(account, 1, 0, 5)]
+    least = pii.thresholds(counts, model, 0.9)
+    assert 0.49 < least[secret] <= 0.5 and least[account] == 0.9 and least[iban] == 0.9
+    assert pii.thresholds([row(account, 2, 0, 5)], model, 0.8)[account] > 0.88
+
+
+def test_national_phone_numbers_are_no_negatives(spark):
+    texts = ["call 212-555-1234 now", "call +212 555 1234 now", "number 1234567890 here"]
+    spans = pii.propose(spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")).selectExpr("doc_id", "inline(spans)")
+    account = {r["doc_id"]: r["valid"] for r in spans.filter(F.col("kind") == pii.KINDS.index("account")).collect()}
+    assert account == {0: None, 1: None, 2: False}
