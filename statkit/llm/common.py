@@ -3,18 +3,25 @@
 from __future__ import annotations
 
 import functools
+import re
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+FILTER_BITS = 27  #: a filter has at most 2 ** FILTER_BITS bits (16 MB), so that its broadcast is bounded
+PER_KEY = 5  #: and up to there at least 2 ** PER_KEY bits for each key
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where that is unset."""
-    return (spark.conf.get("spark.checkpoint.dir", None) or _own()).rstrip("/")
+    """The folder that driver and executors share: spark.checkpoint.dir or the context's; in local mode one of our own where both are unset."""
+    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not found and not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return (found or _own()).rstrip("/")
 
 
 @functools.cache
@@ -47,3 +54,61 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def broadcast_if(df: DataFrame, rows: int, most: int = 100_000) -> DataFrame:
     """df marked for broadcast if its known number of rows is at most `most`; else as it is, for a shuffled join."""
     return F.broadcast(df) if rows <= most else df
+
+
+def own_columns(docs: DataFrame, *names: str) -> list[str]:
+    """A name for a helper column for each of `names`, that no column of docs has (names compare without case)."""
+    taken = {c.lower() for c in docs.columns}
+    found = []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        found.append(name)
+    return found
+
+
+def filter_bits(n: int) -> int:
+    """Bits (a power of 2, as exponent) of a filter of n keys."""
+    return min(max((max(n, 1) - 1).bit_length() + PER_KEY, 15), FILTER_BITS)
+
+
+def key_filter(keys: DataFrame, columns: Sequence[str], bits: int) -> DataFrame:
+    """(bucket, bits): a bitmap of 2 ** bits bits with a bit for each key, 4 KB a row; aggregated, never gathered in one task."""
+    place = F.pmod(F.xxhash64(*columns), F.lit(1 << bits)) + 1
+    return keys.select(place.alias("p")).groupBy(F.bitmap_bucket_number("p").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("bits"))
+
+
+def maybe_in(rows: DataFrame, keys: Sequence[Column], found: DataFrame, bits: int) -> tuple[DataFrame, DataFrame]:
+    """rows that may have a key of the filter `found` (key_filter), and rows that certainly have none; each with rows' columns.
+
+    The filter is broadcast: it has at most 2 ** FILTER_BITS bits. Beyond that many keys it lets more rows pass, so a
+    result must not rely on it, only the number of rows that are shuffled afterwards.
+    """
+    bucket, bitmap = own_columns(rows, "bucket", "bits")
+    place = F.pmod(F.xxhash64(*keys), F.lit(1 << bits)) + 1
+    at = F.bitmap_bit_position(place)
+    byte = F.conv(F.hex(F.substring(F.col(bitmap), (F.floor(at / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    joined = rows.join(F.broadcast(found.toDF(bucket, bitmap)), F.bitmap_bucket_number(place) == F.col(bucket), "left")
+    # the byte shifted right by the bit's place, by a power of 2, since a shift takes no column
+    set_ = F.col(bucket).isNotNull() & (F.floor(byte / F.element_at(F.array(*[F.lit(1 << i) for i in range(8)]), (at % 8 + 1).cast("int"))) % 2 == 1)
+    columns = [F.col(f"`{c}`") for c in rows.columns]
+    return joined.filter(set_).select(*columns), joined.filter(~F.coalesce(set_, F.lit(False))).select(*columns)
+
+
+def without(docs: DataFrame, keys: dict[str, Column], lost: DataFrame) -> DataFrame:
+    """docs without the rows whose keys stand in `lost` (columns as in keys; null equals null); all columns of docs.
+
+    Only rows that a broadcast filter lets pass are shuffled; the others stay where they are, with their texts.
+    """
+    n = lost.count()
+    if not n:
+        return docs
+    names = own_columns(docs, *keys)
+    bits = filter_bits(n)
+    rows = docs.select("*", *[k.alias(c) for c, k in zip(names, keys.values(), strict=True)])
+    maybe, rest = maybe_in(rows, [F.col(c) for c in names], key_filter(lost, list(keys), bits), bits)
+    other = lost.select(*[F.col(c).alias(f"{n}_lost") for c, n in zip(keys, names, strict=True)])
+    same = functools.reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"{c}_lost")) for c in names])
+    kept = rest.unionByName(maybe.join(other, same, "left_anti"))
+    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])

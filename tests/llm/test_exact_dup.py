@@ -50,3 +50,38 @@ def test_odd_rows(odd, none):
     assert kept.columns == odd.columns
     texts = [r["text"] or "" for r in kept.collect()]
     assert len(texts) == len(set(texts)) == len({t or "" for _, t in rows})
+
+
+def test_index_takes_rows_in_turn(spark):
+    """Runs are compacted level by level; a memtable's digests are tested against the runs' filters, and only runs with passing ones are read."""
+    index, seen = exact_dup.Index(keep="smallest"), {}
+    for turn in range(5):
+        rows = [(1000 * turn + i, f"text {i if turn == 3 else (turn, i)}".encode()) for i in range(50)] + [(1000 * turn + 999, b"in every turn")]
+        found = exact_dup.add(index, spark.createDataFrame(rows, "doc_id long, digest binary"))
+        hits = {bytes(r["digest"]) for r in found.collect()}
+        assert hits == {d for _, d in rows if d in seen}
+        for i, d in rows:
+            seen.setdefault(d, []).append(i)
+        sizes = [[r.size for r in level] for level in index.levels]
+        assert sum(map(len, sizes)) == bin(turn + 1).count("1")  # as the binary digits of the number of memtables
+    assert index.compactions == 3 and len(index.levels) == 3
+    assert index.tested == 51 * (1 + 1 + 2 + 1) and index.passed < index.tested / 4 and index.looked_up == 5
+    every = spark.createDataFrame([(d,) for d in seen], "digest binary")
+    got = {bytes(r["digest"]): (r["keep_id"], r["n"]) for r in exact_dup.resolved(index, every).collect()}
+    assert got == {d: (min(ids), len(ids)) for d, ids in seen.items()}
+
+
+def test_a_run_without_passing_digests_is_not_read(spark):
+    index = exact_dup.Index()
+    frame = lambda names: spark.createDataFrame([(i, n.encode()) for i, n in enumerate(names)], "doc_id long, digest binary")
+    exact_dup.add(index, frame(f"a{i}" for i in range(20)))
+    assert not exact_dup.add(index, frame(["b"])).take(1)
+    assert (index.tested, index.looked_up, index.compactions) == (1, 0, 1)
+
+
+def test_dropping_keeps_helper_names_and_repeated_rows(spark):
+    rows = [(1, "a", 1), (1, "a", 1), (2, "a", 2), (None, "b", 3), (None, "b", 3), (3, "c", 4), (None, None, 5), (4, "", 6)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, digest int").withColumnsRenamed({}).selectExpr("*", "1 AS bucket", "2 AS bits", "3 AS key", "4 AS n")
+    kept = exact_dup.drop_exact_duplicates(frame)
+    assert kept.columns == frame.columns
+    assert sorted(((r["doc_id"], r["text"], r["digest"]) for r in kept.collect()), key=str) == sorted([(1, "a", 1), (3, "c", 4), (None, "b", 3), (4, "", 6)], key=str)
