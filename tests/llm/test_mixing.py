@@ -72,3 +72,34 @@ def test_longer_documents_are_likelier(spark):
     rows = mixing.pareto_mix(frame, [1.0], share=0.3).collect()
     rate = lambda n: sum(r["copies"] for r in rows if r["size"] == n) / 1000
     assert rate(64) > 3 * rate(1) > 0
+
+
+def test_equal_rows_are_rows_of_their_own(spark):
+    """400 rows that agree in everything: words taken equal the target, in the mix and in the documents it gives."""
+    frame = spark.createDataFrame([(None, "s", "one two", 7)] * 400 + [(1, "t", "w " * 900, 8)], "doc_id long, source string, text string, box int")
+    rows = mixing.pareto_mix(frame, [1.0, 10.0], share=0.7).collect()
+    check_taken = sum(r["taken"] for r in rows if r["source"] == "s")
+    target = next(r["target"] for r in rows if r["source"] == "s")
+    assert 0 < target < 800 and abs(check_taken - target) <= 1 and len(rows) == 401
+    out = mixing.mixed_documents(frame, [1.0, 10.0], share=0.7)
+    assert out.columns == frame.columns
+    assert abs(2 * out.filter("source = 's'").count() - target) <= 2 and out.filter("source = 's' and box <> 7").count() == 0
+
+
+def test_inclusion_frequencies_and_certain_documents(spark):
+    """Over many seeds a document is included as often as its p says; one whose share reaches a whole copy always is."""
+    sizes = [1000] + [100] * 6 + [25] * 24
+    frame = spark.createDataFrame([(i, "s", "w " * n) for i, n in enumerate(sizes)], "doc_id int, source string, text string").cache()
+    seen = dict.fromkeys(range(len(sizes)), 0)
+    for seed in range(12):
+        for r in mixing.pareto_mix(frame, [1.0], share=0.72, most=2.0, seed=seed).collect():  # 1584 words for 2200: all 1000 are certain
+            seen[r["doc_id"]] += r["taken"] / r["size"] / 12
+    assert seen[0] == 1.0
+    scale = (0.72 * sum(sizes) - 1000) / sum(n * n**0.5 for n in sizes[1:])
+    mean = lambda n: sum(seen[i] for i, s in enumerate(sizes) if s == n) / sizes.count(n)
+    assert abs(mean(100) - scale * 10) < 0.12 and abs(mean(25) - scale * 5) < 0.12
+
+
+def test_many_sources_need_no_single_task(spark):
+    frame = spark.range(300).selectExpr("cast(id AS int) AS doc_id", "concat('h', id % 97) AS source", "repeat('w ', cast(1 + id % 23 AS int)) AS text")
+    check(mixing.pareto_mix(frame, queries.MIX_WEIGHTS).collect(), [(r["source"], r["text"]) for r in frame.collect()])
