@@ -7,28 +7,30 @@ bands; classes that share a band are candidates, and each link is confirmed on t
 
 A bucket's pairs are never emitted. First each bucket's smallest member is compared with its others, which collapses
 groups of near copies, and components are joined. Buckets that still hold several components are then compared in full,
-in blocks: members are cut into chunks of BLOCK shingles, each pair of chunks meets in a task of bounded size, where all
-intersections come from a matrix product, and only a spanning forest of the links leaves the task. So no link between
-different texts is lost to a cap. Star pairs whose set sizes exclude a link, or whose signatures agree in far too few
-coordinates for one, are not loaded.
+in blocks: members are cut into classes of similar set sizes and these into chunks of bounded weight, by hash; each pair of
+chunks meets in a task of bounded size, where all intersections come from a matrix product, and only a spanning forest of
+the links leaves the task. So no link between different texts is lost to a cap, and no bucket is ordered in one task. Star
+pairs whose set sizes exclude a link are not loaded, nor are those of buckets that get this second look whose signatures
+agree in far too few coordinates for a link.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import stored, without
 from .components import connected
 
 M64 = (1 << 64) - 1
-BLOCK = 1 << 16  #: shingles of a chunk at most, but for a single longer text
-LEAST = 128  #: what a shorter text counts for; so a chunk has at most BLOCK / LEAST members
+BLOCK = 1 << 16  #: expected weight of a chunk at most, but for a single longer text; a text weighs as much as it has shingles, LEAST,
+LEAST = 128  #: or an eighth of its bytes, whichever is most. So a chunk has about BLOCK / LEAST members and 8 * BLOCK bytes at most
 SLACK = 6.0  #: standard deviations below the expected number of equal coordinates of a just linked pair
 SHINGLE = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63)  #: odd multipliers of a shingle's words
 
@@ -43,12 +45,16 @@ def mixed(x: np.ndarray, a: int, b: int) -> np.ndarray:
 
 
 class Words(dict):
-    """Codes of words (64 bits), kept for reuse; empties itself when it gets large."""
+    """Codes of words (64 bits), kept for reuse: at most MOST words of at most LONG bytes, so its memory is bounded; empties itself when full."""
+
+    MOST, LONG = 150_000, 48
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 400_000:
-            self.clear()
-        code = self[word] = xxhash.xxh3_64_intdigest(word)
+        code = xxhash.xxh3_64_intdigest(word)
+        if len(word) <= self.LONG:
+            if len(self) >= self.MOST:
+                self.clear()
+            self[word] = code
         return code
 
 
@@ -122,10 +128,10 @@ def _links(width: int, percent: int):
         codes, held, held_id = Words(), None, None
         for batch in batches:
             left, right = [], []
-            for a, b, x, y in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
+            for a, b, x, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), batch.column(3), strict=True):
                 if a != held_id:
-                    held, held_id = shingle_codes(x, width, codes), a
-                other = shingle_codes(y, width, codes)
+                    held, held_id = shingle_codes(x.as_py(), width, codes), a
+                other = shingle_codes(y.as_py(), width, codes)  # one pair's texts at a time
                 small, large = sorted((len(held), len(other)))
                 if 100 * small < percent * large:
                     continue
@@ -187,6 +193,45 @@ def _blocks(width: int, percent: int):
     return run
 
 
+def _star_links(members: DataFrame, classes: DataFrame, texts: DataFrame, width: int, percent: int, coordinates: int) -> DataFrame:
+    """Links between each bucket's smallest member and its others. Pairs of buckets that have no second look (two members) are all compared."""
+    pairs = members.filter("head <> low").select(F.col("low").alias("a"), F.col("head").alias("b"), F.col("size").alias("nb"), (F.col("n") == 2).alias("only"))
+    pairs = pairs.groupBy("a", "b").agg(F.max("nb").alias("nb"), F.max("only").alias("only"))
+    sketches = classes.select("head", "size", F.col("s.short").alias("short"))
+    pairs = pairs.join(sketches.toDF("a", "na", "sa"), "a").filter(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
+    pairs = stored(pairs.join(sketches.drop("size").toDF("b", "sb"), "b").select("a", "b", "sa", "sb", "only"), "pairs")
+    linked = percent / 100
+    least = int(coordinates * linked - SLACK * (coordinates * linked * (1 - linked)) ** 0.5)
+    likely = pairs.filter("not only").select("a", "b", "sa", "sb").mapInArrow(_likely(least), "a long, b long")
+    pairs = likely.unionByName(pairs.filter("only").select("a", "b"))
+    loaded = pairs.join(texts.toDF("b", "right"), "b").join(texts.toDF("a", "left"), "a")
+    return loaded.select("a", "b", "left", "right").mapInArrow(_links(width, percent), "a long, b long")
+
+
+def _block_links(members: DataFrame, roots: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """Links inside the buckets that still hold several components, in blocks.
+
+    Linked sets' sizes differ by no more than the similarity, so a bucket is cut by size into classes, and a member meets
+    those of its own and the two neighbouring classes. A class is dealt into chunks by hash; each pair of chunks is a block.
+    """
+    here = members.filter("n > 2").join(roots.withColumnRenamed("node", "head"), "head", "left").withColumn("root", F.coalesce("root", "head"))
+    parted = here.groupBy("band").agg(F.min("root").alias("least"), F.max("root").alias("most")).filter("least <> most")
+    here = here.select("band", "head", "root", "size").join(parted.select("band"), "band", "left_semi")
+    weights = texts.select("head", (F.octet_length("body") / 8).cast("long").alias("bytes"))
+    step = math.log(100 / percent) * (1 + 1e-9) if percent < 100 else 1e-9  # a little more, so that rounding parts no linked pair
+    here = here.join(weights, "head").withColumn("class", F.floor(F.log(F.col("size").cast("double")) / F.lit(step)).cast("long"))
+    here = stored(here.withColumn("weight", F.greatest("size", F.lit(LEAST), "bytes")), "open")
+    classes = stored(here.groupBy("band", "class").agg(F.ceil(F.sum("weight") / BLOCK).alias("chunks")), "classes")
+    own = here.join(classes, ["band", "class"]).withColumn("chunk", F.pmod(F.xxhash64("head"), "chunks"))
+    own = own.select("band", "head", "root", F.struct("class", "chunk").alias("own"), F.explode(F.array(*[F.col("class") + d for d in (-1, 0, 1)])).alias("class"))
+    meets = own.join(classes, ["band", "class"]).withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
+    meets = meets.withColumn("other", F.struct("class", "chunk")).select("band", "head", "root", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"))
+    # blocks of one component, of a class alone or not, need no texts
+    mixed_ = meets.groupBy("band", "x", "y").agg(F.min("root").alias("least"), F.max("root").alias("most")).filter("least <> most").select("band", "x", "y")
+    blocks = meets.join(mixed_, ["band", "x", "y"]).join(texts, "head")
+    return blocks.groupBy("band", "x", "y").applyInArrow(_blocks(width, percent), "a long, b long")
+
+
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: int = 24, rows: int = 4) -> DataFrame:
     """A row per row of docs: doc_id, n_shingles, component_id, kept.
 
@@ -204,33 +249,15 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: i
     sets = sketch.filter("doc_id is not null and digest is not null")
     classes = stored(sets.groupBy("digest").agg(F.min("doc_id").alias("head"), F.min_by(F.struct("bands", "short"), "doc_id").alias("s"), F.min("n_shingles").alias("size")), "classes")
     keys = classes.select("head", "size", F.explode("s.bands").alias("band"))
-    shared = keys.groupBy("band").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    members = stored(keys.join(shared, "band").withColumn("rank", F.row_number().over(Window.partitionBy("band").orderBy("head"))), "members")
-    largest = members.agg(F.max("n")).first()[0] or 0
-
-    involved = members.select("head").distinct()
-    shorts = classes.select("head", F.col("s.short").alias("short"))
-    linked = percent / 100
-    least = int(bands * rows * linked - SLACK * (bands * rows * linked * (1 - linked)) ** 0.5)
-    texts = stored(docs.select(F.col("doc_id").cast("long").alias("head"), F.col("text").alias("body")).join(involved, "head", "left_semi").dropDuplicates(["head"]), "texts", compression="zstd") if largest else None
+    shared = stored(keys.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.min("head").alias("low")).filter("n > 1"), "bands")
+    members = stored(keys.join(shared, "band"), "members")
     roots = None
-    if largest:
-        star = members.filter("rank = 1").select("band", F.col("head").alias("a"), F.col("size").alias("na"))
-        pairs = star.join(members.filter("rank > 1").select("band", F.col("head").alias("b"), F.col("size").alias("nb")), "band")
-        pairs = pairs.filter(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")).select("a", "b").distinct()
-        pairs = pairs.join(shorts.toDF("a", "sa"), "a").join(shorts.toDF("b", "sb"), "b").select("a", "b", "sa", "sb").mapInArrow(_likely(least), "a long, b long")
-        loaded = pairs.join(texts.toDF("b", "right"), "b").join(texts.toDF("a", "left"), "a")
-        links = stored(loaded.select("a", "b", "left", "right").mapInArrow(_links(width, percent), "a long, b long"), "links")
+    if members.take(1):
+        texts = docs.select(F.col("doc_id").cast("long").alias("head"), F.col("text").alias("body")).join(members.select("head").distinct(), "head", "left_semi")
+        texts = stored(texts.dropDuplicates(["head"]), "texts", compression="zstd")
+        links = stored(_star_links(members, classes, texts, width, percent, bands * rows), "links")
         roots = stored(connected(links), "roots")
-
-        here = members.filter("n > 2").join(roots.withColumnRenamed("node", "head"), "head", "left").withColumn("root", F.coalesce("root", "head"))
-        upto = Window.partitionBy("band").orderBy("rank").rowsBetween(Window.unboundedPreceding, 0)
-        here = here.withColumn("chunk", F.floor(F.sum(F.greatest("size", F.lit(LEAST))).over(upto) / BLOCK))
-        parted = here.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.max("chunk").alias("chunks")).filter("low <> high")
-        here = here.join(parted.select("band", "chunks"), "band").select("band", "head", "root", "chunk", "chunks")
-        blocks = here.join(texts, "head").withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks"))))
-        blocks = blocks.groupBy("band", F.least("chunk", "other").alias("low"), F.greatest("chunk", "other").alias("high"))
-        more = stored(blocks.applyInArrow(_blocks(width, percent), "a long, b long"), "links")
+        more = stored(_block_links(members, roots, texts, width, percent), "links")
         if more.take(1):
             roots = stored(connected(links.unionByName(more)), "roots")
 
@@ -247,5 +274,5 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: i
 
 def drop_near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """docs without the rows whose component a smaller doc_id stands for; all columns of docs. Rows with null doc_id stay."""
-    lost = near_duplicates(docs, width, percent).filter("not kept").select(F.col("doc_id").alias("__lost")).distinct()
-    return docs.join(lost, F.col("doc_id") == F.col("__lost"), "left_anti")
+    lost = stored(near_duplicates(docs, width, percent).filter("not kept").select("doc_id").distinct(), "lost")
+    return without(docs, {"doc_id": F.col("doc_id").cast("long")}, lost)

@@ -106,3 +106,33 @@ def test_components(spark):
         root[y] = x
     got = {r["node"]: r["root"] for r in components.connected(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {n: find(n) for n in got} and set(got) == {n for a, b in edges if a != b for n in (a, b)}
+
+
+def test_long_texts_of_one_repeated_line(spark):
+    """Their sets are small and their texts long: chunks are bounded by bytes, so that no block is large."""
+    line = "the same line of some words again and again . "
+    rows = [(i, line * 400 + f"end {i} of text {i % 7}") for i in range(600)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    weight = frame.selectExpr(f"greatest({near_dup.LEAST}, octet_length(text) div 8) AS w").agg({"w": "sum"}).first()[0]
+    assert weight / near_dup.BLOCK > 15  # so many chunks if all stay in one bucket; 128 a text would be one
+    got = result(near_dup.near_duplicates(frame, 3, 85))
+    sets = {i: shingles(t, 3) for i, t in rows[:8]}
+    alike = len(sets[0] & sets[1]) / len(sets[0] | sets[1]) >= 0.85
+    assert not alike and got[0] == (len(sets[0]), 0) and len(got) == 600
+
+
+def test_pairs_of_a_bucket_of_two_are_compared_in_full(spark):
+    """No test of signatures stands before them: with an impossible one they are still found."""
+    rows = [(1, " ".join(f"a{i}" for i in range(200))), (2, " ".join(f"a{i}" for i in range(195)))]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {i for _, i in result(near_dup.near_duplicates(frame, 3, 85)).values()} == {1}
+
+
+def test_word_codes_are_bounded():
+    codes = near_dup.Words()
+    for i in range(near_dup.Words.MOST + 10):
+        codes[b"%d" % i]
+    assert len(codes) <= near_dup.Words.MOST
+    n = len(codes)
+    codes[b"x" * 10_000]
+    assert len(codes) == n and b"x" * 10_000 not in codes
