@@ -23,7 +23,8 @@ from pyspark.sql import functions as F
 from .common import stored
 
 SALTS = 64  #: parts into which the pieces of one length are dealt for ranking
-WORDS = 250_000  #: entries of each of the two generations of a task's word cache
+WORDS = 120_000  #: entries of each of the two generations of a task's word cache
+LONG = 48  #: characters of a word that is kept at most; so the caches' memory is bounded
 PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\s\w]|_)+")  #: the vocabulary's own split, for characters below U+0250
 ODD = re.compile(r"<\||[\x1c-\x1f]")  #: texts with these go through the tokenizer whole
 NUMBERS = frozenset("²³¹¼½¾")
@@ -60,7 +61,8 @@ class WordTokenizer:
         if found is None:
             shown = "".join([self.letters[b] for b in part.encode()])
             found = np.array([t.id for t in self.whole.model.tokenize(shown)], dtype="<u4").tobytes()
-            self.young[part] = found
+            if len(part) <= LONG:
+                self.young[part] = found
         return found
 
     def word(self, word: str) -> bytes:
@@ -75,7 +77,8 @@ class WordTokenizer:
                 found = b"".join([self.piece(p) for p in PARTS.findall(low)])
         if len(self.young) >= WORDS:
             self.old, self.young = self.young, {}
-        self.young[word] = found
+        if len(word) <= LONG:
+            self.young[word] = found
         return found
 
     def __call__(self, text: str) -> bytes:

@@ -83,3 +83,12 @@ def test_sequences_hold_the_pieces_ids(spark):
     whole = {r["sequence_id"]: bytes(r["ids"]) for r in packing.sequences(rows).collect()}
     for r in rows.collect():
         assert whole[r["sequence_id"]][4 * r["offset"] : 4 * (r["offset"] + r["length"])] == bytes(r["ids"])
+
+
+def test_word_caches_are_bounded(monkeypatch):
+    monkeypatch.setattr(packing, "WORDS", 50)
+    own, whole = packing.WordTokenizer(packing.vocabulary_path()), Tokenizer.from_file(packing.vocabulary_path())
+    text = " ".join(f"w{i}x" for i in range(300)) + " " + " ".join("Ab9" * 4000 + str(i) for i in range(3))
+    assert own(text) == np.array(whole.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+    kept = [*own.young, *own.old]
+    assert len(own.old) <= 60 and max(map(len, kept)) <= packing.LONG
