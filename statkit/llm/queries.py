@@ -52,7 +52,7 @@ def op8_mtree_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_cotrain_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang", "n_chars")
     scored = quality.score_quality(docs, table(spark, sf_dir, "labels"))
-    return scored.select("doc_id", F.col("__t").alias("text_score"), F.col("__p").alias("page_score"), F.col("__q").alias("score"), (F.col("__q") >= 0.5).alias("kept"))
+    return scored.select("doc_id", "text_score", "page_score", "score", (F.col("score") >= 0.5).alias("kept"))
 
 
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
