@@ -1,19 +1,22 @@
 """Personal data: overlapping candidates, boosted trees over their features, calibrated thresholds.
 
 High-recall generators propose spans. Base kinds (email, ip, card, phone) stay whenever their check holds. The others are
-judged: format and context features of every candidate of the corpus are counted (a small table: the features are few and
-coarse), gradient-boosted trees are fitted on these counts with the base checks and explicit key assignments as labels,
-scores are calibrated on a fold of their own, and each generator with positive labels there gets the lowest threshold that
-keeps the wanted precision on it; of the others the calibrated probability itself must reach that precision.
+judged by gradient-boosted trees, a set for each generator, over format features (size, digits, distinct characters,
+separators, a checksum or form check) and context features (edges, cue words before the span). They learn from two sources:
+candidates of the corpus that carry evidence (a checksum, a cue word, the form of an assigned value), and seed examples
+written here as patterns, with and without cues, from which a generator learns what a bare span is worth. Features of every
+labelled candidate are counted (a small table: they are few and coarse); the trees are fitted on the counts. Scores are
+calibrated on a fold of their own, and each generator gets the lowest threshold that keeps the wanted precision there.
 The trees are then one column expression. The texts are read once; everything is DataFrame functions.
 """
 
 from __future__ import annotations
 
+import json
 import math
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import stored, whole_text
@@ -36,10 +39,46 @@ PATTERNS = {
     "national_id": ("[0-9]{3}-[0-9]{2}-[0-9]{4}", "(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"),
     "masked_email": ("(?i)[(\\[]at[)\\]]", "(?i)(?<![a-z0-9._%+-])[a-z0-9._%+-]++ ?[(\\[]at[)\\]] ?[a-z0-9-]++(?: ?[(\\[]dot[)\\]] ?[a-z0-9-]++|\\.[a-z0-9-]++)++"),
 }
-CUE = "(?i)card|tel|phone|call|mail|addr|token|key|secret|pass|iban|account|konto|compte|cuenta|contact|ssn|[+]"
 IP_PARTS = "^0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]{1,2})(?:\\.0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]{1,2})){3}$"
-FEATURES = ("size", "digits", "distinct", "seps", "left", "right", "cue", "luhn")  #: of at most 8, 5, 4, 3, 3, 3, 2 and 2 values
-SPAN = "array<struct<kind:int,start:int,till:int,size:int,digits:int,distinct:int,seps:int,left:int,right:int,cue:int,luhn:int,valid:boolean>>"
+#: words before a span that speak for its kind; and those that speak against all kinds
+CUES = {
+    "secret": "token|secret|passw|key",
+    "hexkey": "key|token|secret|passw|bearer|auth|credential|api",
+    "iban": "iban|account|acct|bank|konto|compte|cuenta|transfer|pay",
+    "account": "account|acct|konto|compte|cuenta|bank|a/c",
+    "local_phone": "phone|tel|call|mobile|cell|fax|ring|dial|contact|text me",
+    "national_id": "ssn|social|national|tax|citizen|insurance",
+    "masked_email": "mail|contact|write|reach|send|ask",
+}
+AGAINST = "order|isbn|invoice|part n|part:|serial|version|sku|ref[ .:]|commit|sha|md5|checksum|build|ticket|page|figure|digest|hash"
+#: Seed examples: kind, whether it is one, text. A # is any digit, @ a hexadecimal one, ^ a capital, ? a small letter or digit.
+SEEDS = (
+    ("secret", 1, "token = ????#???a#??"), ("secret", 1, "password: ???????#a?"), ("secret", 1, "api_key=\"^^??#???????????#\""), ("secret", 1, "secret: @@@@@@@@@@@@@@@@@@@@"),
+    ("secret", 0, "password: required"), ("secret", 0, "token = undefined"), ("secret", 0, "secret: something"), ("secret", 0, "access key: described below"),
+    ("hexkey", 1, "@@@@@@@@@@@@@@@@@@@@@@@@@@@@@@@@"), ("hexkey", 1, "use @@@@@@@@@@@@@@@@@@@@@@@@@@@@@@@@@@@@@@@@ here"), ("hexkey", 1, "the key @@@@@@@@@@@@@@@@@@@@@@@@@@@@@@@@, not to share"), ("hexkey", 1, "auth @@@@@@@@@@@@@@@@@@@@@@@@@@@@@@@@@@@@@@@@@@@@@@@@@@@@@@@@@@@@@@@@"),
+    ("hexkey", 0, "commit @@@@@@@@@@@@@@@@@@@@@@@@@@@@@@@@@@@@@@@@"), ("hexkey", 0, "md5 @@@@@@@@@@@@@@@@@@@@@@@@@@@@@@@@"), ("hexkey", 0, "0000000000000000000000000000000#"), ("hexkey", 0, "sha256: @@@@@@@@@@@@@@@@@@@@@@@@@@@@@@@@@@@@@@@@@@@@@@@@@@@@@@@@@@@@@@@@"),
+    ("iban", 1, "DE~~################"), ("iban", 1, "iban DE~~ #### #### #### #### ##"), ("iban", 1, "pay to DE~~ #### #### #### #### ## today"), ("iban", 1, "DE~~ #### #### #### #### ##"),
+    ("iban", 0, "DE99 #### #### #### #### ##"), ("iban", 0, "part no AB12 C#D# E#F# ####"), ("iban", 0, "^^##^###^###^###"), ("iban", 0, "order DE01################"),
+    ("account", 1, "account ############"), ("account", 1, "bank account no ##########"), ("account", 1, "konto #### #### ####"), ("account", 1, "acct: ###########"),
+    ("account", 0, "############"), ("account", 0, "order ############"), ("account", 0, "in ########## cases"), ("account", 0, "isbn #############"),
+    ("local_phone", 1, "###-###-####"), ("local_phone", 1, "call (###) ###-####"), ("local_phone", 1, "tel ###.###.####"), ("local_phone", 1, "my number is ###-###-#### if needed"),
+    ("local_phone", 0, "version ###.###.####"), ("local_phone", 0, "order ###-###-####"), ("local_phone", 0, "serial ### ### ####"), ("local_phone", 0, "part no ###-###-####x"),
+    ("national_id", 1, "123-45-####"), ("national_id", 1, "ssn 4##-1#-1###"), ("national_id", 1, "my social security number is 2##-3#-2###"), ("national_id", 1, "it was 5##-2#-3### all along"),
+    ("national_id", 0, "000-##-####"), ("national_id", 0, "9##-##-####"), ("national_id", 0, "part no 4##-1#-1###"), ("national_id", 0, "isbn 2##-3#-2###"),
+    ("masked_email", 1, "^?? (at) m??l (dot) org"), ("masked_email", 1, "write to j?e [at] ????.com"), ("masked_email", 1, "j?e.d?e(at)m??l(dot)net"), ("masked_email", 1, "???? [at] ???? [dot] de"),
+    ("masked_email", 0, "look (at) figure.##"), ("masked_email", 0, "see (at) point.#.#"), ("masked_email", 0, "at noon (at) 12.##"), ("masked_email", 0, "page (at) 3.#"),
+)
+COPIES = 40  #: texts made of each seed example
+FEATURES = ("size", "digits", "distinct", "seps", "left", "right", "cue", "check")  #: of at most 8, 5, 4, 3, 3, 3, 3 and 2 values
+SPAN = "array<struct<kind:int,start:int,till:int,size:int,digits:int,distinct:int,seps:int,left:int,right:int,cue:int,check:int,valid:boolean>>"
+
+
+def mod97(text: Column) -> Column:
+    """The remainder by 97 of an account number in the international form, its first four characters moved to the end."""
+    plain = F.regexp_replace(text, " ", "")
+    letters = F.split(F.concat(F.substring(plain, F.lit(5), F.length(plain)), F.substring(plain, 1, 4)), "")
+    value = lambda c: F.when(F.ascii(c) >= 65, F.ascii(c) - 55).otherwise(F.ascii(c) - 48)
+    return F.aggregate(letters, F.lit(0), lambda acc, c: F.when(c == "", acc).otherwise(F.pmod(acc * F.when(value(c) > 9, 100).otherwise(10) + value(c), F.lit(97))))
 
 
 def _edge(c: Column) -> Column:
@@ -62,17 +101,30 @@ def _candidates(body: Column, kind: int) -> Column:
     def described(x: Column) -> Column:
         m, start = x["m"], x["start"]
         size, digits = F.length(m), F.regexp_replace(m, "[^0-9]", "")
-        before = F.substring(body, F.greatest(start - 23, F.lit(1)), F.least(start, F.lit(24)))
+        before = F.lower(F.substring(body, F.greatest(start - 23, F.lit(1)), F.least(start, F.lit(24))))
+        value = F.regexp_replace(F.regexp_extract(m, "[=:] ?(.*)$", 1), "[\"']", "")
+        check = {  # a checksum, or the form that a true one has
+            "card": F.call_function("luhn_check", digits),
+            "account": F.call_function("luhn_check", digits),
+            "iban": mod97(m) == 1,
+            "national_id": ~m.rlike("^(?:000|666|9)|-00-|-0000$"),
+            "masked_email": m.rlike("(?i)[a-z][a-z0-9-]*(?: ?[(\\[]dot[)\\]] ?|\\.)[a-z]{2,6}$"),
+            "secret": value.rlike("[0-9]") & value.rlike("[A-Za-z]") | (F.length(value) >= 24),
+            "hexkey": F.length(m).isin(32, 40, 64, 128),
+            "local_phone": m.rlike("^\\(|([ .-])[0-9]{3}\\1"),
+        }.get(name, F.lit(True))
+        cue = F.when(before.rlike(AGAINST), 2).when(before.rlike(CUES[name]), 1).otherwise(0) if name in CUES else F.lit(0)
+        spoken = F.when(cue == 1, F.lit(True)).when(cue == 2, F.lit(False))  # null: no evidence
         valid = {
             "email": F.lit(True),
             "ip": m.rlike(IP_PARTS),
-            "card": F.length(digits).between(16, 19) & F.call_function("luhn_check", digits),
+            "card": F.length(digits).between(16, 19) & check,
             "phone": F.length(digits).between(8, 15),
-            "secret": F.lit(True),
-            "hexkey": F.lit(None).cast("boolean"),
-            # few digits are no account, unless they are what local_phone or phone proposes too
-            "account": F.when((F.length(digits) < 12) & ~m.rlike(PATTERNS["local_phone"][1]) & ~before.endswith("+"), F.lit(False)),
-        }.get(name, F.lit(None).cast("boolean"))
+            "secret": check, "iban": check, "masked_email": check,
+            "national_id": F.when(~check, F.lit(False)).otherwise(spoken),
+            # what local_phone or phone proposes too is no account, and nothing is said of it here
+            "account": F.when(~m.rlike(PATTERNS["local_phone"][1]) & ~before.endswith("+"), spoken),
+        }.get(name, spoken)
         return F.struct(
             F.lit(kind).alias("kind"), start.alias("start"), (start + size).alias("till"),
             F.least(F.floor(size / 6), F.lit(7)).cast("int").alias("size"),
@@ -81,8 +133,8 @@ def _candidates(body: Column, kind: int) -> Column:
             F.least(F.length(F.regexp_replace(m, "[^ .()-]", "")), F.lit(2)).alias("seps"),
             _edge(F.substring(before, -1, 1)).alias("left"),
             _edge(F.substring(body, start + size + 1, F.lit(1))).alias("right"),
-            before.rlike(CUE).cast("int").alias("cue"),
-            F.call_function("luhn_check", digits).cast("int").alias("luhn"),
+            cue.alias("cue"),
+            F.coalesce(check, F.lit(False)).cast("int").alias("check"),
             valid.alias("valid"),
         )
 
@@ -102,10 +154,52 @@ def propose(docs: DataFrame) -> DataFrame:
     return rows.select("doc_id", F.when(F.col("any"), F.concat(*[_candidates(F.col("body"), k) for k in range(len(KINDS))])).otherwise(nothing).alias("spans"))
 
 
+def seeded(spark: SparkSession) -> DataFrame:
+    """(kind, label, fold, text): COPIES texts of each seed example, with other characters each; the same in every run."""
+    listed = json.dumps([{"kind": KINDS.index(kind), "label": label, "text": text} for kind, label, text in SEEDS])
+    rows = spark.range(1).select(F.explode(F.from_json(F.lit(listed), "array<struct<kind:int,label:int,text:string>>")).alias("s"))
+    rows = rows.select("s.*", F.explode(F.sequence(F.lit(0), F.lit(COPIES - 1))).alias("copy"))
+    any_of = lambda letters, i: F.substring(F.lit(letters), F.pmod(F.xxhash64("text", "copy", i), F.lit(len(letters))).cast("int") + 1, F.lit(1))
+    signs = {"#": "0123456789", "@": "0123456789abcdef", "^": "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "?": "abcdefghijklmnopqrstuvwxyz0123456789"}
+
+    def filled(c: Column, i: Column) -> Column:
+        out = F.when(c == "#", any_of(signs["#"], i))
+        for sign in "@^?":
+            out = out.when(c == sign, any_of(signs[sign], i))
+        return out.otherwise(c)
+
+    rows = rows.withColumn("text", F.array_join(F.transform(F.split("text", ""), filled), ""))
+    number = F.concat(F.lit("DE00"), F.regexp_replace(F.regexp_extract("text", "~~([0-9 ]*[0-9])", 1), " ", ""))
+    digits = F.lpad((98 - mod97(number)).cast("string"), 2, "0")
+    fold = (F.pmod(F.col("copy"), F.lit(4)) == 0).cast("int")
+    return rows.select("kind", "label", fold.alias("fold"), F.replace("text", F.lit("~~"), digits).alias("text"))
+
+
 def feature_counts(spans: DataFrame) -> list:
-    """Labelled candidates of the corpus counted by kind, features, label and fold: at most 11 * 8*5*4*3*3*3*2*2 * 4 rows."""
-    each = spans.select(F.pmod(F.xxhash64("doc_id"), F.lit(4)).alias("h"), F.explode("spans").alias("s")).filter("s.valid is not null")
-    return each.groupBy(F.col("s.kind").alias("kind"), *[F.col(f"s.{f}").alias(f) for f in FEATURES], F.col("s.valid").cast("int").alias("label"), (F.col("h") == 0).cast("int").alias("fold")).count().collect()
+    """Labelled candidates counted by origin, kind, features, label and fold; bounded by the features' values, whatever the corpus.
+
+    origin 0: candidates of the corpus with evidence; 1: of the seed examples. (origin, kind, *features, label, fold, n).
+    """
+    each = spans.select(F.pmod(F.xxhash64("doc_id"), F.lit(4)).alias("h"), F.explode("spans").alias("s")).filter(f"s.valid is not null and s.kind >= {len(BASE)}")
+    each = each.select(F.lit(0).alias("origin"), "s.kind", *[f"s.{f}" for f in FEATURES], F.col("s.valid").cast("int").alias("label"), (F.col("h") == 0).cast("int").alias("fold"))
+    seeds = stored(seeded(spans.sparkSession), "seeds")  # written, else their texts would be made anew for each use of them
+    seeds = propose(seeds.select(F.struct("kind", "label", "fold").alias("doc_id"), "text"))
+    seeds = seeds.select("doc_id", F.explode("spans").alias("s")).filter("s.kind = doc_id.kind")
+    seeds = seeds.select(F.lit(1).alias("origin"), "s.kind", *[f"s.{f}" for f in FEATURES], "doc_id.label", "doc_id.fold")
+    return each.unionByName(seeds).groupBy("origin", "kind", *FEATURES, "label", "fold").count().collect()
+
+
+def weighed(counts: list) -> dict[int, list]:
+    """By kind: (*features, label, fold, weight). Each label of each origin weighs the same in a fold, so that neither floods the other."""
+    total: dict[tuple, int] = {}
+    for origin, kind, *x, label, fold, n in map(tuple, counts):
+        total[origin, kind, label, fold] = total.get((origin, kind, label, fold), 0) + n
+    out: dict[int, dict] = {}
+    for origin, kind, *x, label, fold, n in sorted(map(tuple, counts)):
+        rows = out.setdefault(kind, {})
+        key = (*x, label, fold)
+        rows[key] = rows.get(key, 0.0) + 1000 * n / total[origin, kind, label, fold]
+    return {kind: [(*key, w) for key, w in rows.items()] for kind, rows in out.items()}
 
 
 def boost(counts: list, trees: int = 24, depth: int = 2, rate: float = 0.3) -> tuple[float, list, tuple[float, float]]:
@@ -159,12 +253,8 @@ def boost(counts: list, trees: int = 24, depth: int = 2, rate: float = 0.3) -> t
     return (start, grown, (a, b))
 
 
-def thresholds(counts: list, model: tuple, precision: float) -> list[float]:
-    """Each kind's least score, from the calibration fold of counts (kind, features, label, fold, count).
-
-    A kind with positive labels there: the lowest score at and above which `precision` of its labelled candidates are
-    positive. A kind with none: `precision` as the calibrated probability, and above all of its negative candidates.
-    """
+def threshold(counts: list, model: tuple, precision: float) -> float:
+    """The least score at and above which `precision` of the calibration fold's weight is positive; 1.1 (nothing) if there is none."""
     start, trees, (a, b) = model
 
     def leaf(tree, x) -> float:
@@ -172,66 +262,59 @@ def thresholds(counts: list, model: tuple, precision: float) -> list[float]:
             tree = tree[2] if x[tree[0]] <= tree[1] else tree[3]
         return tree
 
-    held: dict[int, dict[float, list[int]]] = {}
-    for kind, *x, label, fold, n in map(tuple, counts):
+    at: dict[float, list[float]] = {}
+    for *x, label, fold, n in counts:
         if fold == 1:
             score = 1 / (1 + math.exp(-(a * (start + sum(leaf(t, x) for t in trees)) + b)))
-            held.setdefault(kind, {}).setdefault(round(score, 9), [0, 0])[label] += n
-    out = []
-    for kind in range(len(KINDS)):
-        at, bad, good, least = held.get(kind, {}), 0, 0, None
-        for score in sorted(at, reverse=True):
-            bad, good = bad + at[score][0], good + at[score][1]
-            if good and good >= precision * (good + bad):
-                least = score - 1e-8  # the tasks' sums may round otherwise
-        out.append(max([precision, *[score + 1e-8 for score in at]]) if least is None else least)
-    return out
+            at.setdefault(round(score, 9), [0.0, 0.0])[label] += n
+    bad, good, least = 0.0, 0.0, 1.1
+    for score in sorted(at, reverse=True):
+        bad, good = bad + at[score][0], good + at[score][1]
+        if good and good >= precision * (good + bad):
+            least = score - 1e-8  # the tasks' sums may round otherwise
+    return least
 
 
-def score_of(span: Column, model: tuple) -> Column:
-    """The calibrated probability of a candidate as a column expression."""
-    start, trees, (a, b) = model
+def score_of(span: Column, models: dict[int, tuple]) -> Column:
+    """The calibrated probability of a candidate, by its kind's trees, as a column expression; 0 for a kind without."""
 
     def shown(tree) -> Column:
         if not isinstance(tree, tuple):
             return F.lit(float(tree))
         return F.when(span[FEATURES[tree[0]]] <= tree[1], shown(tree[2])).otherwise(shown(tree[3]))
 
-    total = F.lit(float(start))
-    for tree in trees:
-        total = total + shown(tree)
-    return 1 / (1 + F.exp(-(total * float(a) + float(b))))
+    out = F.lit(0.0)
+    for kind, (start, trees, (a, b)) in models.items():
+        total = F.lit(float(start))
+        for tree in trees:
+            total = total + shown(tree)
+        out = F.when(span["kind"] == kind, 1 / (1 + F.exp(-(total * float(a) + float(b))))).otherwise(out)
+    return out
 
 
 def find_personal_data(docs: DataFrame, precision: float = 0.9) -> DataFrame:
     """A row per row of docs: doc_id, n_email, n_ip, n_card, n_phone, base, redactions.
 
     docs needs doc_id and text. base: spans (kind, start, till, score) of the base kinds that pass their check, by kind and
-    start; redactions: these and the other candidates that the model selects, without any that overlaps a base span, and of
-    others that overlap the one with the higher score. precision: what the selected candidates of a kind must have on the
-    calibration fold; where a kind has no positive labels there, the calibrated probability that a candidate must have. Where the corpus has no labelled candidates of both labels, nothing is added to the base. Null text counts as
-    empty: no spans. Null doc_id and repeated rows are rows like any other. An empty table gives no rows.
+    start; redactions: these and the other candidates that the model selects, without any that overlaps a base span; of
+    others that overlap, the one with the highest score stays, then the best of those that overlap none that stays, and so
+    on. precision: what the selected candidates of a kind must have on the calibration fold. Null text counts as empty: no
+    spans. Null doc_id and repeated rows are rows like any other. An empty table gives no rows.
     """
     spans = stored(propose(docs), "spans")
-    counts = feature_counts(spans)
-    model = boost([tuple(r)[1:] for r in counts])
-    least = F.array(*[F.lit(float(t)) for t in thresholds(counts, model, precision)])
+    counts = weighed(feature_counts(spans))
+    models = {kind: boost(rows) for kind, rows in counts.items()}
+    least = F.array(*[F.lit(float(threshold(counts[k], models[k], precision)) if k in models else 1.1) for k in range(len(KINDS))])
     slim = lambda s, score: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["till"].alias("till"), score.alias("score"))
     base = F.transform(F.filter("spans", lambda s: (s["kind"] < len(BASE)) & s["valid"]), lambda s: slim(s, F.lit(1.0)))
     rows = spans.select("doc_id", base.alias("base"), F.filter("spans", lambda s: s["kind"] >= len(BASE)).alias("more"))
-    scored = F.transform("more", lambda s: slim(s, score_of(s, model))) if model[1] else F.expr("cast(array() as array<struct<kind:int,start:int,till:int,score:double>>)")
+    scored = F.transform("more", lambda s: slim(s, score_of(s, models)))
     rows = rows.select("doc_id", "base", F.filter(scored, lambda s: s["score"] >= F.element_at(least, s["kind"] + 1)).alias("more"))
     rows = rows.withColumn("more", F.filter("more", lambda s: ~F.exists("base", lambda b: (b["start"] < s["till"]) & (s["start"] < b["till"]))))
-    ordered = F.array_sort(F.transform("more", lambda s: F.struct(s["start"].alias("start"), (-s["score"]).alias("less"), s["kind"].alias("kind"), s["till"].alias("till"))))
-    kept = "array<struct<start:int,less:double,kind:int,till:int>>"
-
-    def choose(out: Column, s: Column) -> Column:
-        last = F.element_at(out, -1)
-        apart = (F.size(out) == 0) | (F.try_element_at(out, F.lit(-1))["till"] <= s["start"])
-        better = s["less"] < last["less"]
-        return F.when(apart, F.concat(out, F.array(s))).when(better, F.concat(F.slice(out, F.lit(1), F.size(out) - 1), F.array(s))).otherwise(out)
-
-    chosen = F.aggregate(ordered, F.expr(f"cast(array() as {kept})"), choose)
+    ordered = F.array_sort(F.transform("more", lambda s: F.struct((-s["score"]).alias("less"), s["start"].alias("start"), s["kind"].alias("kind"), s["till"].alias("till"))))
+    kept = "array<struct<less:double,start:int,kind:int,till:int>>"
+    free = lambda out, s: ~F.exists(out, lambda o: (o["start"] < s["till"]) & (s["start"] < o["till"]))
+    chosen = F.aggregate(ordered, F.expr(f"cast(array() as {kept})"), lambda out, s: F.when(free(out, s), F.concat(out, F.array(s))).otherwise(out))
     chosen = F.array_sort(F.transform(chosen, lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["till"].alias("till"), (-s["less"]).alias("score"))))
     of = lambda k: F.size(F.filter("base", lambda s: s["kind"] == k)).cast("long")
     counts = [of(k).alias(f"n_{name}") for k, name in enumerate(BASE)]
