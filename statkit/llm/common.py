@@ -97,7 +97,7 @@ def maybe_in(rows: DataFrame, keys: Sequence[Column], found: DataFrame, bits: in
 
 
 def without(docs: DataFrame, keys: dict[str, Column], lost: DataFrame) -> DataFrame:
-    """docs without the rows whose keys stand in `lost` (columns as in keys; null equals null); all columns of docs.
+    """docs without the rows whose keys stand in `lost` (columns as in keys, distinct; null equals null); all columns of docs.
 
     Only rows that a broadcast filter lets pass are shuffled; the others stay where they are, with their texts.
     """
@@ -110,5 +110,7 @@ def without(docs: DataFrame, keys: dict[str, Column], lost: DataFrame) -> DataFr
     maybe, rest = maybe_in(rows, [F.col(c) for c in names], key_filter(lost, list(keys), bits), bits)
     other = lost.select(*[F.col(c).alias(f"{n}_lost") for c, n in zip(keys, names, strict=True)])
     same = functools.reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"{c}_lost")) for c in names])
-    kept = rest.unionByName(maybe.join(other, same, "left_anti"))
+    # no anti join: the optimizer would move it before the filter, and so shuffle all of docs
+    (mark,) = own_columns(rows, "lost")
+    kept = rest.unionByName(maybe.join(other.withColumn(mark, F.lit(True)), same, "left").filter(F.col(mark).isNull()).select(*[F.col(f"`{c}`") for c in rows.columns]))
     return kept.select(*[F.col(f"`{c}`") for c in docs.columns])

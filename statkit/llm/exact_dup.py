@@ -133,7 +133,7 @@ def exact_duplicates(docs: DataFrame, keep: str = "smallest", digest_bits: int =
     texts = docs.select("doc_id", whole_text().alias("body")).withColumn("digest", digest_of(F.col("body"), digest_bits))
     texts, _ = maybe_in(texts, [F.col("digest")], hit_filter, bits)
     passing, _ = maybe_in(rows, [F.col("digest")], hit_filter, bits)
-    single = single.unionByName(passing.join(hits, "digest", "left_anti").select("doc_id", "digest"))  # what the filter let pass wrongly
+    single = single.unionByName(passing.join(hits, "digest", "left").filter("n is null").select("doc_id", "digest"))  # what the filter let pass wrongly
 
     # the text of each row that stays: by digest and identifier, so that a hot digest is no hot key
     keeper_filter = key_filter(hits, ["digest", "keep_id"], bits)
