@@ -27,6 +27,12 @@ def with_headers(df: DataFrame, renames: Mapping[str, str] | None = None) -> Dat
     return df.toDF(*[header(c) for c in df.columns]).withColumnsRenamed(dict(renames or {}))
 
 
+def renamed_for(df: DataFrame, by_year: Mapping[int, Mapping[str, str]], year: int) -> DataFrame:
+    """with_headers, by the dictionary of the latest year that is not after `year`."""
+    years = [y for y in by_year if y <= year]
+    return with_headers(df, by_year[max(years)] if years else None)
+
+
 def squeezed(c: Column) -> Column:
     """Without quotes around it and zero-width characters, white space collapsed."""
     c = F.regexp_replace(c, "[\\x{200B}\\x{200C}\\x{200D}\\x{FEFF}]", "")

@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from statkit.functions.text import match_key
 
@@ -68,8 +69,20 @@ def stale_codes(facts: DataFrame, dim: DataFrame, code: str, name: str, dim_code
     return joined.withColumn("stale", F.coalesce(F.col("__c") != F.col(code), F.lit(False))).withColumn(code, F.coalesce("__c", code)).drop("__k", "__n", "__c")
 
 
+def unreadable(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """A row per column of schema: how many values df's text column gives, and how many of them the type can't hold (Q10)."""
+    parts = []
+    for f in schema.fields:
+        lost = F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull()
+        parts.append(F.struct(F.lit(f.name).alias("column"), F.count(f.name).alias("given"), F.count_if(lost).alias("unreadable")))
+    return df.agg(F.array(*parts).alias("p")).select(F.inline("p"))
+
+
 def profile(df: DataFrame, distinct: bool = True) -> DataFrame:
-    """A row per column: nulls, share of nulls, distinct values, smallest and largest as text, whether all are numbers."""
+    """A row per column: nulls, share of nulls, distinct values, smallest and largest as text, a sample value, the narrowest type.
+
+    The sample is the value whose MD5 is smallest. inferred: integer, number or date if all values are such, else text.
+    """
     parts = []
     for c in df.columns:
         text = F.col(c).cast("string")
@@ -79,6 +92,8 @@ def profile(df: DataFrame, distinct: bool = True) -> DataFrame:
             (F.countDistinct(c) if distinct else F.approx_count_distinct(c)).alias("values"),
             F.min(text).alias("low"), F.max(text).alias("high"),
             (F.count_if(text.try_cast("double").isNotNull()) == F.count(c)).alias("numeric"),
+            F.min_by(text, F.md5(text)).alias("sample"),
+            F.when(F.count(c) == 0, "empty").when(F.count_if(text.try_cast("bigint").isNotNull()) == F.count(c), "integer").when(F.count_if(text.try_cast("double").isNotNull()) == F.count(c), "number").when(F.count_if(text.try_cast("date").isNotNull()) == F.count(c), "date").otherwise("text").alias("inferred"),
         ))
     return df.agg(F.array(*parts).alias("p")).select(F.inline("p"))
 

@@ -53,10 +53,10 @@ class Catalogue:
                 raise InvalidIndicator(f"{one.id}: parameters {sorted(used ^ set(one.parameters))}")
             self._by_id[one.id] = one
 
-    def check(self, spark: SparkSession) -> None:
-        """Analyses every query: its columns must be the five of SHAPE, in order."""
+    def check(self, spark: SparkSession, frames: Mapping[str, DataFrame] | None = None) -> None:
+        """Analyses every query: its columns must be the five of SHAPE, in order. frames: tables that a query names in braces."""
         for one in self._by_id.values():
-            found = tuple(spark.sql(one.sql, args=dict.fromkeys(one.parameters)).columns)
+            found = tuple(spark.sql(one.sql, args=dict.fromkeys(one.parameters), **(frames or {})).columns)
             if found != SHAPE:
                 raise InvalidIndicator(f"{one.id}: columns {found}")
 
@@ -64,7 +64,7 @@ class Catalogue:
         """Descriptions without the SQL."""
         return [{k: v for k, v in vars(i).items() if k != "sql"} for i in self._by_id.values() if theme in (None, i.theme) and level in (None, i.level)]
 
-    def run(self, spark: SparkSession, id: str, most: int | None = 5000, **given) -> DataFrame:
+    def run(self, spark: SparkSession, id: str, most: int | None = 5000, frames: Mapping[str, DataFrame] | None = None, **given) -> DataFrame:
         """The indicator's rows for typed parameters; more than `most` is an error (I4)."""
         if id not in self._by_id:
             raise InvalidIndicator(f"unknown indicator {id}")
@@ -80,5 +80,5 @@ class Catalogue:
                 bound[name] = None if value is None else KINDS[p.kind](value)
             except (TypeError, ValueError) as error:
                 raise InvalidIndicator(f"{id}: {name} must be {p.kind}") from error
-        rows = spark.sql(one.sql, args=bound).select(*[F.col(c) for c in SHAPE])
+        rows = spark.sql(one.sql, args=bound, **(frames or {})).select(*[F.col(c) for c in SHAPE])
         return rows if most is None else limited(rows, most, list(one.parameters))

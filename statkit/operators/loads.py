@@ -131,6 +131,12 @@ def overwrite_scopes(df: DataFrame, path: str, scope: Sequence[str]) -> None:
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*scope).parquet(path)
 
 
+def traced(df: DataFrame, source: str, version: str, processed: str) -> DataFrame:
+    """df with its source, version, processing date (yyyy-MM-dd) and the SHA-256 of each row's values as text."""
+    content = F.concat_ws("\x1f", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in df.columns])
+    return df.withColumns({"source": F.lit(source), "version": F.lit(version), "processed": F.lit(processed).cast("date"), "content_sha256": F.sha2(content.cast("binary"), 256)})
+
+
 def load_each(loads: Mapping[str, Callable[[], None]]) -> None:
     """Runs independent loads; one that fails does not stop the others, and all errors are raised at the end."""
     failed = {}

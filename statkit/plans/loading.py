@@ -131,8 +131,8 @@ def stale_codes(t, spark):
 
 
 @query("""
-SELECT 'o_orderkey' AS "column", 0::BIGINT AS nulls, 0.0::DOUBLE AS null_share, count(DISTINCT o_orderkey) AS values, min(o_orderkey::VARCHAR) AS low, max(o_orderkey::VARCHAR) AS high, true AS numeric FROM orders
-UNION ALL SELECT 'status', count(*) FILTER (o_orderstatus = 'P'), round(count(*) FILTER (o_orderstatus = 'P') * 1.0::DOUBLE / count(*), 6), count(DISTINCT CASE WHEN o_orderstatus <> 'P' THEN o_orderstatus END), min(CASE WHEN o_orderstatus <> 'P' THEN o_orderstatus END), max(CASE WHEN o_orderstatus <> 'P' THEN o_orderstatus END), false FROM orders""")
+SELECT 'o_orderkey' AS "column", 0::BIGINT AS nulls, 0.0::DOUBLE AS null_share, count(DISTINCT o_orderkey) AS values, min(o_orderkey::VARCHAR) AS low, max(o_orderkey::VARCHAR) AS high, true AS numeric, arg_min(o_orderkey::VARCHAR, md5(o_orderkey::VARCHAR)) AS sample, 'integer' AS inferred FROM orders
+UNION ALL SELECT 'status', count(*) FILTER (o_orderstatus = 'P'), round(count(*) FILTER (o_orderstatus = 'P') * 1.0::DOUBLE / count(*), 6), count(DISTINCT CASE WHEN o_orderstatus <> 'P' THEN o_orderstatus END), min(CASE WHEN o_orderstatus <> 'P' THEN o_orderstatus END), max(CASE WHEN o_orderstatus <> 'P' THEN o_orderstatus END), false, arg_min(o_orderstatus, md5(o_orderstatus)) FILTER (o_orderstatus <> 'P'), 'text' FROM orders""")
 def column_profile(t, spark):
     """A profile of each column in one pass."""
     return checks.profile(t("orders").select("o_orderkey", F.when(F.col("o_orderstatus") != "P", F.col("o_orderstatus")).alias("status")))
@@ -143,23 +143,22 @@ CATALOGUE = Catalogue(
         "orders_rate", "trade", "orders per 1,000 customers", "nation", "orders",
         """SELECT lpad(cast(c_nationkey AS string), 2, '0') AS geo_key, n_name AS geo_name, date_format(trunc(o_orderdate, 'YEAR'), 'yyyy') AS period,
              round(count(*) * 1000D / any_value(people), 2) AS value, cast(NULL AS string) AS category
-           FROM orders JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey
-             JOIN (SELECT c_nationkey AS k, count(*) AS people FROM customer GROUP BY 1) ON k = c_nationkey
+           FROM {orders} JOIN {customer} ON c_custkey = o_custkey JOIN {nation} ON n_nationkey = c_nationkey
+             JOIN (SELECT c_nationkey AS k, count(*) AS people FROM {customer} GROUP BY 1) ON k = c_nationkey
            WHERE (:year IS NULL OR year(o_orderdate) = :year) AND (:nation IS NULL OR n_name ILIKE :nation) GROUP BY c_nationkey, n_name, trunc(o_orderdate, 'YEAR')""",
         {"year": Parameter("int"), "nation": Parameter("str")},
     ),
     Indicator(
         "status_share", "trade", "percent", "country", "orders",
         """SELECT '00' AS geo_key, 'all' AS geo_name, cast(year(o_orderdate) AS string) AS period, round(count(*) * 100D / sum(count(*)) OVER (PARTITION BY year(o_orderdate)), 2) AS value, o_orderstatus AS category
-           FROM orders WHERE year(o_orderdate) BETWEEN :first AND :last GROUP BY year(o_orderdate), o_orderstatus""",
+           FROM {orders} WHERE year(o_orderdate) BETWEEN :first AND :last GROUP BY year(o_orderdate), o_orderstatus""",
         {"first": Parameter("int", True), "last": Parameter("int", True)},
     ),
 )
 
 
-def _views(t):
-    for name in ("orders", "customer", "nation"):
-        t(name).createOrReplaceTempView(name)
+def _frames(t):
+    return {name: t(name) for name in ("orders", "customer", "nation")}
 
 
 @query("""
@@ -168,8 +167,7 @@ FROM orders JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey =
 WHERE n_name ILIKE 'nation_1_' GROUP BY c_nationkey, n_name, year(o_orderdate)""")
 def indicator_optional(t, spark):
     """An indicator with optional parameters, one of them absent."""
-    _views(t)
-    return CATALOGUE.run(spark, "orders_rate", nation="nation_1_")
+    return CATALOGUE.run(spark, "orders_rate", frames=_frames(t), nation="nation_1_")
 
 
 @query("""
@@ -177,8 +175,7 @@ SELECT '00' AS geo_key, 'all' AS geo_name, year(o_orderdate)::VARCHAR AS period,
 FROM orders WHERE year(o_orderdate) BETWEEN 1996 AND 1999 GROUP BY year(o_orderdate), o_orderstatus""")
 def indicator_required(t, spark):
     """An indicator with required parameters."""
-    _views(t)
-    return CATALOGUE.run(spark, "status_share", first="1996", last=1999)
+    return CATALOGUE.run(spark, "status_share", frames=_frames(t), first="1996", last=1999)
 
 
 @query("""

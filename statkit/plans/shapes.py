@@ -183,14 +183,24 @@ def overlap_check(t, spark):
     return cells.masks(a, b).crossJoin(cells.self_overlaps(a, "a")).select(F.col("cells").alias("overlaps"), "both_area", "left_only", "right_only")
 
 
-@query()
+@query("""
+WITH k AS (SELECT 6378137.0::DOUBLE AS a, 1 / 298.257222101::DOUBLE AS f, 0.9996::DOUBLE AS k0), m AS (SELECT *, f / (2 - f) AS n FROM k),
+r AS (SELECT *, a / (1 + n) * (1 + n ** 2 / 4 + n ** 4 / 64) * k0 AS big FROM m),
+x AS (SELECT c_custkey, (2200000.0::DOUBLE + c_custkey % 1000 * 150) / big AS xi, c_acctbal * 20 / big AS eta, n,
+  n / 2 - 2 * n ** 2 / 3 + 37 * n ** 3 / 96 AS b1, n ** 2 / 48 + n ** 3 / 15 AS b2, 17 * n ** 3 / 480 AS b3 FROM customer, r),
+y AS (SELECT *, xi - b1 * sin(2 * xi) * cosh(2 * eta) - b2 * sin(4 * xi) * cosh(4 * eta) - b3 * sin(6 * xi) * cosh(6 * eta) AS xi1,
+  eta - b1 * cos(2 * xi) * sinh(2 * eta) - b2 * cos(4 * xi) * sinh(4 * eta) - b3 * cos(6 * xi) * sinh(6 * eta) AS eta1 FROM x),
+z AS (SELECT *, asin(sin(xi1) / cosh(eta1)) AS chi FROM y),
+d AS (SELECT c_custkey, round(degrees(radians(-105.0::DOUBLE) + atan2(sinh(eta1), cos(xi1))), 6) AS lon,
+  round(degrees(chi + (2 * n - 2 * n ** 2 / 3 - 2 * n ** 3) * sin(2 * chi) + (7 * n ** 2 / 3 - 8 * n ** 3 / 5) * sin(4 * chi) + 56 * n ** 3 / 15 * sin(6 * chi)), 6) AS lat FROM z)
+SELECT c_custkey, lon, lat, lon BETWEEN -106 AND -103 AND lat BETWEEN 19 AND 21 AS inside FROM d""")
 def utm_project(t, spark):
-    """Projected coordinates to degrees, and points inside an envelope only."""
+    """Projected coordinates to degrees, and which points lie inside an envelope."""
     k = F.col("c_custkey")
     raw = t("customer").select("c_custkey", (F.lit(500000.0) + F.col("c_acctbal") * 20).alias("x"), (F.lit(2200000.0) + k % 1000 * 150).alias("y"))
     lon, lat = utm_to_degrees(F.col("x"), F.col("y"))
-    out = raw.select("c_custkey", lon.alias("lon"), lat.alias("lat"))
-    return out.withColumn("point", cells.point(F.col("lon"), F.col("lat"), -106.0, 19.0, -103.0, 21.0))
+    out = raw.select("c_custkey", F.round(lon, 6).alias("lon"), F.round(lat, 6).alias("lat"))
+    return out.withColumn("inside", cells.point(F.col("lon"), F.col("lat"), -106.0, 19.0, -103.0, 21.0).isNotNull())
 
 
 @query("""

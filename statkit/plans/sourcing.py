@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import re
 import tempfile
 import uuid
 
@@ -24,8 +25,11 @@ def _own() -> str:
 
 
 def landing(spark) -> str:
-    """A new folder below the shared one that spark.checkpoint.dir names; a temporary one where that is unset."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or _own()
+    """A new folder below the shared one that spark.checkpoint.dir names; in local mode a temporary one where that is unset."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not shared and not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    shared = shared or _own()
     return f"{shared.rstrip('/')}/landing-{uuid.uuid4().hex}"
 
 
@@ -72,7 +76,7 @@ WITH f AS (SELECT p_brand AS folder, 'd_' || (1990 + p_size) || '_trim' || (1 +
 SELECT folder, name, modified, regexp_extract(name, '([0-9]{4})_trim', 1)::INTEGER AS year, regexp_extract(name, 'trim([1-4])', 1)::INTEGER AS quarter
 FROM (SELECT *, row_number() OVER (PARTITION BY folder ORDER BY modified DESC, name DESC) AS r FROM f) WHERE r = 1""")
 def latest_file(t, spark):
-    """The newest file of each folder, and the period that its name holds."""
+    """The newest file of each folder, and the period that its name holds."""
     size = F.col("p_size")
     name = F.concat(F.lit("d_"), size + 1990, F.lit("_trim"), F.col("p_partkey") % 4 + 1)
     last = editions.latest(t("part").select(F.col("p_brand").alias("folder"), name.alias("name"), F.col("p_partkey").alias("modified")), ["folder"])

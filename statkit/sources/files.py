@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import fnmatch
 import io
+import re
 import zipfile
 from collections.abc import Iterator, Sequence
 
@@ -71,7 +72,9 @@ def below_header(lines: DataFrame, names: Sequence[str], first: int = 20, sep: s
 
 
 def member_lines(spark: SparkSession, path: str, expected: str, pattern: str = "*", encoding: str = "utf-8") -> DataFrame:
-    """(file, member, number, line) of one member of each zip archive: the exact name, else the first that fits (S3).
+    """(file, member, number, line) of one member of each zip archive: the exact name, else of those that fit the newest edition (S3).
+
+    Editions are told by the numbers in a name, from left to right, compared as numbers; the larger name breaks ties.
 
     An archive is one task; its member is streamed line by line. An archive without such a member is an error.
     """
@@ -81,7 +84,9 @@ def member_lines(spark: SparkSession, path: str, expected: str, pattern: str = "
             for file, content in zip(frame["path"], frame["content"], strict=True):
                 with zipfile.ZipFile(io.BytesIO(content)) as archive:
                     names = sorted(archive.namelist())
-                    member = expected if expected in names else next((n for n in names if fnmatch.fnmatch(n.lower(), pattern.lower())), None)
+                    fitting = [n for n in names if fnmatch.fnmatch(n.lower(), pattern.lower())]
+                    edition = lambda n: ([int(x) for x in re.findall("[0-9]+", n)], n)
+                    member = expected if expected in names else max(fitting, key=edition, default=None)
                     if member is None:
                         raise FileNotFoundError(f"{file}: no member {expected} or {pattern} in {names}")
                     with archive.open(member) as stream:

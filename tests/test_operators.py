@@ -120,6 +120,35 @@ def test_archive_members(spark, tmp_path):
     assert sorted(r["line"] for r in lines.collect()) == ["1", "1", "2", "2", "h", "h"]
 
 
+def test_archive_gives_its_newest_edition(spark, tmp_path):
+    """Editions are compared as numbers: 10 is after 9, and a year after any month."""
+    with zipfile.ZipFile(tmp_path / "a.zip", "w") as archive:
+        for member in ("data_2023_12.csv", "data_2024_9.csv", "data_2024_10.csv", "note_2030.txt"):
+            archive.writestr(member, member)
+    assert {r["line"] for r in files.member_lines(spark, f"{tmp_path}/a.zip", "data.csv", "*.csv").collect()} == {"data_2024_10.csv"}
+
+
+def test_catalogue_lists_without_sql_and_leaves_views_alone(spark):
+    spark.range(3).createOrReplaceTempView("orders")
+    one = indicators.Indicator("a", "x", "u", "country", "s", "SELECT '0' AS geo_key, 'n' AS geo_name, '1' AS period, count(*) AS value, '' AS category FROM {orders}")
+    catalogue = indicators.Catalogue(one)
+    frames = {"orders": spark.range(5)}
+    catalogue.check(spark, frames)
+    assert catalogue.run(spark, "a", frames=frames).first()["value"] == 5 and spark.table("orders").count() == 3
+    (listed,) = catalogue.list(theme="x")
+    assert "sql" not in listed and catalogue.list(theme="y") == [] and catalogue.list(level="country") == [listed]
+
+
+def test_landing_needs_a_shared_folder_on_a_cluster(monkeypatch):
+    from types import SimpleNamespace
+
+    from statkit.plans import sourcing
+
+    context = SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None)
+    with pytest.raises(ValueError, match="checkpoint"):
+        sourcing.landing(SimpleNamespace(conf={}, sparkContext=context))
+
+
 def test_uploads_and_marks(spark):
     manifests = spark.createDataFrame([("f", "complete", 2, [("s", "n2")]), ("f", "complete", 1, [("s", "n1"), ("t", "m")]), ("f", "open", 3, [("s", "n3")])], "folder string, state string, uploaded int, files array<struct<slot:string,name:string>>")
     assert rows(editions.newest_uploads(manifests)) == [("f", 1, "t", "m"), ("f", 2, "s", "n2")]
