@@ -130,8 +130,8 @@ def identify_languages(docs: DataFrame, held_out, sample: int = 4000, most: int
     profiles = stored(language_profiles(rows.filter("lang is not null and not held_out"), sample, most), "profiles").collect()
     langs = sorted({p["lang"] for p in profiles})
     grams = np.unique(np.array([p["gram"] for p in profiles], dtype=np.int64))
-    ranks = np.full((len(langs), max(len(grams), 1)), most, dtype=np.int64)
+    ranks, place = np.full((len(langs), max(len(grams), 1)), most, dtype=np.int64), {lang: i for i, lang in enumerate(langs)}
     for p in profiles:
-        ranks[langs.index(p["lang"]), np.searchsorted(grams, p["gram"])] = p["rank"]
+        ranks[place[p["lang"]], np.searchsorted(grams, p["gram"])] = p["rank"]
     kind = dict(docs.dtypes)["doc_id"]
     return rows.select("doc_id", "text", "held_out").mapInArrow(_scored(langs, grams, ranks, most), f"doc_id {kind}, held_out boolean, lang_pred string, score double")

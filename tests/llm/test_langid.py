@@ -41,3 +41,39 @@ def test_odd_rows(spark, odd, none):
     assert langid.identify_languages(none, F.lit(False)).count() == 0
     alone = langid.identify_languages(odd.filter("doc_id in (6, 7)").withColumn("lang", F.lit(None).cast("string")), F.lit(False)).collect()
     assert {r["lang_pred"] for r in alone} == {langid.UNKNOWN}
+
+
+def brute_grams(text):
+    """Counts of 1- to 3-grams of letters, words padded with a space; none across a break."""
+    words, counts = "".join(c if c.isalpha() else " " for c in text.lower()).split(), {}
+    for w in words:
+        padded = f" {w} "
+        for g in [*w, *(padded[i : i + 2] for i in range(len(padded) - 1)), *(padded[i : i + 3] for i in range(len(padded) - 2))]:
+            counts[g] = counts.get(g, 0) + 1
+    return counts
+
+
+def brute_profile(counts, most):
+    return sorted(counts, key=lambda g: (-counts[g], sum(ord(c) * langid.BASE**i for i, c in enumerate(reversed(g)))))[:most]
+
+
+def test_predictions_equal_brute_force(spark, docs):
+    """Profiles, ranks, out-of-place distances and scores, n-gram by n-gram."""
+    from pyspark.sql import functions as F
+
+    rows = [(d[0], (d[1] or "")[:2000] if d[1] is not None else None, d[2]) for d in docs[:60]]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in langid.identify_languages(frame, F.pmod("doc_id", F.lit(4)) == 2, most=50).collect()}
+    sums = {}
+    for doc_id, text, lang in rows:
+        if lang is not None and text is not None and doc_id % 4 != 2:
+            for g, n in brute_grams(text).items():
+                sums.setdefault(lang, {})[g] = sums.get(lang, {}).get(g, 0) + n
+    profiles = {lang: {g: i for i, g in enumerate(brute_profile(c, 50))} for lang, c in sums.items()}
+    for doc_id, text, _ in rows:
+        own = brute_profile(brute_grams(text or ""), 50)
+        if not own:
+            assert got[doc_id][0] == langid.UNKNOWN
+            continue
+        away = sorted((sum(abs(p[g] - i) if g in p else 50 for i, g in enumerate(own)), lang) for lang, p in profiles.items())
+        assert got[doc_id][0] == away[0][1] and abs(got[doc_id][1] - (1 - away[0][0] / max(away[1][0], 1))) < 1e-9

@@ -100,3 +100,29 @@ def test_gate_passes_an_example_of_each_rule():
 def test_address_alone_gives_its_label(spark):
     r = licences.scan_licences(spark.createDataFrame([(1, "see https://mariadb.com/bsl11")], "doc_id int, text string")).first()
     assert r["labels"] == "busl-1.1"
+
+
+def brute_labels(text):
+    """Labels by the rules one by one, and the suppression pair by pair."""
+    low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    words = f" {' '.join(WORD.findall(low))} "
+    found = []
+    for place, (_, pattern, label, rank, base) in enumerate(license_rules.rules()):
+        for m in re.finditer(f"(?<= )(?:{pattern})(?= )", words):
+            start = words[: m.start()].count(" ") - 1
+            found.append((start, -(start + m.group().count(" ") + 1), rank, place, label, base))
+    found.sort()
+    stay = [d for i, d in enumerate(found) if not any(e[1] <= d[1] and e[2] <= d[2] for e in found[:i])]
+    return ",".join(sorted({d[4] for d in stay} | {d[4] for d in found if d[5]}))
+
+
+def test_suppression_equals_brute_force(spark, docs):
+    texts = [t for t, _ in CASES] + [d[1] for d in docs]
+    texts += [" and ".join(x for r in license_rules.rules()[i : i + 9] for x in examples(_parser.parse(r[1]))[:1]) for i in range(0, len(license_rules.rules()), 9)]
+    texts += ["The GNU Lesser General Public License version 2.1 or the Mozilla Public License 1.1, MIT License (MIT), BSD 3 clause license, CC BY SA 4.0 by the Apache License, version 2.0"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    got = {r["doc_id"]: r["labels"] for r in licences.scan_licences(frame).select("doc_id", "labels").collect()}
+    gate = re.compile(licences.GATE.replace("\\x{80}-\\x{10FFFF}", "\x80-\U0010ffff"))
+    for i, text in enumerate(texts):
+        assert got[i] == (brute_labels(text) if gate.search(f" {text}") else ""), text
+        assert gate.search(f" {text}") or not brute_labels(text)
