@@ -35,7 +35,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents with their places in sequences of 2048 tokens."""
-    return packing.pack(docs, capacity=2048)
+    return packing.pack(docs, capacity=2048, words=120_000)
 
 
 STAGES = [("quality", good_quality), ("exact_dedup", exact_once), ("near_dedup", near_once), ("mix", mixed), ("pack", packed)]

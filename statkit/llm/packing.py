@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from .common import stored
 
 SALTS = 64  #: parts into which the pieces of one length are dealt for ranking
-WORDS = 120_000  #: entries of each of the two generations of a task's word cache
+WORDS = 250_000  #: entries of each of the two generations of a task's word cache
 LONG = 48  #: characters of a word that is kept at most; so the caches' memory is bounded
 PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\s\w]|_)+")  #: the vocabulary's own split, for characters below U+0250
 ODD = re.compile(r"<\||[\x1c-\x1f]")  #: texts with these go through the tokenizer whole
@@ -43,10 +43,10 @@ class WordTokenizer:
     letters go to the model at once; any other word goes through the whole tokenizer.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, words: int | None = None):
         from tokenizers import Tokenizer
 
-        self.whole = Tokenizer.from_file(path)
+        self.whole, self.most = Tokenizer.from_file(path), words or WORDS
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
         plain = [*range(33, 127), *range(161, 173), *range(174, 256)]  # bytes that stand for themselves in byte-level vocabularies
@@ -75,7 +75,7 @@ class WordTokenizer:
                 found = self.piece(low)
             else:
                 found = b"".join([self.piece(p) for p in PARTS.findall(low)])
-        if len(self.young) >= WORDS:
+        if len(self.young) >= self.most:
             self.old, self.young = self.young, {}
         if len(word) <= LONG:
             self.young[word] = found
@@ -95,9 +95,9 @@ class WordTokenizer:
         return b"".join(out)
 
 
-def _pieces(path: str, most: int, end: int, with_ids: bool):
+def _pieces(path: str, most: int, end: int, with_ids: bool, words: int | None = None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, last = WordTokenizer(path), end.to_bytes(4, "little")
+        encode, last = WordTokenizer(path, words), end.to_bytes(4, "little")
         for batch in batches:
             rows: list[list] = [[], [], [], [], [], []]
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
@@ -214,17 +214,18 @@ def _placed(table: np.ndarray):
     return run
 
 
-def pack(docs: DataFrame, capacity: int = 2048, path: str | None = None, end: int = 0, rounds: int = 300, with_ids: bool = False) -> DataFrame:
+def pack(docs: DataFrame, capacity: int = 2048, path: str | None = None, end: int = 0, rounds: int = 300, with_ids: bool = False, words: int | None = None) -> DataFrame:
     """A row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset (and ids, little-endian bytes, if wanted).
 
     docs needs doc_id (an integer) and text. A document's ids end with `end`; one longer than `capacity` is cut into pieces
     of `capacity` and a rest. path: the vocabulary's file, on every machine. rounds: configurations that the linear program
-    is solved with (the driver's work, whatever the input's size).
+    is solved with (the driver's work, whatever the input's size). words: entries of a task's word caches, WORDS if not given;
+    fewer take less memory and more time, the result is the same.
 
     Null and empty texts are one piece that holds `end` only. Null doc_id and repeated rows are documents like any other.
     An empty table gives no rows.
     """
-    pieces = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text")).mapInArrow(_pieces(path or vocabulary_path(), capacity, end, with_ids), "doc_id long, piece int, start long, length long, ids_crc32 long, ids binary")
+    pieces = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text")).mapInArrow(_pieces(path or vocabulary_path(), capacity, end, with_ids, words), "doc_id long, piece int, start long, length long, ids_crc32 long, ids binary")
     pieces = stored(pieces if with_ids else pieces.drop("ids"), "pieces")
     salted = pieces.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(SALTS)))
     parts = salted.groupBy("length", "salt").agg(F.count(F.lit(1)).alias("n"))
