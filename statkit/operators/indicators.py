@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -39,10 +39,11 @@ class Indicator:
 
 
 class Catalogue:
-    """Validated indicators: unique ids, queries only, parameters that agree with the SQL, five output columns."""
+    """Validated indicators: unique ids, queries only, parameters that agree with the SQL, the same output columns."""
 
-    def __init__(self, *indicators: Indicator):
+    def __init__(self, *indicators: Indicator, shape: Sequence[str] = SHAPE):
         self._by_id: dict[str, Indicator] = {}
+        self.shape = tuple(shape)
         for one in indicators:
             if one.id in self._by_id:
                 raise InvalidIndicator(f"{one.id}: id used twice")
@@ -53,11 +54,14 @@ class Catalogue:
                 raise InvalidIndicator(f"{one.id}: parameters {sorted(used ^ set(one.parameters))}")
             self._by_id[one.id] = one
 
+    def __getitem__(self, id: str) -> Indicator:
+        return self._by_id[id]
+
     def check(self, spark: SparkSession, frames: Mapping[str, DataFrame] | None = None) -> None:
-        """Analyses every query: its columns must be the five of SHAPE, in order. frames: tables that a query names in braces."""
+        """Analyses every query: its columns must be those of the catalogue's shape, in order. frames: tables that a query names in braces."""
         for one in self._by_id.values():
             found = tuple(spark.sql(one.sql, args=dict.fromkeys(one.parameters), **(frames or {})).columns)
-            if found != SHAPE:
+            if found != self.shape:
                 raise InvalidIndicator(f"{one.id}: columns {found}")
 
     def list(self, theme: str | None = None, level: str | None = None) -> list[dict]:
@@ -80,5 +84,5 @@ class Catalogue:
                 bound[name] = None if value is None else KINDS[p.kind](value)
             except (TypeError, ValueError) as error:
                 raise InvalidIndicator(f"{id}: {name} must be {p.kind}") from error
-        rows = spark.sql(one.sql, args=bound, **(frames or {})).select(*[F.col(c) for c in SHAPE])
+        rows = spark.sql(one.sql, args=bound, **(frames or {})).select(*[F.col(c) for c in self.shape])
         return rows if most is None else limited(rows, most, list(one.parameters))

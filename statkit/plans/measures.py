@@ -264,12 +264,17 @@ a AS (SELECT anio, trimestre, {', '.join(sums)} FROM b WHERE r_def = 0 AND c_res
 SELECT anio, trimestre, {', '.join(out)} FROM a"""
 
 
-@query(_survey_sql())
-def labour_rates(t, spark):
-    """Thirteen weighted populations and eleven rates, in total and by sex, in one aggregation."""
+def survey_rows(t):
+    """Survey microdata derived from lineitem, under the survey's column names."""
     part, supp, line = F.col("l_partkey"), F.col("l_suppkey"), F.col("l_linenumber")
     micro = {
         "anio": F.year("l_shipdate"), "trimestre": F.quarter("l_shipdate"), "fac": F.col("l_quantity").cast("bigint"), "sex": part % 2 + 1, "r_def": supp % 3, "c_res": part % 3 + 1, "eda": part % 100,
         "clase1": part % 2 * (line % 2) + 1, "clase2": line % 3 + 1, "ambito1": F.when(line < 6, part % 4), "dur9c": supp % 5, "tpg_p8a": part % 6, "remune2c": part % 3, "sub_o": supp % 2, "tcco": part % 5, "tue2": part % 7, "emp_ppal": supp % 4,
     }
-    return labour.labour_rates(labour.in_universe(t("lineitem").select(*[c.alias(n) for n, c in micro.items()])), ["anio", "trimestre"])
+    return t("lineitem").select(*[c.alias(n) for n, c in micro.items()])
+
+
+@query(_survey_sql())
+def labour_rates(t, spark):
+    """Thirteen weighted populations and eleven rates, in total and by sex, in one aggregation."""
+    return labour.labour_rates(labour.in_universe(survey_rows(t)), ["anio", "trimestre"])
