@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from statkit.operators.shared import written
+
 
 def keep_one(df: DataFrame, keys: Sequence[str | Column], order: Sequence[Column]) -> DataFrame:
     """The first row of each key in the given order."""
@@ -50,16 +52,19 @@ def counter(df: DataFrame, within: Sequence[str], order: Sequence[str | Column],
 def numbered(df: DataFrame, order: Sequence[str], name: str = "id", start: int = 0) -> DataFrame:
     """Consecutive ids by a total order, without sorting in one task.
 
-    Rows are range-partitioned by the order; each partition's first id is the number of rows before it. The number of
-    partitions is given, so that adaptive execution can't merge them differently where the table is read twice.
+    Rows are range-partitioned by the order, sorted and written once with their partition and their place in it; the first
+    id of a partition is the number of rows before it. Written, since two reads of one range partitioning may sample
+    different bounds. The partitions' sizes are a row each, so they are broadcast.
     """
     width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    parts = df.repartitionByRange(width, *order).sortWithinPartitions(*order).withColumn("__part", F.spark_partition_id())
-    parts = parts.withColumn("__nth", F.row_number().over(Window.partitionBy("__part").orderBy(*order)))
-    sizes = parts.groupBy("__part").agg(F.count(F.lit(1)).alias("__size"))  # a row per partition
+    place = F.monotonically_increasing_id()  # the partition in the upper 31 bits, the row in the lower 33
+    parts = written(df.repartitionByRange(width, *order).sortWithinPartitions(*order).withColumn("__at", place), "numbered")
+    part = F.shiftright("__at", 33).alias("__part")
+    sizes = parts.groupBy(part).agg(F.count(F.lit(1)).alias("__size"))
     before = F.coalesce(F.sum("__size").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     offsets = sizes.select("__part", before.alias("__before"))
-    return parts.join(offsets, "__part").withColumn(name, F.col("__before") + F.col("__nth") + start).drop("__part", "__nth", "__before")
+    found = parts.withColumn("__part", part).join(F.broadcast(offsets), "__part")
+    return found.withColumn(name, F.col("__before") + F.col("__at") % (1 << 33) + 1 + start).drop("__part", "__at", "__before")
 
 
 def limited(df: DataFrame, most: int, narrow: Sequence[str] = ()) -> DataFrame:

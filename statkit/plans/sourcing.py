@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-import functools
-import re
-import tempfile
 import uuid
 
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from statkit.operators import loads
+from statkit.operators.shared import shared_folder
 from statkit.plans.registry import query
 from statkit.sources import editions, files
 from statkit.streaming.editions import ingest_editions
@@ -19,18 +17,9 @@ FILE_LINES = 100_000  #: expected lines of a landed file of short lines, which o
 FILE_TEXTS = 5_000  #: lines at most of a landed file of whole documents
 
 
-@functools.cache
-def _own() -> str:
-    return tempfile.mkdtemp(prefix="spark-landing-")
-
-
 def landing(spark) -> str:
-    """A new folder below the shared one that spark.checkpoint.dir names; in local mode a temporary one where that is unset."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not shared and not re.match(r"local(\[|$)", spark.sparkContext.master):
-        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-    shared = shared or _own()
-    return f"{shared.rstrip('/')}/landing-{uuid.uuid4().hex}"
+    """A new folder below the shared one."""
+    return f"{shared_folder(spark)}/landing-{uuid.uuid4().hex}"
 
 
 @query("""SELECT c_custkey, c_mktsegment AS segment, c_acctbal AS balance FROM customer""")

@@ -5,7 +5,7 @@ import zipfile
 import pytest
 from pyspark.sql import functions as F
 
-from statkit.operators import checks, indicators, loads, lookup, ranking, rates, reshape
+from statkit.operators import checks, indicators, loads, lookup, ranking, rates, reshape, shared
 from statkit.sources import editions, files
 
 
@@ -90,6 +90,15 @@ def test_numbering_is_consecutive(spark):
     assert ids == list(range(6, 1006))
 
 
+def test_ids_are_consecutive_where_bounds_are_sampled(spark):
+    """More rows than a range partitioning samples, and columns that the ids do not depend on."""
+    rows = spark.range(300_000, numPartitions=24).select(F.xxhash64("id").alias("key"), F.concat(F.lit("row "), "id").alias("text"))
+    found = shared.written(ranking.numbered(rows, ["key"], "n"), "numbered")
+    got = found.agg(F.count("n"), F.countDistinct("n"), F.min("n"), F.max("n")).first()
+    assert tuple(got) == (300_000, 300_000, 1, 300_000)
+    assert found.select("key", "n").filter("n <= 100").orderBy("n").collect() == rows.select("key").orderBy("key").limit(100).selectExpr("key", "row_number() OVER (ORDER BY key) n").collect()
+
+
 def test_row_limit(spark):
     with pytest.raises(ValueError, match="year"):
         ranking.limited(spark.range(11), 10, ["year"])
