@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -57,6 +58,37 @@ def thresholds(c: Column, limits: Mapping[str, float], weight: Column | None = N
     return out
 
 
+def percentiles(df: DataFrame, keys: Sequence[str], column: str, shares: Sequence[float], slices: int = 64) -> DataFrame:
+    """keys and p: the exact percentiles of a group's values at the shares, interpolated; null in a group without values.
+
+    Approximate bounds cut a group's values into slices of about equal size. Slices are counted, and only those that hold
+    a wanted rank are put in order, by distinct values: no group's values meet in one task.
+    """
+    fractions = F.array(*[F.lit(i / slices) for i in range(1, slices)])
+    groups = df.groupBy(*keys).agg(F.percentile_approx(F.col(column).cast("double"), fractions).alias("bounds"), F.count(column).alias("size"))
+    values = df.filter(F.col(column).isNotNull()).groupBy(*keys, F.col(column).cast("double").alias("value")).agg(F.count(F.lit(1)).alias("n"))
+    same = lambda right: functools.reduce(Column.__and__, [F.col(k).eqNullSafe(right[f"__{k}"]) for k in keys])
+    named = lambda d, *rest: d.select(*[F.col(k).alias(f"__{k}") for k in keys], *rest)
+    bounds = named(groups, "bounds")
+    values = values.join(bounds, same(bounds)).select(*keys, "value", "n", F.size(F.filter("bounds", lambda b: b < F.col("value"))).alias("slice"))
+
+    by = Window.partitionBy(*keys)
+    earlier = by.orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    counted = values.groupBy(*keys, "slice").agg(F.sum("n").alias("inside")).withColumns({"before": F.coalesce(F.sum("inside").over(earlier), F.lit(0)), "size": F.sum("inside").over(by)})
+    ranks = [(F.floor((F.col("size") - 1) * F.lit(float(s))), F.ceil((F.col("size") - 1) * F.lit(float(s)))) for s in shares]
+    within = lambda rank, first, n: (rank >= first) & (rank < first + n)
+    holds = functools.reduce(Column.__or__, [within(r, F.col("before"), F.col("inside")) for pair in ranks for r in pair])
+    held = named(counted.filter(holds), F.col("slice").alias("__slice"), "before", "size")
+    found = values.join(held, same(held) & (F.col("slice") == F.col("__slice")))
+    lower = Window.partitionBy(*keys, "slice").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
+    found = found.withColumn("first", F.col("before") + F.coalesce(F.sum("n").over(lower), F.lit(0)))
+    at = lambda rank: F.max(F.when(within(rank, F.col("first"), F.col("n")), F.col("value")))
+    ends = found.groupBy(*keys, "size").agg(*[at(r).alias(f"{end}{i}") for i, pair in enumerate(ranks) for end, r in zip(("low", "high"), pair, strict=True)])
+    between = [F.col(f"low{i}") + (F.col(f"high{i}") - F.col(f"low{i}")) * ((F.col("size") - 1) * F.lit(float(s)) - ranks[i][0]) for i, s in enumerate(shares)]
+    ends = named(ends, F.array(*between).alias("p"))
+    return groups.select(*keys).join(ends, same(ends), "left").select(*keys, "p")
+
+
 def lacking(have: Column, all_: Column) -> Column:
     """Percentage without: (n - with) / n * 100."""
     return ratio(all_ - have, all_, 100, 2)

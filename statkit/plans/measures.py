@@ -208,8 +208,9 @@ SELECT l_returnflag AS flag, count(*) FILTER (l_discount < 0.03) AS n_low, round
 FROM lineitem GROUP BY 1""")
 def threshold_profile(t, spark):
     """Distribution under thresholds, with percentiles."""
-    spread = F.percentile("l_quantity", F.array(F.lit(0.25), F.lit(0.5), F.lit(1.0)))
-    out = t("lineitem").groupBy(F.col("l_returnflag").alias("flag")).agg(*rates.thresholds(F.col("l_discount"), {"low": 0.03}, F.col("l_quantity")), spread.alias("p"))
+    rows = t("lineitem").withColumnRenamed("l_returnflag", "flag")
+    under = rows.groupBy("flag").agg(*rates.thresholds(F.col("l_discount"), {"low": 0.03}, F.col("l_quantity")))
+    out = under.join(rates.percentiles(rows, ["flag"], "l_quantity", [0.25, 0.5, 1.0]), "flag")
     return out.withColumns({"p25": F.col("p")[0], "p50": F.col("p")[1], "p100": F.col("p")[2]}).drop("p")
 
 

@@ -13,8 +13,7 @@ from statkit.plans.registry import query
 from statkit.sources import editions, files
 from statkit.streaming.editions import ingest_editions
 
-FILE_LINES = 100_000  #: expected lines of a landed file of short lines, which one task decodes
-FILE_TEXTS = 5_000  #: lines at most of a landed file of whole documents
+FILE_LINES = 100_000  #: expected lines of a landed file
 
 
 def landing(spark) -> str:
@@ -38,8 +37,8 @@ def encoding_scan(t, spark):
     mark = F.coalesce(F.concat(F.lit("="), "lang"), F.lit("-"))  # a null lang is a mark of its own
     docs = t("documents").select(F.coalesce(F.col("lang").isin("de", "fr"), F.lit(False)).alias("latin"), F.concat_ws("\t", mark, line).alias("value"))
     path = landing(spark)
-    docs.filter("latin").select("value").write.options(maxRecordsPerFile=FILE_TEXTS, encoding="ISO-8859-1", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(f"{path}/latin", sep="\x01", quote="")
-    docs.filter("NOT latin").select("value").write.options(maxRecordsPerFile=FILE_TEXTS).text(f"{path}/utf")
+    docs.filter("latin").select("value").write.options(encoding="ISO-8859-1", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(f"{path}/latin", sep="\x01", quote="")
+    docs.filter("NOT latin").select("value").write.text(f"{path}/utf")
     lines = files.decoded_lines(spark, f"{path}/*/part-*").filter("line <> ''")
     parts = F.split("line", "\t", 2)
     return lines.select(F.when(parts[0] != "-", F.substring(parts[0], 2, 2**31 - 1)).alias("lang"), F.get(parts, 1).alias("line")).groupBy("lang").agg(F.count(F.lit(1)).alias("lines"), F.sum(F.length("line").cast("bigint")).alias("chars"))

@@ -1,7 +1,6 @@
 """Scans of landed files. Everything is read as text and cast explicitly.
 
-Splittable inputs use Spark's own readers; a file is one task only where its format leaves no other way (archives, and
-files whose encoding must be found).
+Splittable inputs use Spark's own readers; a file is one task only where its format leaves no other way (archives).
 """
 
 from __future__ import annotations
@@ -13,7 +12,7 @@ import zipfile
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -47,10 +46,21 @@ def union_all(*frames: DataFrame) -> DataFrame:
 
 
 def decoded_lines(spark: SparkSession, path: str) -> DataFrame:
-    """(file, number, line) of text files in UTF-8, or else in Latin-1 (S2). A file is decoded in one task."""
-    raw = spark.read.format("binaryFile").load(path).select(F.col("path").alias("file"), "content")
-    text = F.when(F.is_valid_utf8(F.col("content").cast("string")), F.decode("content", "UTF-8")).otherwise(F.decode("content", "ISO-8859-1"))
-    return raw.select("file", F.posexplode(F.split(text, "\\r?\\n")).alias("number", "line"))
+    """(file, number, line) of text files in UTF-8, or else in Latin-1 (S2); number counts a file's lines from 0.
+
+    Files are split as Spark's text reader does, which keeps their bytes as they are. One row for each block (a file's part
+    that one task reads) tells how many lines it has and whether all are valid; from these follow the encoding of the whole
+    file and the number of lines before a block. Both reads number a block's lines in the same order.
+    """
+    raw = spark.read.option("lineSep", "\n").text(path)
+    raw = raw.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), "value", F.monotonically_increasing_id().alias("at"))
+    blocks = raw.groupBy("file", "block").agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("n"), F.bool_and(F.is_valid_utf8("value")).alias("valid"))
+    whole = Window.partitionBy("file")
+    before = F.sum("n").over(whole.orderBy("block").rowsBetween(Window.unboundedPreceding, -1))
+    blocks = blocks.select("file", "block", "first", F.coalesce(before, F.lit(0)).alias("before"), F.bool_and("valid").over(whole).alias("utf"))
+    text = F.when(F.col("utf"), F.col("value")).otherwise(F.decode(F.col("value").cast("binary"), "ISO-8859-1"))
+    rows = raw.join(blocks, ["file", "block"])
+    return rows.select("file", (F.col("before") + F.col("at") - F.col("first")).alias("number"), F.regexp_replace(text, "\\r$", "").alias("line"))
 
 
 def repaired_fields(line: Column, n: int, sep: str = ",") -> Column:

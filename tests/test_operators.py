@@ -2,6 +2,7 @@
 
 import zipfile
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -99,6 +100,39 @@ def test_ids_are_consecutive_where_bounds_are_sampled(spark):
     assert found.select("key", "n").filter("n <= 100").orderBy("n").collect() == rows.select("key").orderBy("key").limit(100).selectExpr("key", "row_number() OVER (ORDER BY key) n").collect()
 
 
+@pytest.mark.parametrize("slices", [2, 64])
+def test_percentiles_are_exact(spark, slices):
+    rng = np.random.default_rng(5)
+    groups = {"a": rng.normal(size=4000), None: np.repeat([1.0, 7.0, 7.5], [5, 900, 3]), "one": np.array([4.0]), "wide": np.arange(10) ** 3.0}
+    rows = [(k, float(v)) for k, values in groups.items() for v in values] + [("none", None), ("a", None)]
+    shares = [0.0, 0.1, 0.25, 0.5, 0.999, 1.0]
+    found = rates.percentiles(spark.createDataFrame(rows, "k string, v double"), ["k"], "v", shares, slices)
+    got = {r["k"]: r["p"] for r in found.collect()}
+    assert got.pop("none") is None and set(got) == set(groups)
+    for k, values in groups.items():
+        assert got[k] == pytest.approx(np.quantile(values, shares))
+
+
+def test_encodings_and_line_numbers_of_split_files(spark, tmp_path):
+    """A file's encoding and its lines' numbers hold over all blocks that it is read in."""
+    lines = [f"línea {i} ñ" for i in range(3000)]
+    (tmp_path / "latin.txt").write_bytes("\r\n".join(lines).encode("latin-1"))
+    (tmp_path / "utf.txt").write_bytes("\n".join([*lines, "", "€", ""]).encode())
+    (tmp_path / "late.txt").write_bytes(b"plain\n" * 4000 + "ñ".encode("latin-1"))
+    (tmp_path / "empty.txt").write_bytes(b"")
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "5000")
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        found = files.decoded_lines(spark, str(tmp_path)).orderBy("file", "number").collect()
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+    of = lambda name: [(r["number"], r["line"]) for r in found if r["file"].endswith(name)]
+    assert of("latin.txt") == list(enumerate(lines)) and of("utf.txt") == list(enumerate([*lines, "", "€"]))
+    assert of("late.txt") == [*enumerate(["plain"] * 4000), (4000, "ñ")] and of("empty.txt") == []
+
+
 def test_row_limit(spark):
     with pytest.raises(ValueError, match="year"):
         ranking.limited(spark.range(11), 10, ["year"])
