@@ -103,3 +103,12 @@ def test_inclusion_frequencies_and_certain_documents(spark):
 def test_many_sources_need_no_single_task(spark):
     frame = spark.range(300).selectExpr("cast(id AS int) AS doc_id", "concat('h', id % 97) AS source", "repeat('w ', cast(1 + id % 23 AS int)) AS text")
     check(mixing.pareto_mix(frame, queries.MIX_WEIGHTS).collect(), [(r["source"], r["text"]) for r in frame.collect()])
+
+
+def test_places_of_very_many_sources(spark):
+    """More sources than a range partitioning samples: each has the weight of its own place, so all targets are right."""
+    sizes = {f"host-{i * 7919 % 30011}": 1 + i * 31 % 97 for i in range(30_000)} | {None: 50}
+    frame = spark.createDataFrame([(s, n) for s, n in sizes.items()], "source string, size long").repartition(8)
+    want = targets(sizes, queries.MIX_WEIGHTS, 1.5, 2.0)
+    got = {r["source"]: r["target"] for r in mixing.source_targets(frame, queries.MIX_WEIGHTS, 1.5, 2.0).collect()}
+    assert set(got) == set(want) and all(abs(got[s] - want[s]) < 1e-6 * max(1, want[s]) for s in want)
