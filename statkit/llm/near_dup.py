@@ -28,9 +28,9 @@ from pyspark.sql import functions as F
 from .common import stored, without
 from .components import connected
 
-M64 = (1 << 64) - 1
 BLOCK = 1 << 16  #: expected weight of a chunk at most, but for a single longer text; a text weighs as much as it has shingles, LEAST,
 LEAST = 128  #: or an eighth of its bytes, whichever is most. So a chunk has about BLOCK / LEAST members and 8 * BLOCK bytes at most
+CELLS = 1 << 15  #: values that a signature works on at a time, so that they stay in a core's cache
 SLACK = 6.0  #: standard deviations below the expected number of equal coordinates of a just linked pair
 SHINGLE = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63)  #: odd multipliers of a shingle's words
 
@@ -73,16 +73,17 @@ def shingle_codes(text: str | None, width: int, codes: Words) -> np.ndarray:
 
 
 def signature(codes: np.ndarray, size: int) -> np.ndarray:
-    """Circulant MinHash: sigma once, then for each k the smallest pi(sigma(code) + k step)."""
+    """Circulant MinHash: sigma once, then for each k the smallest pi(sigma(code) + k step); some coordinates at a time, CELLS values at most where a set has fewer."""
     first = mixed(codes, 0x9FB21C651E98DF25, 0xA0761D6478BD642F)  # sigma
+    turns = np.arange(size, dtype=np.uint64) * np.uint64(0x2545F4914F6CDD1D)  # the circle is walked in steps of an odd number
     out = np.empty(size, np.uint64)
-    room = np.empty_like(first)
-    for k in range(size):
-        np.add(first, np.uint64((k * 0x2545F4914F6CDD1D) & M64), out=room)  # the circle is walked in steps of an odd number
-        np.multiply(room, np.uint64(0xE7037ED1A0B428DB), out=room)  # pi
-        np.bitwise_xor(room, room >> np.uint64(31), out=room)
-        np.multiply(room, np.uint64(0x8EBC6AF09C88C6E3), out=room)
-        out[k] = room.min()
+    many = max(CELLS // len(first), 1)
+    for k in range(0, size, many):
+        room = first + turns[k : k + many, None]
+        room *= np.uint64(0xE7037ED1A0B428DB)  # pi
+        room ^= room >> np.uint64(31)
+        room *= np.uint64(0x8EBC6AF09C88C6E3)
+        room.min(axis=1, out=out[k : k + many])
     return out
 
 
