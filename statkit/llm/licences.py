@@ -8,6 +8,7 @@ then rank, then rule order) contains its interval and its rank is no worse. All
 from __future__ import annotations
 
 import json
+import re
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,20 +25,25 @@ def _spaces(text: Column) -> Column:
     return F.length(text) - F.length(F.replace(text, F.lit(" "), F.lit("")))
 
 
-def _spans(words: Column, rule: Column) -> Column:
-    """Array of (start, minus end, rank, order, label, base) for each match of a rule; in words, end exclusive."""
-    pattern = F.concat(F.lit("(?<= )(?:"), rule["regex"], F.lit(")(?= )"))
-    pairs = F.zip_with(F.split(words, pattern), F.regexp_extract_all(words, pattern, F.lit(0)), lambda p, m: F.struct(_spaces(p).alias("p"), _spaces(m).alias("m")))
+def _spans(words: Column, hit: Column) -> Column:
+    """Array of (start, minus end, rank, order, label, base) for each match of a rule; in words, end exclusive. hit: the rule and its matches."""
+    rule = hit["rule"]
+    pairs = F.zip_with(F.split(words, rule["regex"]), hit["matches"], lambda p, m: F.struct(_spaces(p).alias("p"), _spaces(m).alias("m")))
     nothing = F.expr("cast(array() as array<struct<start:int,till:int,rank:int,place:int,label:string,base:boolean>>)")
 
     def step(state: Column, x: Column) -> Column:
-        start = state["at"] + x["p"] - 1
-        one = F.array(F.struct(start.alias("start"), (-(start + x["m"] + 1)).alias("till"), rule["rank"].alias("rank"), rule["place"].alias("place"), rule["label"].alias("label"), rule["base"].alias("base")))
-        return F.struct((state["at"] + x["p"] + F.coalesce(x["m"], F.lit(0))).alias("at"), F.when(x["m"].isNull(), state["out"]).otherwise(F.concat(state["out"], one)).alias("out"))
+        start = state["at"] + x["p"]  # a match begins with the space before its first word
+        one = F.array(F.struct(start.alias("start"), (-(start + x["m"])).alias("till"), rule["rank"].alias("rank"), rule["place"].alias("place"), rule["label"].alias("label"), rule["base"].alias("base")))
+        return F.struct((start + F.coalesce(x["m"], F.lit(0))).alias("at"), F.when(x["m"].isNull(), state["out"]).otherwise(F.concat(state["out"], one)).alias("out"))
 
     return F.aggregate(pairs, F.struct(F.lit(0).alias("at"), nothing.alias("out")), step, lambda state: state["out"])
 
 
+def _pattern(regex: str) -> str:
+    """The rule's regex between spaces, of which only the first is part of a match; a regex without alternatives begins with its literal."""
+    return f" {regex}(?= )" if "|" not in re.sub(r"\(\?:[^()]*\)", "", regex) else f" (?:{regex})(?= )"
+
+
 def scan_licences(docs: DataFrame) -> DataFrame:
     """A row per row of docs: doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score, detections.
 
@@ -48,12 +54,14 @@ def scan_licences(docs: DataFrame) -> DataFrame:
     doc_id and repeated rows are rows like any other. An empty table gives no rows.
     """
     listed = [dict(zip(("keyword", "regex", "label", "rank", "base"), r, strict=True)) | {"place": i} for i, r in enumerate(rules())]
+    listed = [rule | {"regex": _pattern(rule["regex"])} for rule in listed]
     table = F.from_json(F.lit(json.dumps(listed)), "array<struct<keyword:string,regex:string,label:string,rank:int,place:int,base:boolean>>")  # a literal, folded once
     rows = docs.select("doc_id", whole_text().alias("body"))
     words = F.concat(F.lit(" "), F.trim(F.regexp_replace(F.translate("body", UPPER, LOWER), f"[^{WORD}]+", " ")), F.lit(" "))
     rows = rows.select("doc_id", F.regexp_count("body", F.lit(f"[{WORD}]+")).cast("long").alias("n_words"), F.when(F.concat(F.lit(" "), "body").rlike(GATE), words).alias("words"))
     words = F.col("words")
-    found = F.flatten(F.transform(F.filter(table, lambda r: F.contains(words, r["keyword"])), lambda r: _spans(words, r)))
+    hits = F.transform(F.filter(table, lambda r: F.contains(words, r["keyword"])), lambda r: F.struct(r.alias("rule"), F.regexp_extract_all(words, r["regex"], F.lit(0)).alias("matches")))
+    found = F.flatten(F.transform(F.filter(hits, lambda hit: F.size(hit["matches"]) > 0), lambda hit: _spans(words, hit)))  # most rules match nothing: they cost one look
     rows = rows.select("doc_id", "n_words", F.coalesce(F.when(words.isNotNull(), F.sort_array(found)), F.expr("cast(array() as array<struct<start:int,till:int,rank:int,place:int,label:string,base:boolean>>)")).alias("detections"))
 
     none = F.expr("cast(array() as array<string>)")
