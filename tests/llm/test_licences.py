@@ -126,3 +126,11 @@ def test_suppression_equals_brute_force(spark, docs):
     for i, text in enumerate(texts):
         assert got[i] == (brute_labels(text) if gate.search(f" {text}") else ""), text
         assert gate.search(f" {text}") or not brute_labels(text)
+
+
+def test_patterns_find_what_rules_between_spaces_find():
+    for _, rule, *_ in license_rules.rules():
+        found = examples(_parser.parse(rule))
+        words = f" {' '.join([*found, 'and', *found])} x{found[0]} {found[-1]}x "  # neighbours share a space; parts of words are no matches
+        plain = [(m.start(), m.end()) for m in re.finditer(f"(?<= )(?:{rule})(?= )", words)]
+        assert [(m.start() + 1, m.end()) for m in re.finditer(licences._pattern(rule), words)] == plain
