@@ -79,12 +79,8 @@ def key_filter(keys: DataFrame, columns: Sequence[str], bits: int) -> DataFrame:
     return keys.select(place.alias("p")).groupBy(F.bitmap_bucket_number("p").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("bits"))
 
 
-def maybe_in(rows: DataFrame, keys: Sequence[Column], found: DataFrame, bits: int) -> tuple[DataFrame, DataFrame]:
-    """rows that may have a key of the filter `found` (key_filter), and rows that certainly have none; each with rows' columns.
-
-    The filter is broadcast: it has at most 2 ** FILTER_BITS bits. Beyond that many keys it lets more rows pass, so a
-    result must not rely on it, only the number of rows that are shuffled afterwards.
-    """
+def flagged(rows: DataFrame, keys: Sequence[Column], found: DataFrame, bits: int, mark: str) -> DataFrame:
+    """rows with a boolean column `mark`, a name that rows has not: false if the filter `found` (key_filter) certainly lacks a row's key."""
     bucket, bitmap = own_columns(rows, "bucket", "bits")
     place = F.pmod(F.xxhash64(*keys), F.lit(1 << bits)) + 1
     at = F.bitmap_bit_position(place)
@@ -92,8 +88,19 @@ def maybe_in(rows: DataFrame, keys: Sequence[Column], found: DataFrame, bits: in
     joined = rows.join(F.broadcast(found.toDF(bucket, bitmap)), F.bitmap_bucket_number(place) == F.col(bucket), "left")
     # the byte shifted right by the bit's place, by a power of 2, since a shift takes no column
     set_ = F.col(bucket).isNotNull() & (F.floor(byte / F.element_at(F.array(*[F.lit(1 << i) for i in range(8)]), (at % 8 + 1).cast("int"))) % 2 == 1)
+    return joined.select(*[F.col(f"`{c}`") for c in rows.columns], F.coalesce(set_, F.lit(False)).alias(mark))
+
+
+def maybe_in(rows: DataFrame, keys: Sequence[Column], found: DataFrame, bits: int) -> tuple[DataFrame, DataFrame]:
+    """rows that may have a key of the filter `found` (key_filter), and rows that certainly have none; each with rows' columns.
+
+    The filter is broadcast: it has at most 2 ** FILTER_BITS bits. Beyond that many keys it lets more rows pass, so a
+    result must not rely on it, only the number of rows that are shuffled afterwards.
+    """
+    (mark,) = own_columns(rows, "mark")
+    marked = flagged(rows, keys, found, bits, mark)
     columns = [F.col(f"`{c}`") for c in rows.columns]
-    return joined.filter(set_).select(*columns), joined.filter(~F.coalesce(set_, F.lit(False))).select(*columns)
+    return marked.filter(F.col(mark)).select(*columns), marked.filter(~F.col(mark)).select(*columns)
 
 
 def without(docs: DataFrame, keys: dict[str, Column], lost: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ import pytest
 
 from statkit.llm import queries
 
-TABLES = ("documents", "embeddings", "conversations")
+TABLES = ("documents", "embeddings", "conversations", "benchmark")
 
 
 @pytest.mark.parametrize("name", sorted(queries.ORACLE))
