@@ -6,13 +6,14 @@ import functools
 import re
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 FILTER_BITS = 27  #: a filter has at most 2 ** FILTER_BITS bits (16 MB), so that its broadcast is bounded
+RUN = 64  #: places of a block that `running` folds
 PER_KEY = 5  #: and up to there at least 2 ** PER_KEY bits for each key
 
 
@@ -47,6 +48,48 @@ def unit_hash(seed: int, *columns: Column) -> Column:
     return (bits.cast("double") + F.lit(0.5)) / F.lit(float(1 << 53))
 
 
+def let(value: Column, of: Callable[[Column], Column]) -> Column:
+    """of(value), with value evaluated once however often `of` names it."""
+    return F.get(F.transform(F.array(value), of), F.lit(0))
+
+
+def running(values: Column, start: int, step: Callable[[Column, Column], Column]) -> Column:
+    """Array by place of what `step` (associative, `start` neutral) makes of the integers before it.
+
+    Folded in blocks of RUN places, these in blocks again: appending copies what a block has so far, never all places
+    before, so that the time grows with the number of values (beyond RUN ** 3 places slightly faster).
+    """
+
+    def folded(part: Column) -> Column:  # (whole, before)
+        nothing = F.struct(F.lit(start).alias("whole"), F.expr("cast(array() as array<int>)").alias("before"))
+        return F.aggregate(part, nothing, lambda s, x: F.struct(step(s["whole"], x).alias("whole"), F.concat(s["before"], F.array(s["whole"])).alias("before")))
+
+    def level(array: Column, deep: int) -> Column:
+        if not deep:
+            return folded(array)["before"]
+        starts = F.sequence(F.lit(0), F.floor(F.greatest(F.size(array) - 1, F.lit(0)) / RUN).cast("int"))
+        blocks = F.transform(starts, lambda b: folded(F.slice(array, b * RUN + 1, F.lit(RUN))))
+        shifted = lambda block, off: F.transform(block["before"], lambda v: step(off, v))
+        return let(blocks, lambda bs: F.flatten(F.zip_with(bs, let(F.transform(bs, lambda b: b["whole"]), lambda w: level(w, deep - 1)), shifted)))
+
+    return F.when(F.size(values) <= RUN, folded(values)["before"]).otherwise(level(values, 2))
+
+
+CHUNK = 1024
+
+
+def chunks(text: Column) -> Column:
+    """The text cut every CHUNK code points; `piece` reads from it, since a place far into a text takes long to find."""
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{CHUNK}}}+"), F.lit(0))
+
+
+def piece(cut: Column, start: Column, till: Column) -> Column:
+    """Code points start (from 0) to till (exclusive) of a text given in chunks; its time grows with till - start only."""
+    first = F.floor(start / CHUNK).cast("int")
+    some = F.slice(cut, first + 1, F.greatest(F.floor((till - 1) / CHUNK).cast("int") - first + 1, F.lit(0)))
+    return F.substring(F.array_join(some, ""), start % CHUNK + 1, F.greatest(till - start, F.lit(0)))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

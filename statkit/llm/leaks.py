@@ -50,7 +50,8 @@ def _places(docs: DataFrame, grams: DataFrame, width: int) -> DataFrame:
     nothing = F.expr("cast(array() as array<bigint>)")
     hashes = lambda size: F.when(F.size("words") >= size, F.transform(F.sequence(F.lit(1), F.size("words") - (size - 1)), lambda i: F.xxhash64(F.slice("words", i, size)))).otherwise(nothing)
     rows = rows.select("*", F.concat(F.array(F.xxhash64("row")), *[hashes(size) for size in sizes]).alias("hashes"))
-    rows = rows.select("row", "doc_id", "k1", "k2", "words", F.posexplode("hashes").alias("at", "hash"))  # the first one is the mark
+    # the first one is the mark, so no array is empty; _outer, or a filter on the arrays' sizes would form them a second time
+    rows = rows.select("row", "doc_id", "k1", "k2", "words", F.posexplode_outer("hashes").alias("at", "hash"))
     size, start = F.lit(1), F.lit(0)
     for s in reversed(sizes):  # where the hashes of each size begin
         first = F.lit(1)
@@ -66,10 +67,11 @@ def _places(docs: DataFrame, grams: DataFrame, width: int) -> DataFrame:
         bits = filter_bits(n)
         (mark,) = own_columns(rows, "mark")
         rows = flagged(rows, [F.col("hash")], key_filter(small, ["set_hash"], bits), bits, mark).filter(F.col(mark) | (F.col("at") == 0))
-    same = (F.col("hash") == F.col("set_hash")) & (F.col("at") > 0) & (F.slice("words", start + 1, size) == F.col("gram"))
-    found = rows.join(small, same, "left").filter((F.col("at") == 0) | F.col("gram").isNotNull())
-    place = F.when(F.col("gram").isNotNull(), start.cast("long") * (width + 1) + size)
-    return found.select("row", "doc_id", "k1", "k2", F.size("words").alias("n_words"), place.alias("place"), "items")
+    # joined by the hash alone, a long; what it finds is verified afterwards, so that words are compared for hits only
+    hit = (F.col("at") > 0) & (F.slice("words", start + 1, size) == F.col("gram"))
+    found = rows.join(small, F.col("hash") == F.col("set_hash"), "left").filter((F.col("at") == 0) | hit)
+    place = F.when(F.col("at") > 0, start.cast("long") * (width + 1) + size)
+    return found.select("row", "doc_id", "k1", "k2", F.size("words").alias("n_words"), place.alias("place"), F.when(F.col("at") > 0, F.col("items")).alias("items"))
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, width: int = 10) -> DataFrame:
