@@ -1,6 +1,6 @@
 """Write semantics: upserts, history, scopes and snapshots, as plans over tables; writers swap whole versions.
 
-merge-like operators return the target's next state; `publish` writes it as a new version and moves the pointer last, so
+merge-like operators return the target's next state; `publish` writes it as a new version and commits it last, so
 readers see the old version or the new one. Any number of tasks can write; nothing passes through the driver but paths.
 """
 
@@ -9,10 +9,12 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from statkit.functions.codes import row_hash
+from statkit.operators import commits
 from statkit.operators.ranking import keep_one, numbered
 
 
@@ -108,18 +110,16 @@ def seeded_catalogue(seed: Sequence[str], observed: DataFrame, column: str) -> D
 
 
 def publish(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> str:
-    """Writes df as a new version below `path` and points to it (K6, K11). Readers use `current`."""
-    spark, version = df.sparkSession, f"v-{uuid.uuid4().hex}"
-    writer = df.write.partitionBy(*partition_by) if partition_by else df.write
-    writer.parquet(f"{path}/{version}")
-    spark.createDataFrame([(version,)], "version string").withColumn("at", F.current_timestamp()).coalesce(1).write.mode("append").parquet(f"{path}/_pointer")
-    return f"{path}/{version}"
+    """Writes df as a new version below `path` and commits it under the next number (K6, K11). Readers use `current`."""
+    return f"{path}/{commits.replace(df, path, partition_by=partition_by).version}"
 
 
 def current(spark: SparkSession, path: str) -> DataFrame:
-    """The version that was published last."""
-    version = spark.read.parquet(f"{path}/_pointer").agg(F.max_by("version", "at").alias("v")).first()["v"]
-    return spark.read.parquet(f"{path}/{version}")
+    """The version with the highest commit number."""
+    now = commits.head(spark, path)
+    if now is None:
+        raise FileNotFoundError(f"{path} has no published version")
+    return commits.read(spark, path, now)
 
 
 def append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
@@ -137,16 +137,62 @@ def traced(df: DataFrame, source: str, version: str, processed: str) -> DataFram
     return df.withColumns({"source": F.lit(source), "version": F.lit(version), "processed": F.lit(processed).cast("date"), "content_sha256": F.sha2(content.cast("binary"), 256)})
 
 
-def load_each(loads: Mapping[str, Callable[[], None]]) -> None:
+def load_each(loads: Mapping[str, Callable[[], int | None]]) -> None:
     """Runs independent loads; one that fails does not stop the others, and all errors are raised at the end."""
-    failed = {}
+    failed = {name: error for name, _, error in tried(loads) if error is not None}
+    if failed:
+        raise ExceptionGroup(f"failed: {', '.join(failed)}", list(failed.values()))
+
+
+def tried(loads: Mapping[str, Callable[[], int | None]]) -> list[tuple[str, int | None, Exception | None]]:
+    """Runs independent loads: for each its name, what it returned (its rows) and its error, if it failed."""
+    out: list[tuple[str, int | None, Exception | None]] = []
     for name, run in loads.items():
         try:
-            run()
+            out.append((name, run(), None))
         except Exception as error:  # noqa: BLE001
-            failed[name] = error
-    if failed:
-        raise ExceptionGroup(f"failed: {', '.join(failed)}", list(failed.values()))
+            out.append((name, None, error))
+    return out
+
+
+def load_report(spark: SparkSession, report: Sequence[tuple[str, int | None, Exception | None]]) -> DataFrame:
+    """(name, rows, failed, error): what `tried` tells of each load, as rows."""
+    return spark.createDataFrame([(name, rows, error is not None, None if error is None else f"{type(error).__name__}: {error}") for name, rows, error in report], "name string, rows long, failed boolean, error string")
+
+
+def counted(df: DataFrame, schema: T.StructType) -> tuple[DataFrame, Observation]:
+    """df (all columns text) in the modelled types, and an observation of what the job that writes it saw.
+
+    After the write it holds `rows`, and by column `unreadable_<column>`: values that are there but do not read as the type.
+    The counts come from the writing job itself; nothing is scanned twice.
+    """
+    cast = {f.name: F.col(f.name).try_cast(f.dataType) for f in schema.fields}
+    lost = [F.count_if(F.col(n).isNotNull() & (F.trim(n) != "") & v.isNull()).alias(f"unreadable_{n}") for n, v in cast.items()]
+    seen = Observation(f"load-{uuid.uuid4().hex}")
+    return df.observe(seen, F.count(F.lit(1)).alias("rows"), *lost).select(*[v.alias(n) for n, v in cast.items()]), seen
+
+
+def registered(spark: SparkSession, register: str, submission: str, object_: str, run: Callable[[], Mapping[str, int]]) -> Mapping[str, int]:
+    """Runs a load and writes its row of the load register: upsert on (submission, object), in one commit.
+
+    run returns the load's counts. A load that fails leaves a row with its error and no counts, and the error is raised. The
+    same submission loaded again replaces its row.
+    """
+    try:
+        counts, error = dict(run()), None
+    except Exception as failure:  # noqa: BLE001
+        counts, error = {}, failure
+    shape = "submission string, object string, state string, counts map<string,long>, error string"
+    row = spark.createDataFrame([(submission, object_, "failed" if error else "loaded", counts, None if error is None else f"{type(error).__name__}: {error}")], shape)
+
+    def make(now: commits.Commit | None) -> tuple[DataFrame, dict]:
+        before = commits.read(spark, register, now) if now else row.limit(0)
+        return upsert(before, row, ["submission", "object"], order=[F.col("state")]).coalesce(1), {}
+
+    commits.change(spark, register, make)
+    if error is not None:
+        raise error
+    return counts
 
 
 def with_bridge(target: DataFrame, parents: DataFrame, bridge: DataFrame, key: str, order: Sequence[str], name: str = "id") -> tuple[DataFrame, DataFrame]:

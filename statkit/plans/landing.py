@@ -103,16 +103,22 @@ def load_register(t, spark):
     return editions.unseen(landed, register).select("etag", "modified")
 
 
-@query("""SELECT 'good' AS name, count(*) AS n, '' AS failed FROM nation UNION ALL SELECT 'bad', 0, 'nation has no such column' """)
+@query("""
+SELECT 'nation' AS name, count(*) AS rows, false AS failed, NULL::VARCHAR AS error FROM nation UNION ALL SELECT 'region', count(*), false, NULL FROM region
+UNION ALL SELECT 'suppliers without phone', NULL, true, 'CheckFailed: missing columns: [''no_such_column'']' FROM (SELECT count(*) FROM supplier)""")
 def isolated_loads(t, spark):
-    """Independent loads; one that fails does not stop the other, and is reported."""
-    path, failed = landing(spark), {}
-    try:
-        loads.load_each({"bad": lambda: checks.require(t("nation"), ["no_such_column"]), "good": lambda: loads.append(t("nation"), path)})
-    except ExceptionGroup:
-        failed["bad"] = "nation has no such column"
-    good = spark.read.parquet(path).agg(F.lit("good").alias("name"), F.count(F.lit(1)).alias("n"), F.lit("").alias("failed"))
-    return good.unionByName(t("nation").agg(F.lit("bad").alias("name"), F.lit(0).cast("long").alias("n"), F.lit(failed.get("bad", "")).alias("failed")))
+    """Independent loads; one that fails does not stop the others; what each gave is a row."""
+    path = landing(spark)
+
+    def load(name, columns=()):
+        def run():
+            typed, seen = loads.counted(checks.require(t(name), columns).select(*[F.col(c).cast("string") for c in t(name).columns]), t(name).schema)
+            loads.append(typed, f"{path}/{name}")
+            return seen.get["rows"]
+
+        return run
+
+    return loads.load_report(spark, loads.tried({"nation": load("nation"), "suppliers without phone": load("supplier", ["no_such_column"]), "region": load("region")}))
 
 
 @query(BOXES + """
