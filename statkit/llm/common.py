@@ -72,7 +72,7 @@ def running(values: Column, start: int, step: Callable[[Column, Column], Column]
         shifted = lambda block, off: F.transform(block["before"], lambda v: step(off, v))
         return let(blocks, lambda bs: F.flatten(F.zip_with(bs, let(F.transform(bs, lambda b: b["whole"]), lambda w: level(w, deep - 1)), shifted)))
 
-    return F.when(F.size(values) <= RUN, folded(values)["before"]).otherwise(level(values, 2))
+    return let(values, lambda v: F.when(F.size(v) <= RUN, folded(v)["before"]).otherwise(level(v, 2)))
 
 
 CHUNK = 1024

@@ -13,7 +13,7 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, UPPER, whole_text
+from .common import LOWER, UPPER, let, running, whole_text
 from .license_rules import CONFIDENCE, rules
 
 WORD = "0-9A-Za-z\\x{80}-\\x{10FFFF}"
@@ -27,16 +27,16 @@ def _spaces(text: Column) -> Column:
 
 def _spans(words: Column, hit: Column) -> Column:
     """Array of (start, minus end, rank, order, label, base) for each match of a rule; in words, end exclusive. hit: the rule and its matches."""
-    rule = hit["rule"]
-    pairs = F.zip_with(F.split(words, rule["regex"]), hit["matches"], lambda p, m: F.struct(_spaces(p).alias("p"), _spaces(m).alias("m")))
-    nothing = F.expr("cast(array() as array<struct<start:int,till:int,rank:int,place:int,label:string,base:boolean>>)")
+    rule, found = hit["rule"], hit["matches"]
+    gaps = F.transform(F.split(words, rule["regex"]), _spaces)  # one more than matches; a match begins with the space before its first word
 
-    def step(state: Column, x: Column) -> Column:
-        start = state["at"] + x["p"]  # a match begins with the space before its first word
-        one = F.array(F.struct(start.alias("start"), (-(start + x["m"])).alias("till"), rule["rank"].alias("rank"), rule["place"].alias("place"), rule["label"].alias("label"), rule["base"].alias("base")))
-        return F.struct((start + F.coalesce(x["m"], F.lit(0))).alias("at"), F.when(x["m"].isNull(), state["out"]).otherwise(F.concat(state["out"], one)).alias("out"))
+    def placed(gaps: Column, sizes: Column) -> Column:
+        before = running(F.zip_with(gaps, sizes, lambda g, m: g + F.coalesce(m, F.lit(0))), 0, lambda a, b: a + b)
+        starts = F.slice(F.zip_with(before, gaps, lambda b, g: b + g), F.lit(1), F.size(sizes))
+        one = lambda start, m: F.struct(start.alias("start"), (-(start + m)).alias("till"), rule["rank"].alias("rank"), rule["place"].alias("place"), rule["label"].alias("label"), rule["base"].alias("base"))
+        return F.zip_with(starts, sizes, one)
 
-    return F.aggregate(pairs, F.struct(F.lit(0).alias("at"), nothing.alias("out")), step, lambda state: state["out"])
+    return let(gaps, lambda g: let(F.transform(found, _spaces), lambda m: placed(g, m)))
 
 
 def _pattern(regex: str) -> str:
