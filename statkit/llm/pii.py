@@ -19,7 +19,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import stored, whole_text
+from .common import chunks, let, piece, running, stored, whole_text
 
 BASE = ("email", "ip", "card", "phone")
 OTHER = ("secret", "hexkey", "iban", "account", "local_phone", "national_id", "masked_email")
@@ -85,73 +85,94 @@ def _edge(c: Column) -> Column:
     return F.when(c.rlike("[A-Za-z0-9]"), 2).when(c.rlike("^\\s?$"), 0).otherwise(1)
 
 
-def _candidates(body: Column, kind: int) -> Column:
-    """Array of a generator's candidates with their features; offsets are code points, end exclusive."""
-    name = KINDS[kind]
-    gate, pattern = PATTERNS[name]
-    pairs = F.zip_with(F.split(body, pattern), F.regexp_extract_all(body, F.lit(pattern), F.lit(0)), lambda p, m: F.struct(F.length(p).alias("gap"), m.alias("m")))
-    places = F.expr("cast(array() as array<struct<start:int,m:string>>)")
-
-    def place(s: Column, x: Column) -> Column:
-        one = F.array(F.struct((s["at"] + x["gap"]).alias("start"), x["m"].alias("m")))
-        return F.struct((s["at"] + x["gap"] + F.coalesce(F.length(x["m"]), F.lit(0))).alias("at"), F.when(x["m"].isNull(), s["out"]).otherwise(F.concat(s["out"], one)).alias("out"))
-
-    found = F.aggregate(pairs, F.struct(F.lit(0).alias("at"), places.alias("out")), place, lambda s: s["out"])
-
-    def described(x: Column) -> Column:
-        m, start = x["m"], x["start"]
-        size, digits = F.length(m), F.regexp_replace(m, "[^0-9]", "")
-        before = F.lower(F.substring(body, F.greatest(start - 23, F.lit(1)), F.least(start, F.lit(24))))
-        value = F.regexp_replace(F.regexp_extract(m, "[=:] ?(.*)$", 1), "[\"']", "")
-        check = {  # a checksum, or the form that a true one has
-            "card": F.call_function("luhn_check", digits),
-            "account": F.call_function("luhn_check", digits),
-            "iban": mod97(m) == 1,
-            "national_id": ~m.rlike("^(?:000|666|9)|-00-|-0000$"),
-            "masked_email": m.rlike("(?i)[a-z][a-z0-9-]*(?: ?[(\\[]dot[)\\]] ?|\\.)[a-z]{2,6}$"),
-            "secret": value.rlike("[0-9]") & value.rlike("[A-Za-z]") | (F.length(value) >= 24),
-            "hexkey": F.length(m).isin(32, 40, 64, 128),
-            "local_phone": m.rlike("^\\(|([ .-])[0-9]{3}\\1"),
-        }.get(name, F.lit(True))
-        cue = F.when(before.rlike(AGAINST), 2).when(before.rlike(CUES[name]), 1).otherwise(0) if name in CUES else F.lit(0)
-        spoken = F.when(cue == 1, F.lit(True)).when(cue == 2, F.lit(False))  # null: no evidence
-        valid = {
-            "email": F.lit(True),
-            "ip": m.rlike(IP_PARTS),
-            "card": F.length(digits).between(16, 19) & check,
-            "phone": F.length(digits).between(8, 15),
-            "secret": check, "iban": check, "masked_email": check,
-            "national_id": F.when(~check, F.lit(False)).otherwise(spoken),
-            # what local_phone or phone proposes too is no account, and nothing is said of it here
-            "account": F.when(~m.rlike(PATTERNS["local_phone"][1]) & ~before.endswith("+"), spoken),
-        }.get(name, spoken)
-        return F.struct(
-            F.lit(kind).alias("kind"), start.alias("start"), (start + size).alias("till"),
-            F.least(F.floor(size / 6), F.lit(7)).cast("int").alias("size"),
-            F.floor(4 * F.length(digits) / size).cast("int").alias("digits"),
-            F.least(F.floor(F.size(F.array_distinct(F.split(m, ""))) / 5), F.lit(3)).cast("int").alias("distinct"),
-            F.least(F.length(F.regexp_replace(m, "[^ .()-]", "")), F.lit(2)).alias("seps"),
-            _edge(F.substring(before, -1, 1)).alias("left"),
-            _edge(F.substring(body, start + size + 1, F.lit(1))).alias("right"),
-            cue.alias("cue"),
-            F.coalesce(check, F.lit(False)).cast("int").alias("check"),
-            valid.alias("valid"),
-        )
-
-    if name == "account":  # what the card check takes is no candidate again
-        found = F.filter(found, lambda x: F.length(F.regexp_replace(x["m"], "[^0-9]", "")).between(10, 19))
-    elif name == "card":
-        found = F.filter(found, lambda x: F.length(F.regexp_replace(x["m"], "[^0-9]", "")).between(16, 19))
+def _by_kind(kind: Column, values: dict[str, Column], other: Column) -> Column:
+    """The value of the span's kind; of kinds without one, `other`."""
+    out = None
+    for name, value in values.items():
+        is_ = kind == KINDS.index(name)
+        out = F.when(is_, value) if out is None else out.when(is_, value)
+    return out.otherwise(other)
+
+
+def _scan(body: Column, kind: int) -> Column:
+    """What a generator finds: kind, the lengths of the texts between its matches, and the matches; null where its test fails."""
+    gate, pattern = PATTERNS[KINDS[kind]]
     test = F.contains(body, F.lit(gate)) if gate == "@" else body.rlike(gate)
-    return F.when(test, F.transform(found, described).cast(SPAN)).otherwise(F.expr(f"cast(array() as {SPAN})"))
+    return F.when(test, F.struct(F.lit(kind).alias("kind"), F.transform(F.split(body, pattern), F.length).alias("gaps"), F.regexp_extract_all(body, F.lit(pattern), F.lit(0)).alias("matches")))
+
+
+def _placed(scan: Column) -> Column:
+    """Array of (kind, start, m) of a scan's matches; starts in code points."""
+    gaps, matches = scan["gaps"], scan["matches"]
+    before = running(F.zip_with(gaps, matches, lambda g, m: g + F.coalesce(F.length(m), F.lit(0))), 0, lambda a, b: a + b)
+    starts = F.slice(F.zip_with(before, gaps, lambda b, g: b + g), F.lit(1), F.size(matches))
+    return F.zip_with(starts, matches, lambda start, m: F.struct(scan["kind"].alias("kind"), start.alias("start"), m.alias("m"), F.regexp_replace(m, "[^0-9]", "").alias("digits")))
+
+
+def _described(x: Column, cut: Column) -> Column:
+    """A candidate (kind, start, m, digits, before) with its features; the text is given in chunks."""
+    kind, m, start, digits, before = (x[n] for n in ("kind", "m", "start", "digits", "before"))
+    size, value = F.length(m), F.regexp_replace(F.regexp_extract(m, "[=:] ?(.*)$", 1), "[\"']", "")
+    check = _by_kind(kind, {  # a checksum, or the form that a true one has
+        "card": F.call_function("luhn_check", digits),
+        "account": F.call_function("luhn_check", digits),
+        "iban": mod97(m) == 1,
+        "national_id": ~m.rlike("^(?:000|666|9)|-00-|-0000$"),
+        "masked_email": m.rlike("(?i)[a-z][a-z0-9-]*(?: ?[(\\[]dot[)\\]] ?|\\.)[a-z]{2,6}$"),
+        "secret": value.rlike("[0-9]") & value.rlike("[A-Za-z]") | (F.length(value) >= 24),
+        "hexkey": F.length(m).isin(32, 40, 64, 128),
+        "local_phone": m.rlike("^\\(|([ .-])[0-9]{3}\\1"),
+    }, F.lit(True))
+    cued = _by_kind(kind, {name: before.rlike(words) for name, words in CUES.items()}, F.lit(False))
+    cue = F.when(kind < len(BASE), 0).when(before.rlike(AGAINST), 2).when(cued, 1).otherwise(0)
+    return F.struct(
+        kind.alias("kind"), start.alias("start"), (start + size).alias("till"),
+        F.least(F.floor(size / 6), F.lit(7)).cast("int").alias("size"),
+        F.floor(4 * F.length(digits) / size).cast("int").alias("digits"),
+        F.least(F.floor(F.size(F.array_distinct(F.split(m, ""))) / 5), F.lit(3)).cast("int").alias("distinct"),
+        F.least(F.length(F.regexp_replace(m, "[^ .()-]", "")), F.lit(2)).alias("seps"),
+        _edge(F.substring(before, -1, 1)).alias("left"),
+        _edge(piece(cut, start + size, start + size + 1)).alias("right"),
+        cue.alias("cue"),
+        F.coalesce(check, F.lit(False)).cast("int").alias("check"),
+        F.struct(m.alias("m"), F.length(digits).alias("n"), before.alias("before")).alias("seen"),
+    )
+
+
+def _valid(x: Column) -> Column:
+    """Whether a described candidate is one of its kind, by evidence; null where there is none."""
+    m, n, before, check = x["seen"]["m"], x["seen"]["n"], x["seen"]["before"], x["check"] == 1
+    spoken = F.when(x["cue"] == 1, F.lit(True)).when(x["cue"] == 2, F.lit(False))
+    return _by_kind(x["kind"], {
+        "email": F.lit(True),
+        "ip": m.rlike(IP_PARTS),
+        "card": n.between(16, 19) & check,
+        "phone": n.between(8, 15),
+        "secret": check, "iban": check, "masked_email": check,
+        "national_id": F.when(~check, F.lit(False)).otherwise(spoken),
+        # what local_phone or phone proposes too is no account, and nothing is said of it here
+        "account": F.when(~m.rlike(PATTERNS["local_phone"][1]) & ~before.endswith("+"), spoken),
+    }, spoken)
 
 
 def propose(docs: DataFrame) -> DataFrame:
-    """doc_id and spans: all candidates of a row's whole text, kind by kind (a number into KINDS), by start."""
+    """doc_id and spans: all candidates of a row's whole text, kind by kind (a number into KINDS), by start.
+
+    The generators' matches are placed and described by one expression for all kinds, which keeps the plan small.
+    """
     rows = docs.select("doc_id", whole_text().alias("body"))
     rows = rows.select("doc_id", "body", F.col("body").rlike("[0-9@=:\\[(]").alias("any"))
-    nothing = F.expr(f"cast(array() as {SPAN})")
-    return rows.select("doc_id", F.when(F.col("any"), F.concat(*[_candidates(F.col("body"), k) for k in range(len(KINDS))])).otherwise(nothing).alias("spans"))
+    scans = F.filter(F.array(*[_scan(F.col("body"), k) for k in range(len(KINDS))]), lambda s: s.isNotNull() & (F.size(s["matches"]) > 0))
+    rows = rows.select("doc_id", F.when(F.col("any"), chunks(F.col("body"))).alias("cut"), F.when(F.col("any"), scans).alias("scans"))
+    count = lambda x: F.length(x["digits"])
+    taken = lambda x: _by_kind(x["kind"], {"account": count(x).between(10, 19), "card": count(x).between(16, 19)}, F.lit(True))
+    rows = rows.select("doc_id", "cut", F.filter(F.flatten(F.transform("scans", _placed)), taken).alias("found"))
+    context = lambda x: F.lower(piece(F.col("cut"), F.greatest(x["start"] - 24, F.lit(0)), x["start"]))
+    rows = rows.select("doc_id", "cut", F.transform("found", lambda x: F.struct(*[x[n].alias(n) for n in ("kind", "start", "m", "digits")], context(x).alias("before"))).alias("found"))
+    rows = rows.select("doc_id", F.transform("found", lambda x: _described(x, F.col("cut"))).alias("found"))
+    names = ("kind", "start", "till", *FEATURES)
+    spans = F.transform("found", lambda x: F.struct(*[x[n].alias(n) for n in names], _valid(x).alias("valid"))).cast(SPAN)
+    return rows.select("doc_id", F.coalesce(spans, F.expr(f"cast(array() as {SPAN})")).alias("spans"))
 
 
 def seeded(spark: SparkSession) -> DataFrame:
@@ -292,6 +313,30 @@ def score_of(span: Column, models: dict[int, tuple]) -> Column:
     return out
 
 
+def _clusters(spans: Column) -> Column:
+    """The spans (kind, start, till, score), sorted by start, in arrays: spans of different arrays do not overlap."""
+
+    def parted(s: Column) -> Column:
+        ends = running(F.transform(s, lambda x: x["till"]), 0, F.greatest)  # the furthest end before each
+        first = F.zip_with(s, ends, lambda x, end: x["start"] >= end)
+        heads = F.filter(F.transform(first, lambda f, i: F.when(f, i)), lambda i: i.isNotNull())
+        return let(heads, lambda h: F.transform(h, lambda at, i: F.slice(s, at + 1, F.coalesce(F.get(h, i + 1), F.size(s)) - at)))
+
+    by_start = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["till"].alias("till"), s["kind"].alias("kind"), s["score"].alias("score"))))
+    return let(by_start, parted)
+
+
+def _best(cluster: Column) -> Column:
+    """The spans (kind, start, till, score) of no base kind that stay, of spans of which each may overlap others."""
+    apart = lambda a, b: (a["till"] <= b["start"]) | (b["till"] <= a["start"])
+    others = F.filter(cluster, lambda s: (s["kind"] >= len(BASE)) & ~F.exists(cluster, lambda b: (b["kind"] < len(BASE)) & ~apart(s, b)))
+    shape = lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["till"].alias("till"), s["score"].alias("score"))
+    ordered = F.array_sort(F.transform(others, lambda s: F.struct((-s["score"]).alias("less"), s["start"].alias("start"), s["kind"].alias("kind"), s["till"].alias("till"), s["score"].alias("score"))))
+    nothing = F.expr("cast(array() as array<struct<kind:int,start:int,till:int,score:double>>)")
+    chosen = F.aggregate(ordered, nothing, lambda out, s: F.when(F.forall(out, lambda o: apart(o, s)), F.concat(out, F.array(shape(s)))).otherwise(out))
+    return F.when(F.size(cluster) == 1, F.transform(F.filter(cluster, lambda s: s["kind"] >= len(BASE)), shape)).otherwise(chosen)
+
+
 def find_personal_data(docs: DataFrame, precision: float = 0.9) -> DataFrame:
     """A row per row of docs: doc_id, n_email, n_ip, n_card, n_phone, base, redactions.
 
@@ -310,15 +355,10 @@ def find_personal_data(docs: DataFrame, precision: float = 0.9) -> DataFrame:
     rows = spans.select("doc_id", base.alias("base"), F.filter("spans", lambda s: s["kind"] >= len(BASE)).alias("more"))
     scored = F.transform("more", lambda s: slim(s, score_of(s, models)))
     rows = rows.select("doc_id", "base", F.filter(scored, lambda s: s["score"] >= F.element_at(least, s["kind"] + 1)).alias("more"))
-    rows = rows.withColumn("more", F.filter("more", lambda s: ~F.exists("base", lambda b: (b["start"] < s["till"]) & (s["start"] < b["till"]))))
-    ordered = F.array_sort(F.transform("more", lambda s: F.struct((-s["score"]).alias("less"), s["start"].alias("start"), s["kind"].alias("kind"), s["till"].alias("till"))))
-    kept = "array<struct<less:double,start:int,kind:int,till:int>>"
-    free = lambda out, s: ~F.exists(out, lambda o: (o["start"] < s["till"]) & (s["start"] < o["till"]))
-    chosen = F.aggregate(ordered, F.expr(f"cast(array() as {kept})"), lambda out, s: F.when(free(out, s), F.concat(out, F.array(s))).otherwise(out))
-    chosen = F.array_sort(F.transform(chosen, lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["till"].alias("till"), (-s["less"]).alias("score"))))
+    rows = rows.select("doc_id", "base", F.when(F.size("more") > 0, F.array_sort(F.flatten(F.transform(_clusters(F.concat("base", "more")), _best)))).otherwise(F.col("more")).alias("more"))
     of = lambda k: F.size(F.filter("base", lambda s: s["kind"] == k)).cast("long")
     counts = [of(k).alias(f"n_{name}") for k, name in enumerate(BASE)]
-    return rows.select("doc_id", *counts, "base", F.concat("base", F.when(F.size("more") > 0, chosen).otherwise(F.slice("more", 1, 0))).alias("redactions"))
+    return rows.select("doc_id", *counts, "base", F.concat("base", "more").alias("redactions"))
 
 
 def shown(spans: str) -> Column:
@@ -328,13 +368,14 @@ def shown(spans: str) -> Column:
 
 
 def redact(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """doc_id and text of docs with each redaction replaced by its kind in angle brackets; docs' doc_id must be unique."""
-    names = F.array(*[F.lit(f"<{k.upper()}>") for k in KINDS])
-    rows = docs.select("doc_id", whole_text().alias("body")).join(found.select("doc_id", "redactions"), "doc_id")
+    """doc_id and text of docs with each redaction replaced by its kind in angle brackets; docs' doc_id must be unique.
 
-    def step(s: Column, x: Column) -> Column:
-        return F.when(x["start"] < s["at"], s).otherwise(F.struct(x["till"].alias("at"), F.concat(s["out"], F.substring(F.col("body"), s["at"] + 1, x["start"] - s["at"]), F.element_at(names, x["kind"] + 1)).alias("out")))
-
-    by_start = F.array_sort(F.transform("redactions", lambda s: F.struct(s["start"].alias("start"), s["till"].alias("till"), s["kind"].alias("kind"))))
-    done = F.aggregate(by_start, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step)
-    return rows.select("doc_id", "body", done.alias("d")).select("doc_id", F.concat("d.out", F.expr("substring(body, d.at + 1)")).alias("text"))
+    Redactions that overlap are replaced together, from the start of the first to the furthest end, by the kind of the first.
+    """
+    names = F.array(*[F.lit(f"<{k.upper()}>") for k in KINDS])
+    rows = docs.select("doc_id", whole_text().alias("body")).join(found.select("doc_id", _clusters(F.col("redactions")).alias("parts")), "doc_id")
+    rows = rows.select("doc_id", "body", F.when(F.size("parts") > 0, chunks(F.col("body"))).alias("cut"), F.transform("parts", lambda c: F.struct(F.get(c, F.lit(0))["start"].alias("start"), F.array_max(F.transform(c, lambda s: s["till"])).alias("till"), F.get(c, F.lit(0))["kind"].alias("kind"))).alias("parts"))
+    till = lambda i: F.coalesce(F.get("parts", i - 1)["till"], F.lit(0))
+    pieces = F.transform("parts", lambda p, i: F.concat(piece(F.col("cut"), till(i), p["start"]), F.element_at(names, p["kind"] + 1)))
+    rest = piece(F.col("cut"), F.element_at("parts", -1)["till"], F.length("body"))
+    return rows.select("doc_id", F.when(F.size("parts") == 0, F.col("body")).otherwise(F.concat(F.array_join(pieces, ""), rest)).alias("text"))
