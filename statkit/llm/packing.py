@@ -20,9 +20,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import broadcast_if, stored
 
-SALTS = 64  #: parts into which the pieces of one length are dealt for ranking
+SALT_ROWS = 1 << 18  #: about so many pieces of one length are ranked in one task
 WORDS = 250_000  #: entries of each of the two generations of a task's word cache
 LONG = 48  #: characters of a word that is kept at most; so the caches' memory is bounded
 PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\s\w]|_)+")  #: the vocabulary's own split, for characters below U+0250
@@ -226,19 +226,30 @@ def pack(docs: DataFrame, capacity: int = 2048, path: str | None = None, end: in
     An empty table gives no rows.
     """
     pieces = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text")).mapInArrow(_pieces(path or vocabulary_path(), capacity, end, with_ids, words), "doc_id long, piece int, start long, length long, ids_crc32 long, ids binary")
-    pieces = stored(pieces if with_ids else pieces.drop("ids"), "pieces")
-    salted = pieces.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(SALTS)))
-    parts = salted.groupBy("length", "salt").agg(F.count(F.lit(1)).alias("n"))
+    deal = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(1 << 30)).cast("int").alias("deal")  # written, since a second scan may number rows otherwise
+    pieces = stored((pieces if with_ids else pieces.drop("ids")).select("*", deal), "pieces")
+    keep = [c for c in pieces.columns if c != "deal"]
+    # a piece that fills a sequence has it for itself: its number needs no rank
+    full = pieces.filter(F.col("length") == capacity).select(*keep, (-1 - F.monotonically_increasing_id()).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
+    rest = pieces.filter(F.col("length") < capacity)
     counts = np.zeros(capacity, dtype=np.int64)
-    for row in parts.groupBy("length").agg(F.sum("n").alias("n")).collect():  # at most `capacity` rows
+    for row in rest.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect():  # at most `capacity` rows
         counts[row["length"] - 1] = row["n"]
+    salts = F.element_at(F.array(*[F.lit(int(n)) for n in salts_of(counts)]), F.col("length").cast("int"))
+    salted = rest.withColumn("salt", F.col("deal") % salts)
+    parts = salted.groupBy("length", "salt").agg(F.count(F.lit(1)).alias("n"))
     before = F.coalesce(F.sum("n").over(Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    parts = parts.select("length", "salt", before.alias("before"))  # at most capacity * SALTS rows
+    parts = parts.select("length", "salt", before.alias("before"))  # a row for SALT_ROWS pieces of a length, one at least
     ranked = salted.withColumn("nth", F.row_number().over(Window.partitionBy("length", "salt").orderBy("doc_id", "piece", "ids_crc32")))
-    ranked = ranked.join(F.broadcast(parts), ["length", "salt"]).withColumn("rank", F.col("nth") + F.col("before") - 1)
-    keep = [c for c in pieces.columns]
-    kinds = ", ".join(f"{n} {t}" for n, t in pieces.dtypes)
-    return ranked.select(*keep, "rank").mapInArrow(_placed(places(solve(counts, capacity, rounds))), f"{kinds}, sequence_id long, offset long")
+    ranked = ranked.join(broadcast_if(parts, int(salts_of(counts).sum())), ["length", "salt"]).withColumn("rank", F.col("nth") + F.col("before") - 1)
+    kinds = ", ".join(f"{n} {t}" for n, t in pieces.dtypes if n != "deal")
+    placed = ranked.select(*keep, "rank").mapInArrow(_placed(places(solve(counts, capacity, rounds))), f"{kinds}, sequence_id long, offset long")
+    return placed.unionByName(full)
+
+
+def salts_of(counts: np.ndarray) -> np.ndarray:
+    """Tasks that the pieces of each length are dealt to for ranking: by their number, so that no task's share grows with the input."""
+    return np.maximum(-(-counts // SALT_ROWS), 1)
 
 
 def sequences(packed: DataFrame) -> DataFrame:

@@ -92,3 +92,15 @@ def test_word_caches_are_bounded(monkeypatch):
     assert own(text) == np.array(whole.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
     kept = [*own.young, *own.old]
     assert len(own.old) <= 60 and max(map(len, kept)) <= packing.LONG
+
+
+def test_one_length_holds_nearly_all_pieces(spark, monkeypatch):
+    """Pieces of one length are ranked by tasks of a bounded number of rows, also where rows repeat without an id; full pieces need no rank."""
+    monkeypatch.setattr(packing, "SALT_ROWS", 20)
+    assert list(packing.salts_of(np.array([0, 1, 20, 21, 4000]))) == [1, 1, 1, 2, 200]
+    texts = [(None, "the same text")] * 600 + [(i, "one more text") for i in range(300)] + [(1000 + i, "a long text of many words " * 9) for i in range(5)]
+    rows = packing.pack(spark.createDataFrame(texts, "doc_id long, text string"), capacity=16, rounds=20).collect()
+    assert fields(rows) == expected(texts, 16)
+    assert check_places(rows, 16) <= -(-sum(r["length"] for r in rows) // 16) * 1.4
+    full = [r["sequence_id"] for r in rows if r["length"] == 16]
+    assert len(full) == len(set(full)) > 0 and not set(full) & {r["sequence_id"] for r in rows if r["length"] < 16}
