@@ -14,6 +14,8 @@ that no text is shuffled.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,6 +27,16 @@ GRID = 1 << 14  #: slices of the ranks of a source
 SALTS = 256  #: parts that equal rows are dealt into for numbering
 
 
+def row_key() -> Column:
+    """A number by which rows that agree in doc_id, source and text are found; others may share it."""
+    return F.xxhash64("doc_id", "source", whole_text())
+
+
+def second_key() -> Column:
+    """Another 64 bits of the text, which tell rows apart that only share a key."""
+    return F.xxhash64(F.lit(2), whole_text())
+
+
 def word_count(text: Column) -> Column:
     """Number of runs of characters other than space and tab to carriage return; 0 for null."""
     return F.coalesce(F.regexp_count(text, F.lit("[^\\x20\\x09-\\x0D]+")), F.lit(0)).cast("long")
@@ -75,8 +87,7 @@ def _certain(rows: DataFrame, per: DataFrame) -> DataFrame:
 
 def _plan(docs: DataFrame, weights: list[float], share: float, most: float, seed: int) -> tuple[DataFrame, DataFrame, DataFrame, int]:
     """(rows, per source, per source's cut, number of sources). rows: doc_id, source, size, h (of doc_id, source and text), n, nth, row."""
-    key = F.xxhash64("doc_id", "source", whole_text())
-    rows = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), key.alias("h"), F.monotonically_increasing_id().alias("row"))
+    rows = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), row_key().alias("h"), second_key().alias("h2"), F.monotonically_increasing_id().alias("row"))
     rows = stored(rows, "sizes")
     # rows that agree in doc_id, source and text are numbered, so that each has a U of its own; equal ones are as many tasks as salts
     equal = rows.groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
@@ -87,9 +98,9 @@ def _plan(docs: DataFrame, weights: list[float], share: float, most: float, seed
         parts = again.groupBy("h", "salt").agg(F.count(F.lit(1)).alias("here"))
         before = F.coalesce(F.sum("here").over(Window.partitionBy("h").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
         again = again.withColumn("nth", F.row_number().over(Window.partitionBy("h", "salt").orderBy("row"))).join(parts.select("h", "salt", before.alias("before")), ["h", "salt"])
-        again = again.select("doc_id", "source", "size", "h", "row", "n", (F.col("nth") + F.col("before")).alias("nth"))
+        again = again.select("doc_id", "source", "size", "h", "h2", "row", "n", (F.col("nth") + F.col("before")).alias("nth"))
         single = rows.join(broadcast_if(equal.select("h"), some), "h", "left_anti")
-        rows = stored(single.select("doc_id", "source", "size", "h", "row", F.lit(1).cast("long").alias("n"), F.lit(1).cast("long").alias("nth")).unionByName(again), "sizes")
+        rows = stored(single.select("doc_id", "source", "size", "h", "h2", "row", F.lit(1).cast("long").alias("n"), F.lit(1).cast("long").alias("nth")).unionByName(again), "sizes")
     else:
         rows = rows.withColumns({"n": F.lit(1).cast("long"), "nth": F.lit(1).cast("long")})
 
@@ -160,14 +171,16 @@ def mixed_documents(docs: DataFrame, weights: list[float], share: float = 1.5, m
     rows, per, cut, sources = _plan(docs, weights, share, most, seed)
     columns = [F.col(f"`{c}`") for c in docs.columns]
     (box,) = own_columns(docs, "box")
-    keyed = docs.select(F.struct(*columns).alias(box), "doc_id", "source", word_count(F.col("text")).alias("size"), F.xxhash64("doc_id", "source", whole_text()).alias("h"), F.lit(1).cast("long").alias("nth"))
+    keyed = docs.select(F.struct(*columns).alias(box), "doc_id", "source", word_count(F.col("text")).alias("size"), row_key().alias("h"), second_key().alias("h2"), F.lit(1).cast("long").alias("nth"))
     equal = rows.filter("n > 1")
     if equal.take(1):
-        sums = _taken(equal, per, cut, sources, seed, False).groupBy("h").agg(F.sum("copies").alias("total"))
-        sums = stored(sums, "copies")
+        same = ["h", "h2", "doc_id", "source"]  # unlike documents that share h are told apart, each keeps its own copies
+        sums = stored(_taken(equal, per, cut, sources, seed, False).groupBy(*same).agg(F.sum("copies").alias("total")), "copies")
         some = sums.count()
-        one = keyed.join(broadcast_if(sums, some), "h").groupBy("h").agg(F.first(box).alias(box), F.max("total").alias("copies")).select(box, "copies")
-        keyed = keyed.join(broadcast_if(sums.select("h"), some), "h", "left_anti")
+        alike = functools.reduce(Column.__and__, [F.col(f"k.{c}").eqNullSafe(F.col(f"t.{c}")) for c in same])
+        one = keyed.alias("k").join(broadcast_if(sums, some).alias("t"), alike).select(box, *[f"k.{c}" for c in same], "total")
+        one = one.groupBy(*same).agg(F.first(box).alias(box), F.max("total").alias("copies")).select(box, "copies")
+        keyed = keyed.join(broadcast_if(sums.select("h").distinct(), some), "h", "left_anti")
     else:
         one = None
     out = _taken(keyed, per, cut, sources, seed, False).select(box, "copies")

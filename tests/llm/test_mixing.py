@@ -1,5 +1,7 @@
 import re
 
+from pyspark.sql import functions as F
+
 from statkit.llm import mixing, queries
 
 
@@ -112,3 +114,18 @@ def test_places_of_very_many_sources(spark):
     want = targets(sizes, queries.MIX_WEIGHTS, 1.5, 2.0)
     got = {r["source"]: r["target"] for r in mixing.source_targets(frame, queries.MIX_WEIGHTS, 1.5, 2.0).collect()}
     assert set(got) == set(want) and all(abs(got[s] - want[s]) < 1e-6 * max(1, want[s]) for s in want)
+
+
+def test_documents_that_share_a_key_are_told_apart(spark, monkeypatch):
+    """With keys of two bits nearly all documents clash; each is still taken as often as it should be."""
+    docs = [(i % 40 if i % 7 else None, " ".join(["word"] * (1 + i % 5)) + f" {i % 40}", "ab"[i % 2], i) for i in range(80)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string, source string, other long")
+    monkeypatch.setattr(mixing, "row_key", lambda: F.pmod(F.xxhash64("doc_id", "source", mixing.whole_text()), F.lit(4)))
+    want = {}
+    for r in mixing.pareto_mix(frame, [5.0, 2.0, 1.0], partial=False).collect():
+        want[r["doc_id"], r["source"]] = want.get((r["doc_id"], r["source"]), 0) + r["copies"]
+    got, texts = dict.fromkeys(want, 0), {(d[0], d[1], d[2]) for d in docs}
+    for r in mixing.mixed_documents(frame, [5.0, 2.0, 1.0]).collect():
+        assert (r["doc_id"], r["text"], r["source"]) in texts
+        got[r["doc_id"], r["source"]] += 1
+    assert got == want
