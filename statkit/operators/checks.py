@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from statkit.functions.text import match_key
+from statkit.operators.sketches import exact_values
 
 
 class CheckFailed(ValueError):
@@ -89,13 +90,18 @@ def profile(df: DataFrame, distinct: bool = True) -> DataFrame:
         parts.append(F.struct(
             F.lit(c).alias("column"), F.count_if(F.col(c).isNull()).alias("nulls"),
             F.round(F.try_divide(F.count_if(F.col(c).isNull()).cast("double"), F.count(F.lit(1))), 6).alias("null_share"),
-            (F.countDistinct(c) if distinct else F.approx_count_distinct(c)).alias("values"),
+            (F.lit(0).cast("long") if distinct else F.approx_count_distinct(c)).alias("values"),
             F.min(text).alias("low"), F.max(text).alias("high"),
             (F.count_if(text.try_cast("double").isNotNull()) == F.count(c)).alias("numeric"),
             F.min_by(text, F.md5(text)).alias("sample"),
             F.when(F.count(c) == 0, "empty").when(F.count_if(text.try_cast("bigint").isNotNull()) == F.count(c), "integer").when(F.count_if(text.try_cast("double").isNotNull()) == F.count(c), "number").when(F.count_if(text.try_cast("date").isNotNull()) == F.count(c), "date").otherwise("text").alias("inferred"),
         ))
-    return df.agg(F.array(*parts).alias("p")).select(F.inline("p"))
+    found = df.agg(F.array(*parts).alias("p")).select(F.inline("p"))
+    if not distinct:
+        return found
+    # counted beside, on two levels; countDistinct would repeat each row for each column
+    exact = exact_values(df).select("column", F.col("values").alias("__values"))
+    return found.join(exact, "column", "left").withColumn("values", F.coalesce("__values", F.lit(0))).drop("__values")
 
 
 def coverage(parts: DataFrame, whole: DataFrame, unit: str, part: str, size: str, tolerance: float = 0.0) -> DataFrame:

@@ -5,6 +5,8 @@ Joins carry no broadcast hint: Spark broadcasts a side by its measured size, and
 
 from __future__ import annotations
 
+import functools
+import json
 from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -13,6 +15,9 @@ from pyspark.sql import functions as F
 from statkit.functions.text import match_key
 
 
+PACKED = 20_000  #: entries of all dimensions that are packed into a plan's constant
+
+
 class UnmatchedKeys(ValueError):
     """Keys that a lookup has no entry for, under the policy "raise"."""
 
@@ -62,6 +67,51 @@ def denormalised(facts: DataFrame, *steps: tuple[DataFrame, str, str, Mapping[st
     return facts
 
 
+def star(facts: DataFrame, dims: Mapping[str, tuple[DataFrame, str, str]], roles: Mapping[str, tuple[str, str]]) -> DataFrame:
+    """facts with the labels of many roles: roles = {new name: (fact column, dimension)}, dims = {name: (table, key, label)}.
+
+    Dimensions are measured first. Those of up to PACKED entries together, smallest first, are packed into one hashed table
+    of (dimension, code), a constant of the plan in which a role is an expression; larger ones are joined, each role in turn.
+    A null or unknown code gives null. Keys are compared as text; a key that a dimension has twice is an error.
+    """
+    clash = [new for new in roles if new in facts.columns]
+    if clash:
+        raise ValueError(f"facts have columns {clash} already")
+    sizes = {}
+    for name in sorted({d for _, d in roles.values()}):
+        dim, key, _ = dims[name]
+        n, keys = dim.agg(F.count(key), F.countDistinct(key)).first()
+        if keys < n:
+            raise ValueError(f"{key} is not unique in {name}")
+        sizes[name] = n
+    packed, total = [], 0
+    for name in sorted(sizes, key=lambda d: (sizes[d], d)):
+        if total + sizes[name] <= PACKED:
+            packed.append(name)
+            total += sizes[name]
+    buckets = [[] for _ in range(1 << max(total - 1, 1).bit_length())]
+    out = facts
+    if packed:
+        rows = [dims[name][0].select(F.lit(name).alias("dim"), F.col(dims[name][1]).cast("string").alias("code"), F.col(dims[name][2]).cast("string").alias("label")).filter("code IS NOT NULL") for name in packed]
+        place = F.pmod(F.xxhash64("dim", "code"), F.lit(len(buckets))).cast("int").alias("place")
+        for r in functools.reduce(DataFrame.unionByName, rows).select("dim", "code", "label", place).collect():  # at most PACKED
+            buckets[r["place"]].append({"d": r["dim"], "c": r["code"], "l": r["label"]})
+        table = F.from_json(F.lit(json.dumps(buckets)), "array<array<struct<d:string,c:string,l:string>>>")  # folded once
+
+        def label(column: str, name: str) -> Column:
+            code = F.col(column).cast("string")
+            bucket = F.get(table, F.pmod(F.xxhash64(F.lit(name), code), F.lit(len(buckets))).cast("int"))
+            return F.get(F.filter(bucket, lambda e: (e["d"] == name) & (e["c"] == code)), F.lit(0))["l"]
+
+        out = out.withColumns({new: label(column, name) for new, (column, name) in roles.items() if name in packed})
+    for new, (column, name) in roles.items():
+        if name not in packed:
+            dim, key, shown = dims[name]
+            right = dim.select(F.col(key).cast("string").alias("__role"), F.col(shown).cast("string").alias(new))
+            out = out.join(right, F.col(column).cast("string") == F.col("__role"), "left").drop("__role")
+    return out.select(*[F.col(f"`{c}`") for c in facts.columns], *roles)
+
+
 def null_foreign_keys(facts: DataFrame, dim: DataFrame, column: str, key: str) -> DataFrame:
     """A foreign key that the dimension does not have becomes null."""
     known = dim.select(F.col(key).alias("__known")).distinct()

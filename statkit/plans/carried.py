@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from statkit.operators import carry, checks, commits, loads, marts, quadtree
+from statkit.operators import carry, checks, commits, loads, lookup, marts, quadtree, registry, sketches
 from statkit.plans.registry import query
 from statkit.plans.sourcing import landing
 from statkit.sources import archives
@@ -171,3 +171,53 @@ def submission_register(t, spark):
         loads.tried({name: load(name, submission) for name in objects})
     found = commits.read(spark, f"{path}/register", commits.head(spark, f"{path}/register"))
     return found.select("submission", "object", "state", F.col("counts")["rows"].alias("rows"), F.col("counts")["unreadable"].alias("unreadable"), "error")
+
+
+@query("""
+WITH o AS (SELECT o_orderkey::VARCHAR AS o_orderkey, CASE WHEN o_orderstatus <> 'P' THEN o_orderstatus END AS status, strftime(o_orderdate, '%Y-%m-%d') AS day FROM orders)
+SELECT 'o_orderkey' AS "column", count(*) AS rows, 0::BIGINT AS nulls, min(o_orderkey) AS low, max(o_orderkey) AS high, 'integer' AS inferred, count(DISTINCT o_orderkey) AS values, true AS close, true AS same, NULL::VARCHAR AS frequent FROM o
+UNION ALL SELECT 'status', count(*), count(*) FILTER (status IS NULL), min(status), max(status), 'text', count(DISTINCT status), true, true, (SELECT string_agg(status || '=' || n, ',' ORDER BY n DESC, status) FROM (SELECT status, count(*) AS n FROM o WHERE status IS NOT NULL GROUP BY 1)) FROM o
+UNION ALL SELECT 'day', count(*), 0, min(day), max(day), 'date', count(DISTINCT day), true, true, NULL FROM o""")
+def merged_profile(t, spark):
+    """Each year's profile state is stored; merged, they tell what a profile of all rows tells. Exact counts and frequent values on request."""
+    rows = t("orders").select(F.col("o_orderkey").cast("string").alias("o_orderkey"), F.when(F.col("o_orderstatus") != "P", F.col("o_orderstatus")).alias("status"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"), F.year("o_orderdate").alias("year"))
+    path, columns = landing(spark), ["o_orderkey", "status", "day"]
+    for year in sorted(r["year"] for r in rows.select("year").distinct().collect()):  # the editions
+        sketches.states(rows.filter(F.col("year") == year), columns).write.mode("append").parquet(path)
+    merged = sketches.shown(sketches.merged(spark.read.parquet(path)))
+    whole = sketches.shown(sketches.states(rows, columns)).select("column", F.col("values").alias("whole"))
+    exact = sketches.exact_values(rows, columns).withColumnRenamed("values", "exact")
+    top = sketches.frequent(rows, ["status"]).groupBy("column").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("place", "value", "n"))), lambda x: F.concat_ws("=", x["value"], x["n"])), ",").alias("frequent"))
+    out = merged.join(whole, "column").join(exact, "column").join(top, "column", "left")
+    same = F.abs(F.col("values") - F.col("whole")) <= F.col("whole") * 0.01
+    return out.select("column", "rows", "nulls", "low", "high", "inferred", F.col("exact").alias("values"), sketches.close(F.col("values"), F.col("exact")).alias("close"), same.alias("same"), "frequent")
+
+
+ROLES = 36  #: roles of the widest star
+
+
+@query("SELECT c_custkey, " + ", ".join(f"{d}{i}.{label} AS role_{i}" for i in range(ROLES) for d, label in [(("n", "n_name"), ("r", "r_name"), ("s", "s_name"))[i % 3]]) + " FROM customer " + " ".join(
+    (f"LEFT JOIN nation n{i} ON n{i}.n_nationkey = (c_custkey + {i}) % 27", f"LEFT JOIN region r{i} ON r{i}.r_regionkey = (c_custkey + {i}) % 6", f"LEFT JOIN supplier s{i} ON s{i}.s_suppkey = (c_custkey + {i}) % 90")[i % 3] for i in range(ROLES)))
+def wide_star(t, spark):
+    """36 roles of three dimensions, looked up together; unknown codes stay null."""
+    names = ("nation", "region", "supplier")
+    facts = t("customer").select("c_custkey", *[((F.col("c_custkey") + i) % (27, 6, 90)[i % 3]).alias(f"code_{i}") for i in range(ROLES)])
+    dims = {"nation": (t("nation"), "n_nationkey", "n_name"), "region": (t("region"), "r_regionkey", "r_name"), "supplier": (t("supplier"), "s_suppkey", "s_name")}
+    out = lookup.star(facts, dims, {f"role_{i}": (f"code_{i}", names[i % 3]) for i in range(ROLES)})
+    return out.select("c_custkey", *[f"role_{i}" for i in range(ROLES)])
+
+
+@query("""
+WITH k AS (SELECT DISTINCT p_brand || '/' || p_size AS key FROM part), s AS (SELECT 'seed' AS key UNION ALL SELECT * FROM k)
+SELECT key, true AS stays, true AS own FROM s""")
+def stable_ids(t, spark):
+    """Ids of a catalogue entered in parts, and again in another order: each key keeps the id it had."""
+    path = landing(spark)
+    keys = t("part").select(F.concat_ws("/", "p_brand", "p_size").alias("key"), "p_size")
+    first = registry.catalogue(spark, path, ["seed"], keys.filter("p_size > 25"), "key").withColumnRenamed("id", "was")
+    for part in ("p_size <= 10", "p_size > 5", "p_size <= 50"):
+        registry.enter(keys.filter(part), path, "key")
+    now = registry.entries(spark, path)
+    n, ids = now.count(), now.select("id").distinct().count()
+    out = now.join(first, "key", "left")
+    return out.select("key", (F.col("was").isNull() | (F.col("was") == F.col("id"))).alias("stays"), (F.lit(n == ids) & ((F.col("id") - 1) % registry.SHARDS == F.col("shard"))).alias("own"))
