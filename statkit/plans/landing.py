@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import enum
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -11,7 +13,7 @@ from statkit.operators import cells, checks, loads
 from statkit.plans.registry import query
 from statkit.plans.shapes import BOXES, _layers
 from statkit.plans.sourcing import landing
-from statkit.sources import editions, files
+from statkit.sources import editions, files, seeds
 
 
 @query("""SELECT c_custkey AS custkey, c_name AS name, CASE WHEN c_custkey % 2 = 0 THEN 2019 ELSE 2022 END AS year FROM customer""")
@@ -69,6 +71,42 @@ def required_columns(t, spark):
     return checks.require(t("supplier"), ["s_suppkey", "s_name"], ["s_suppkey", "s_name"], ["s_suppkey"]).select("s_suppkey", "s_name")
 
 
+@query("""
+WITH s AS (SELECT count(*) FILTER (s_suppkey % 3 = 0) AS nulls, (SELECT n_nationkey FROM nation ORDER BY n_nationkey LIMIT 1) AS first FROM supplier)
+SELECT 'good' AS name, count(*) AS rows, false AS failed, NULL::VARCHAR AS error FROM supplier
+UNION ALL SELECT 'missing', NULL, true, 'CheckFailed: missing columns: [''no_such_column'']' FROM s
+UNION ALL SELECT 'nulls', NULL, true, 'CheckFailed: nulls: {''name'': ' || nulls || '}' FROM s
+UNION ALL SELECT 'repeated', NULL, true, 'CheckFailed: repeated keys: [(' || first || ', 2)]' FROM s""")
+def failed_checks(t, spark):
+    """Q1, Q2, Q3: what each check says of a table that has a violation, and of one that has none."""
+    supplier, nation = t("supplier"), t("nation")
+    gaps = supplier.select(F.when(F.col("s_suppkey") % 3 != 0, F.col("s_name")).alias("name"))
+    twice = nation.select("n_nationkey").unionByName(nation.orderBy("n_nationkey").limit(1).select("n_nationkey"))
+    return loads.load_report(spark, loads.tried({
+        "good": lambda: checks.require(supplier, ["s_suppkey", "s_name"], ["s_suppkey", "s_name"], ["s_suppkey"]).count(),
+        "missing": lambda: checks.require(supplier, ["s_suppkey", "no_such_column"]).count(),
+        "nulls": lambda: checks.require(gaps, ["name"], ["name"]).count(),
+        "repeated": lambda: checks.require(twice, unique=["n_nationkey"]).count(),
+    }))
+
+
+class OrderStatus(enum.Enum):
+    FILLED = "F"
+    OPEN = "O"
+    PARTLY_FILLED = "P"
+    NEVER_SEEN = "N"
+
+
+@query("""
+SELECT s.id, s.code, s.label, count(o_orderkey) AS orders FROM (VALUES (1, 'FILLED', 'Filled', 'F'), (2, 'OPEN', 'Open', 'O'), (3, 'PARTLY_FILLED', 'Partly filled', 'P'), (4, 'NEVER_SEEN', 'Never seen', 'N')) s(id, code, label, status)
+LEFT JOIN orders ON o_orderstatus = s.status GROUP BY ALL""")
+def seeded_statuses(t, spark):
+    """An enumeration as a catalogue, with the facts of each member; members without facts stay."""
+    codes = {m.value: m.name for m in OrderStatus}
+    named = t("orders").replace(codes, subset=["o_orderstatus"]).groupBy(F.col("o_orderstatus").alias("code")).agg(F.count(F.lit(1)).alias("orders"))
+    return seeds.seed(spark, OrderStatus).join(named, "code", "left").fillna(0, ["orders"]).select("id", "code", "label", "orders")
+
+
 @query("""
 WITH m AS (SELECT event_type AS folder, CASE WHEN event_id % 4 = 0 THEN 'draft' ELSE 'complete' END AS state, event_id AS uploaded, event_id % 3 AS slot, 'u' || user_id AS name FROM events)
 SELECT folder, slot, uploaded, name FROM (SELECT *, row_number() OVER (PARTITION BY folder, slot ORDER BY uploaded DESC, name DESC) AS r FROM m WHERE state = 'complete') WHERE r = 1""")

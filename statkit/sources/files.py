@@ -1,21 +1,18 @@
 """Scans of landed files. Everything is read as text and cast explicitly.
 
-Splittable inputs use Spark's own readers; a file is one task only where its format leaves no other way (archives).
+Splittable inputs use Spark's own readers; a file is one task only where its format leaves no other way (members of archives).
 """
 
 from __future__ import annotations
 
-import fnmatch
-import io
-import re
-import zipfile
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from statkit.sources import archives
+
 
 def delimited(spark: SparkSession, path: str | list[str], columns: Sequence[str] | None = None, sep: str = ",", encoding: str = "UTF-8") -> DataFrame:
     """A delimited scan with every column a string; an empty field is the empty string."""
@@ -84,32 +81,9 @@ def below_header(lines: DataFrame, names: Sequence[str], first: int = 20, sep: s
 def member_lines(spark: SparkSession, path: str, expected: str, pattern: str = "*", encoding: str = "utf-8") -> DataFrame:
     """(file, member, number, line) of one member of each zip archive: the exact name, else of those that fit the newest edition (S3).
 
-    Editions are told by the numbers in a name, from left to right, compared as numbers; the larger name breaks ties.
-
-    An archive is one task; its member is streamed line by line. An archive without such a member is an error.
+    As archives.archive_lines; an archive without such a member is an error.
     """
-
-    def read(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for file, content in zip(frame["path"], frame["content"], strict=True):
-                with zipfile.ZipFile(io.BytesIO(content)) as archive:
-                    names = sorted(archive.namelist())
-                    fitting = [n for n in names if fnmatch.fnmatch(n.lower(), pattern.lower())]
-                    edition = lambda n: ([int(x) for x in re.findall("[0-9]+", n)], n)
-                    member = expected if expected in names else max(fitting, key=edition, default=None)
-                    if member is None:
-                        raise FileNotFoundError(f"{file}: no member {expected} or {pattern} in {names}")
-                    with archive.open(member) as stream:
-                        block: list[tuple] = []
-                        for i, line in enumerate(io.TextIOWrapper(stream, encoding, errors="replace")):
-                            block.append((file, member, i, line.rstrip("\r\n")))
-                            if len(block) == 10_000:
-                                yield pd.DataFrame(block, columns=["file", "member", "number", "line"])
-                                block = []
-                        if block:
-                            yield pd.DataFrame(block, columns=["file", "member", "number", "line"])
-
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(read, "file string, member string, number long, line string")
+    return archives.archive_lines(spark, path, expected, pattern, encoding=encoding)
 
 
 def name_period(name: Column) -> dict[str, Column]:

@@ -1,5 +1,6 @@
 """Landed files stay bounded, and hold every row, whatever the tables' groups and nulls."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from statkit.plans import sourcing
@@ -19,3 +20,18 @@ def test_documents_without_lang_are_a_group(spark):
     docs = spark.createDataFrame([(None, "no lang"), (None, "ja"), ("de", "größer"), ("en", "one\ntwo"), ("-", "dash"), (None, None)], "lang string, text string")
     rows = sourcing.encoding_scan(lambda name: docs, spark).collect()
     assert {r["lang"]: (r["lines"], r["chars"]) for r in rows} == {None: (3, 9), "de": (1, 6), "en": (1, 7), "-": (1, 4)}
+
+
+def test_seeds(spark):
+    import enum
+
+    from statkit.sources import seeds
+
+    class Kind(enum.IntEnum):
+        NOT_KNOWN = 9
+        KNOWN = 1
+
+    assert [tuple(r) for r in seeds.seed(spark, Kind).collect()] == [(9, "NOT_KNOWN", "Not known"), (1, "KNOWN", "Known")]
+    assert [tuple(r) for r in seeds.seed(spark, {1: "one", 2: "two"}).collect()] == [(1, "1", "one"), (2, "2", "two")]
+    with pytest.raises(ValueError, match="twice"):
+        seeds.seed(spark, ["a", "a"])
