@@ -134,3 +134,17 @@ def test_patterns_find_what_rules_between_spaces_find():
         words = f" {' '.join([*found, 'and', *found])} x{found[0]} {found[-1]}x "  # neighbours share a space; parts of words are no matches
         plain = [(m.start(), m.end()) for m in re.finditer(f"(?<= )(?:{rule})(?= )", words)]
         assert [(m.start() + 1, m.end()) for m in re.finditer(licences._pattern(rule), words)] == plain
+
+
+def test_time_grows_with_the_matches_of_a_text(spark):
+    """Twice the matches take about twice the time; all places are right."""
+    import time
+
+    took = []
+    for n in (40_000, 40_000, 80_000):  # the first one compiles
+        docs = spark.createDataFrame([(1, "under the mit license x " * n)], "doc_id long, text string")
+        began = time.time()
+        row = licences.scan_licences(docs).drop("detections").first()
+        took.append(time.time() - began)
+        assert (row["n_base"], row["first_word"], row["last_word"]) == (n, 2, 5 * n - 3)
+    assert took[2] < 2.5 * took[1] + 5
