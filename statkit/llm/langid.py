@@ -19,6 +19,8 @@ from .common import broadcast_if, stored, unit_hash
 UNKNOWN = "und"
 BASE = 1 << 21  #: code points fit below; an n-gram is a number in this base
 
+LANGUAGES = 1000  #: distinct languages that are learned at most
+
 
 def ngram_counts(text: str) -> tuple[np.ndarray, np.ndarray]:
     """Distinct n-grams (numbers below BASE ** 3) of a text's letters and their counts; whatever is no letter is a word break."""
@@ -123,11 +125,15 @@ def identify_languages(docs: DataFrame, held_out, sample: int = 4000, most: int
     text is null or has no letter, or nothing was learned. score: 1 - its distance / the next one's distance, 0 to 1.
 
     A prediction depends on the text only. Null doc_id is not held out. Repeated rows are rows like any other. An empty
-    table gives no rows. The profiles (languages x most rows) are sent to the tasks; languages are as many as distinct
-    values of lang.
+    table gives no rows. The profiles (languages x most rows) are sent to the tasks. More than LANGUAGES distinct values of
+    lang are an error: such a column does not name languages.
     """
     rows = docs.select(F.col("doc_id").alias("doc_id"), "lang", "text", F.coalesce(held_out, F.lit(False)).alias("held_out"))
-    profiles = stored(language_profiles(rows.filter("lang is not null and not held_out"), sample, most), "profiles").collect()
+    profiles = stored(language_profiles(rows.filter("lang is not null and not held_out"), sample, most), "profiles")
+    known = profiles.select("lang").distinct().count()
+    if known > LANGUAGES:
+        raise ValueError(f"{known} values of lang; with more than {LANGUAGES} the profiles are no bounded table")
+    profiles = profiles.collect()
     langs = sorted({p["lang"] for p in profiles})
     grams = np.unique(np.array([p["gram"] for p in profiles], dtype=np.int64))
     ranks, place = np.full((len(langs), max(len(grams), 1)), most, dtype=np.int64), {lang: i for i, lang in enumerate(langs)}

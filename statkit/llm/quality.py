@@ -168,7 +168,8 @@ def score_quality(docs: DataFrame, labels: DataFrame, sample: int = 6000, pool:
     docs needs doc_id, text, source, lang and n_chars; labels needs doc_id and quality (0 or 1; null rows are not used).
     sample and pool: about so many labelled and unlabelled documents fit the classifiers (all, if fewer), drawn by a hash of
     doc_id, at rates from the numbers of labelled and unlabelled documents that docs has (labels of other ids do not count);
-    their features (about 130 numbers a document) are gathered on the driver. Without both labels every score is 1.
+    their features (about 130 numbers a document) are gathered on the driver. With fewer than 8 labelled documents drawn, or
+    without both labels in the part that fits or the part that calibrates (each fourth), nothing can be learned and every score is 1.
 
     Null text counts as empty; null source, lang and n_chars have features of their own. Null doc_id is scored, never
     sampled. Repeated rows are rows like any other; a doc_id with several labels has them all. An empty table gives no rows.

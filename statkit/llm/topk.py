@@ -37,12 +37,16 @@ SAMPLE = 4096  #: vectors that the routing objects are chosen from
 def quantised(vectors: DataFrame, scale: int = 1024) -> DataFrame:
     """row (a number of its own), vec_id and v: floor(scale * x) of each component x as double, shorter vectors filled with zeros.
 
-    Rows whose vec_id or vector is null, or whose vector has a null or non-finite component, go.
+    Rows whose vec_id or vector is null, or whose vector has a null or non-finite component, go. Components so large that an
+    inner product may reach 2 ** 53 are an error, since scores would not be exact.
     """
     x = vectors.select("vec_id", F.transform("embedding", lambda c: c.cast("double")).alias("x")).filter("vec_id is not null and x is not null")
     x = x.filter(~F.exists("x", lambda c: c.isNull() | F.isnan(c) | (F.abs(c) == float("inf"))))
     rows = stored(x.select(F.monotonically_increasing_id().alias("row"), "vec_id", F.transform("x", lambda c: F.floor(c * scale).cast("long")).alias("v")), "quantised")
-    sizes = rows.agg(F.min(F.size("v")).alias("low"), F.max(F.size("v")).alias("high")).first()
+    largest = F.max(F.greatest(F.abs(F.array_max("v").cast("double")), F.abs(F.array_min("v").cast("double"))))
+    sizes = rows.agg(F.min(F.size("v")).alias("low"), F.max(F.size("v")).alias("high"), largest.alias("most")).first()
+    if (sizes["most"] or 0.0) ** 2 * (sizes["high"] or 0) >= 2.0**53:
+        raise ValueError(f"components up to {sizes['most']:.0f} in {sizes['high']} dimensions pass what products of doubles hold exactly; lower the scale")
     if sizes["low"] == sizes["high"]:
         return rows
     return rows.withColumn("v", F.concat("v", F.array_repeat(F.lit(0).cast("long"), F.lit(sizes["high"]) - F.size("v"))))

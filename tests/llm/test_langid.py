@@ -1,5 +1,7 @@
 import zlib
 
+from pyspark.sql import functions as F
+
 from statkit.llm import langid, queries
 
 
@@ -77,3 +79,12 @@ def test_predictions_equal_brute_force(spark, docs):
             continue
         away = sorted((sum(abs(p[g] - i) if g in p else 50 for i, g in enumerate(own)), lang) for lang, p in profiles.items())
         assert got[doc_id][0] == away[0][1] and abs(got[doc_id][1] - (1 - away[0][0] / max(away[1][0], 1))) < 1e-9
+
+
+def test_a_column_that_names_no_languages_is_an_error(spark, monkeypatch):
+    import pytest
+
+    monkeypatch.setattr(langid, "LANGUAGES", 5)
+    frame = spark.createDataFrame([(i, "some words of a text", f"lang{i}") for i in range(6)], "doc_id long, text string, lang string")
+    with pytest.raises(ValueError, match="6 values of lang"):
+        langid.identify_languages(frame, F.lit(False))

@@ -127,3 +127,11 @@ def test_a_large_group_of_equal_vectors_is_cut_into_pages(monkeypatch):
     assert got == [(i, c, 25) for i in range(3000) for c in [c for c in range(3) if c != i][:2]]
     assert sum(pages) == n and max(pages) <= topk.PAGE
     assert max(a for a, _ in scored) <= 1024 and max(b for _, b in scored) <= topk.PAGE
+
+
+def test_components_that_pass_exact_products_are_an_error(spark):
+    import pytest
+
+    frame = spark.createDataFrame([(1, [1e5, 1.0]), (2, [0.5, 1.0])], "vec_id long, embedding array<double>")
+    with pytest.raises(ValueError, match="lower the scale"):
+        topk.top_k(frame, F.col("vec_id") == 1)
