@@ -99,14 +99,14 @@ def surrogate_ids(target: DataFrame, incoming: DataFrame, order: Sequence[str],
 
 
 def seeded_catalogue(seed: Sequence[str], observed: DataFrame, column: str) -> DataFrame:
-    """(id, value): seeded values keep their places, observed ones follow in order (U4)."""
-    from pyspark.sql import Window
+    """(id, value): seeded values keep their places, observed ones follow in order (U4).
 
+    Ids of observed values depend on what is observed together; operators.registry keeps them.
+    """
     spark = observed.sparkSession
     first = spark.createDataFrame(list(enumerate(seed, 1)), "place int, value string")
     rest = observed.select(F.lit(len(seed) + 1).alias("place"), F.col(column).alias("value")).filter(F.col(column).isNotNull()).distinct().join(first.select("value"), "value", "left_anti")
-    both = first.unionByName(rest)
-    return both.select(F.row_number().over(Window.orderBy("place", "value")).alias("id"), "value")  # a catalogue's distinct values
+    return numbered(first.unionByName(rest), ["place", "value"]).select(F.col("id").cast("int").alias("id"), "value")
 
 
 def publish(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> str:

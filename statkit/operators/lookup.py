@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from statkit.functions.text import match_key
+from statkit.operators.ranking import numbered
 
 
 PACKED = 20_000  #: entries of all dimensions that are packed into a plan's constant
@@ -121,15 +122,12 @@ def null_foreign_keys(facts: DataFrame, dim: DataFrame, column: str, key: str) -
 def get_or_create(facts: DataFrame, dim: DataFrame, key: str, id_column: str, label: str, placeholder: str = "NOT DESCRIBED") -> DataFrame:
     """The dimension with an entry for each key of facts that it lacks: next ids by key order, a placeholder label.
 
-    New keys are numbered in one task: they are distinct values of a dimension's key.
+    Where ids must not depend on what is loaded together, use operators.registry.
     """
-    from pyspark.sql import Window
-
     new = facts.select(key).filter(F.col(key).isNotNull()).distinct().join(dim, key, "left_anti")
-    top = dim.agg(F.coalesce(F.max(id_column), F.lit(0)).alias("__top"))
-    new = new.crossJoin(F.broadcast(top))  # one row
-    numbered = new.select((F.col("__top") + F.row_number().over(Window.orderBy(key))).alias(id_column), F.col(key), F.lit(placeholder).alias(label))
-    return dim.select(id_column, key, label).unionByName(numbered.withColumn(id_column, F.col(id_column).cast(dict(dim.dtypes)[id_column])))
+    top = dim.agg(F.coalesce(F.max(id_column), F.lit(0))).first()[0]
+    made = numbered(new.select(key), [key], id_column, top).select(F.col(id_column).cast(dict(dim.dtypes)[id_column]), key, F.lit(placeholder).alias(label))
+    return dim.select(id_column, key, label).unionByName(made)
 
 
 def merged(left: DataFrame, right: DataFrame, candidates: Iterable[str], how: str = "left") -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from statkit.functions.codes import sector_of
-from statkit.operators import lookup, rates
+from statkit.operators import lookup, ranking, rates
 from statkit.plans.registry import query
 
 
@@ -103,10 +103,8 @@ SELECT id, key, 'known' AS label FROM d UNION ALL
 SELECT (SELECT max(id) FROM d) + row_number() OVER (ORDER BY key), key, 'NOT DESCRIBED' FROM n WHERE key NOT IN (SELECT key FROM d)""")
 def get_or_create_dim(t, spark):
     """New members go on after the last id, with a placeholder label."""
-    from pyspark.sql import Window
-
     known = t("part").filter("p_size > 48").select(F.col("p_type").alias("key")).distinct()
-    dim = known.select(F.row_number().over(Window.orderBy("key")).cast("bigint").alias("id"), "key", F.lit("known").alias("label"))
+    dim = ranking.numbered(known, ["key"]).select("id", "key", F.lit("known").alias("label"))
     seen = t("part").filter("p_size <= 3").select(F.concat_ws("/", "p_type", "p_brand").alias("key")).unionByName(t("part").select(F.col("p_type").alias("key")))
     return lookup.get_or_create(seen, dim, "key", "id", "label")
 
