@@ -6,12 +6,15 @@ permutation of the code shifted by k. Documents with the same set are one class
 bands; classes that share a band are candidates, and each link is confirmed on the full sets.
 
 A bucket's pairs are never emitted. First each bucket's smallest member is compared with its others, which collapses
-groups of near copies, and components are joined. Buckets that still hold several components are then compared in full,
-in blocks: members are cut into classes of similar set sizes and these into chunks of bounded weight, by hash; each pair of
+groups of near copies, and components are joined. Buckets that still hold several components get a second look. Large ones
+are cut by prefix filtering: shingles are ordered, rare ones first, and linked sets always share one of the first
+n - ceil(similarity * n) + 1 of theirs, whatever the order is; so members meet by these shingles, and unlike documents of a
+common template, whose rare shingles are their own, do not meet at all. Short lists of a shingle give pairs, each compared
+once; long lists of the same members are one. Small buckets and long lists are compared in full, in blocks: members are cut into classes of similar set sizes and these into chunks of bounded weight, by hash; each pair of
 chunks meets in a task of bounded size, where all intersections come from a matrix product, and only a spanning forest of
 the links leaves the task. So no link between different texts is lost to a cap, and no bucket is ordered in one task. Star
 pairs whose set sizes exclude a link are not loaded, nor are those of buckets that get this second look whose signatures
-agree in far too few coordinates for a link.
+agree in far too few coordinates for a link (SLACK standard deviations: about 1 link in 10 ** 9, far fewer than bands miss).
 """
 
 from __future__ import annotations
@@ -31,6 +34,9 @@ from .components import connected
 BLOCK = 1 << 16  #: expected weight of a chunk at most, but for a single longer text; a text weighs as much as it has shingles, LEAST,
 LEAST = 128  #: or an eighth of its bytes, whichever is most. So a chunk has about BLOCK / LEAST members and 8 * BLOCK bytes at most
 CELLS = 1 << 15  #: values that a signature works on at a time, so that they stay in a core's cache
+HOT = 256  #: members beyond which a bucket is cut by its members' rare shingles; either way no link of the bucket is lost
+LIST = 16  #: members up to which a shingle's list gives pairs
+BINS = 1 << 18  #: counters of shingles, by code, that rare ones are told by; they set the order only, and are the driver's 2 MB whatever the input
 SLACK = 6.0  #: standard deviations below the expected number of equal coordinates of a just linked pair
 SHINGLE = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63)  #: odd multipliers of a shingle's words
 
@@ -194,10 +200,77 @@ def _blocks(width: int, percent: int):
     return run
 
 
+def _counts(width: int):
+    """Of texts: how many sets hold a code of each bin (bin, n); the sums of one task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codes, total = Words(), np.zeros(BINS, np.int64)
+        for batch in batches:
+            for text in batch.column(0):
+                np.add.at(total, (shingle_codes(text.as_py(), width, codes) % np.uint64(BINS)).astype(np.int64), 1)
+        some = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array(total[some])], names=["bin", "n"])
+
+    return run
+
+
+def prefix(codes: np.ndarray, held: np.ndarray, percent: int) -> np.ndarray:
+    """The rarest codes of a set by the counters `held`, ties by code: so many that a linked set must hold one among its own."""
+    n = len(codes)
+    order = np.lexsort((codes, held[(codes % np.uint64(len(held))).astype(np.int64)]))
+    return codes[order[: n + (-percent * n // 100) + 1]]
+
+
+def _prefixes(width: int, percent: int, held: np.ndarray):
+    """Of rows (head, body): (band, head), a row for each code of the set's prefix."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codes = Words()
+        for batch in batches:
+            for head, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                first = prefix(shingle_codes(text.as_py(), width, codes), held, percent)
+                yield pa.RecordBatch.from_arrays([pa.array(first.view(np.int64)), pa.array(np.full(len(first), head))], names=["band", "head"])
+
+    return run
+
+
+def _rare_lists(members: DataFrame, roots: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """(band, head, root, size, n): the members of hot open buckets by their sets' rare shingles; lists of one component are left out.
+
+    Each member's text is read for it once, however many buckets it is in.
+    """
+    here = members.filter(F.col("n") > HOT).join(roots.withColumnRenamed("node", "head"), "head", "left").withColumn("root", F.coalesce("root", "head"))
+    parted = here.groupBy("band").agg(F.min("root").alias("least"), F.max("root").alias("most")).filter("least <> most")
+    here = here.join(parted.select("band"), "band", "left_semi").groupBy("head").agg(F.min("root").alias("root"), F.min("size").alias("size"))
+    here = stored(here, "hot")
+    bodies = texts.join(here.select("head"), "head", "left_semi")
+    held = np.zeros(BINS, np.int64)
+    for r in bodies.select("body").mapInArrow(_counts(width), "bin long, n long").groupBy("bin").agg(F.sum("n").alias("n")).collect():
+        held[r["bin"]] = r["n"]
+    lists = bodies.select("head", "body").mapInArrow(_prefixes(width, percent, held), "band long, head long").join(here, "head")
+    lists = stored(lists, "prefixes")
+    sums = [F.sum(F.xxhash64(F.lit(i), "head").cast("decimal(38,0)")).alias(f"sum{i}") for i in (0, 1)]
+    many = lists.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.min("root").alias("least"), F.max("root").alias("most"), *sums).filter("least <> most")
+    once = many.groupBy("n", "least", "most", "sum0", "sum1").agg(F.min("band").alias("band")).select("band", "n")  # lists of the same members
+    return stored(lists.join(once, "band"), "lists")
+
+
+def _list_pairs(lists: DataFrame) -> DataFrame:
+    """(a, b): the pairs of short lists, of different components, once each."""
+    short = lists.filter(F.col("n") <= LIST).groupBy("band").agg(F.collect_list(F.struct("head", "root")).alias("all"))
+    one = short.select(F.explode("all").alias("x"), "all").select("x", F.explode("all").alias("y")).filter("x.head < y.head and x.root <> y.root")
+    return one.select(F.col("x.head").alias("a"), F.col("y.head").alias("b")).distinct()
+
+
 def _star_links(members: DataFrame, classes: DataFrame, texts: DataFrame, width: int, percent: int, coordinates: int) -> DataFrame:
     """Links between each bucket's smallest member and its others. Pairs of buckets that have no second look (two members) are all compared."""
     pairs = members.filter("head <> low").select(F.col("low").alias("a"), F.col("head").alias("b"), F.col("size").alias("nb"), (F.col("n") == 2).alias("only"))
     pairs = pairs.groupBy("a", "b").agg(F.max("nb").alias("nb"), F.max("only").alias("only"))
+    return _checked(pairs, classes, texts, width, percent, coordinates)
+
+
+def _checked(pairs: DataFrame, classes: DataFrame, texts: DataFrame, width: int, percent: int, coordinates: int) -> DataFrame:
+    """Of pairs (a, b, size of b's set, whether to compare them whatever the signatures say): the linked ones."""
     sketches = classes.select("head", "size", F.col("s.short").alias("short"))
     pairs = pairs.join(sketches.toDF("a", "na", "sa"), "a").filter(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
     pairs = stored(pairs.join(sketches.drop("size").toDF("b", "sb"), "b").select("a", "b", "sa", "sb", "only"), "pairs")
@@ -215,7 +288,7 @@ def _block_links(members: DataFrame, roots: DataFrame, texts: DataFrame, width:
     Linked sets' sizes differ by no more than the similarity, so a bucket is cut by size into classes, and a member meets
     those of its own and the two neighbouring classes. A class is dealt into chunks by hash; each pair of chunks is a block.
     """
-    here = members.filter("n > 2").join(roots.withColumnRenamed("node", "head"), "head", "left").withColumn("root", F.coalesce("root", "head"))
+    here = members.join(roots.withColumnRenamed("node", "head"), "head", "left").withColumn("root", F.coalesce("root", "head"))
     parted = here.groupBy("band").agg(F.min("root").alias("least"), F.max("root").alias("most")).filter("least <> most")
     here = here.select("band", "head", "root", "size").join(parted.select("band"), "band", "left_semi")
     weights = texts.select("head", (F.octet_length("body") / 8).cast("long").alias("bytes"))
@@ -258,7 +331,14 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: i
         texts = stored(texts.dropDuplicates(["head"]), "texts", compression="zstd")
         links = stored(_star_links(members, classes, texts, width, percent, bands * rows), "links")
         roots = stored(connected(links), "roots")
-        more = stored(_block_links(members, roots, texts, width, percent), "links")
+        second = members.filter(F.col("n").between(3, HOT)).select("band", "head", "size")
+        if members.filter(F.col("n") > HOT).take(1):
+            lists = _rare_lists(members, roots, texts, width, percent)
+            pairs = _list_pairs(lists).join(classes.select(F.col("head").alias("b"), F.col("size").alias("nb")), "b")
+            links = stored(links.unionByName(_checked(pairs.withColumn("only", F.lit(False)), classes, texts, width, percent, bands * rows)), "links")
+            roots = stored(connected(links), "roots")
+            second = second.unionByName(lists.filter(F.col("n") > LIST).select("band", "head", "size"))
+        more = stored(_block_links(second, roots, texts, width, percent), "links")
         if more.take(1):
             roots = stored(connected(links.unionByName(more)), "roots")
 

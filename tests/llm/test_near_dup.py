@@ -38,9 +38,14 @@ def test_query_equals_brute_force(spark, sf, docs):
     assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in found)
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_chains_and_hot_groups(spark, seed):
-    """Near copies in chains (neighbours alike, ends not), a large group round one text, and texts that share a band only."""
+@pytest.mark.parametrize(("seed", "hot_size", "longest"), [(1, 256, 16), (2, 256, 16), (1, 4, 16), (2, 4, 3)])
+def test_chains_and_hot_groups(spark, monkeypatch, seed, hot_size, longest):
+    """Near copies in chains (neighbours alike, ends not), a large group round one text, and texts that share a band only.
+
+    The same with nearly every bucket cut by rare shingles, their lists compared by pairs or in blocks.
+    """
+    monkeypatch.setattr(near_dup, "HOT", hot_size)
+    monkeypatch.setattr(near_dup, "LIST", longest)
     rng = np.random.default_rng(seed)
     vocabulary = [f"w{i}" for i in range(5000)]
     rows, base = [], list(rng.choice(vocabulary, 60))
@@ -68,6 +73,36 @@ def test_blocks_of_many_chunks(spark, monkeypatch):
     assert result(near_dup.near_duplicates(frame, 3, 85)) == brute(rows, 3, 85)
 
 
+def test_linked_sets_share_a_code_of_their_prefixes():
+    """Whatever the counters say, at similarities just at the threshold."""
+    rng = np.random.default_rng(3)
+    for percent in (80, 85, 100):
+        for n in (1, 2, 7, 20, 100, 333):
+            held = rng.integers(0, 9, 64)
+            both = -(-percent * n // 100)
+            codes = rng.integers(0, 1 << 63, n + n - both, dtype=np.uint64)
+            a, b = np.sort(codes[:n]), np.sort(codes[n - both :])
+            if 100 * both >= percent * (2 * n - both):
+                assert set(near_dup.prefix(a, held, percent)) & set(near_dup.prefix(b, held, percent))
+            small = np.sort(codes[n - both : n])  # a subset of a: similarity both / n
+            assert set(near_dup.prefix(a, held, percent)) & set(near_dup.prefix(small, held, percent))
+
+
+def test_unlike_documents_of_a_template_do_not_meet(spark):
+    """20,000 documents in one bucket, a third of each its own: no pair but the planted near copies is compared."""
+    rng = np.random.default_rng(4)
+    common = " ".join(f"t{i}" for i in range(40))
+    rows = [(i, common + " " + " ".join(f"v{x}" for x in rng.integers(0, 10**7, 20))) for i in range(20_000)]
+    rows += [(100_000 + i, rows[i][1] + " end") for i in range(50)]
+    texts = spark.createDataFrame(rows, "head long, body string")
+    members = texts.selectExpr("7L AS band", "head", "58L AS size", "20050L AS n")
+    none = spark.createDataFrame([], "node long, root long")
+    lists = near_dup._rare_lists(members, none, texts, 3, 85)
+    pairs = {(r["a"], r["b"]) for r in near_dup._list_pairs(lists).collect()}
+    assert pairs >= {(i, 100_000 + i) for i in range(50)} and len(pairs) < 60
+    assert lists.filter("n > 16").count() == 0
+
+
 def test_odd_rows(odd, none):
     found = near_dup.near_duplicates(odd, 3, 85).collect()
     assert len(found) == odd.count() and near_dup.near_duplicates(none).count() == 0
