@@ -222,14 +222,15 @@ def prefix(codes: np.ndarray, held: np.ndarray, percent: int) -> np.ndarray:
 
 
 def _prefixes(width: int, percent: int, held: np.ndarray):
-    """Of rows (head, body): (band, head), a row for each code of the set's prefix."""
+    """Of rows (head, root, size, body): (band, head, root, size), a row for each code of the set's prefix."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes = Words()
         for batch in batches:
-            for head, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            for i, text in enumerate(batch.column(3)):
                 first = prefix(shingle_codes(text.as_py(), width, codes), held, percent)
-                yield pa.RecordBatch.from_arrays([pa.array(first.view(np.int64)), pa.array(np.full(len(first), head))], names=["band", "head"])
+                same = [np.full(len(first), batch.column(c)[i].as_py(), np.int64) for c in range(3)]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (first.view(np.int64), *same)], names=["band", "head", "root", "size"])
 
     return run
 
@@ -237,18 +238,16 @@ def _prefixes(width: int, percent: int, held: np.ndarray):
 def _rare_lists(members: DataFrame, roots: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
     """(band, head, root, size, n): the members of hot open buckets by their sets' rare shingles; lists of one component are left out.
 
-    Each member's text is read for it once, however many buckets it is in.
+    Each member's text meets its component and size before it is cut, so no row of a shingle is joined for them.
     """
     here = members.filter(F.col("n") > HOT).join(roots.withColumnRenamed("node", "head"), "head", "left").withColumn("root", F.coalesce("root", "head"))
     parted = here.groupBy("band").agg(F.min("root").alias("least"), F.max("root").alias("most")).filter("least <> most")
     here = here.join(parted.select("band"), "band", "left_semi").groupBy("head").agg(F.min("root").alias("root"), F.min("size").alias("size"))
-    here = stored(here, "hot")
-    bodies = texts.join(here.select("head"), "head", "left_semi")
+    bodies = stored(texts.join(here, "head").select("head", "root", "size", "body"), "hot", compression="zstd")
     held = np.zeros(BINS, np.int64)
     for r in bodies.select("body").mapInArrow(_counts(width), "bin long, n long").groupBy("bin").agg(F.sum("n").alias("n")).collect():
         held[r["bin"]] = r["n"]
-    lists = bodies.select("head", "body").mapInArrow(_prefixes(width, percent, held), "band long, head long").join(here, "head")
-    lists = stored(lists, "prefixes")
+    lists = stored(bodies.mapInArrow(_prefixes(width, percent, held), "band long, head long, root long, size long"), "prefixes")
     sums = [F.sum(F.xxhash64(F.lit(i), "head").cast("decimal(38,0)")).alias(f"sum{i}") for i in (0, 1)]
     many = lists.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.min("root").alias("least"), F.max("root").alias("most"), *sums).filter("least <> most")
     once = many.groupBy("n", "least", "most", "sum0", "sum1").agg(F.min("band").alias("band")).select("band", "n")  # lists of the same members
