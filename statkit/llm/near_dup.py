@@ -14,7 +14,8 @@ once; long lists of the same members are one. Small buckets and long lists are c
 chunks meets in a task of bounded size, where all intersections come from a matrix product, and only a spanning forest of
 the links leaves the task. So no link between different texts is lost to a cap, and no bucket is ordered in one task. Star
 pairs whose set sizes exclude a link are not loaded, nor are those of buckets that get this second look whose signatures
-agree in far too few coordinates for a link (SLACK standard deviations: about 1 link in 10 ** 9, far fewer than bands miss).
+agree in far too few coordinates for a link (SLACK standard deviations: 1 to 2 links in 10 ** 8 at the threshold, by
+the binomial distribution).
 """
 
 from __future__ import annotations
