@@ -57,14 +57,13 @@ def numbered(df: DataFrame, order: Sequence[str], name: str = "id", start: int =
     different bounds. The partitions' sizes are a row each, so they are broadcast.
     """
     width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    at, part, size, before = (f"{'_' * max(map(len, df.columns))}{c}" for c in ("at", "part", "size", "before"))  # longer than df's names
     place = F.monotonically_increasing_id()  # the partition in the upper 31 bits, the row in the lower 33
-    parts = written(df.repartitionByRange(width, *order).sortWithinPartitions(*order).withColumn("__at", place), "numbered")
-    part = F.shiftright("__at", 33).alias("__part")
-    sizes = parts.groupBy(part).agg(F.count(F.lit(1)).alias("__size"))
-    before = F.coalesce(F.sum("__size").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    offsets = sizes.select("__part", before.alias("__before"))
-    found = parts.withColumn("__part", part).join(F.broadcast(offsets), "__part")
-    return found.withColumn(name, F.col("__before") + F.col("__at") % (1 << 33) + 1 + start).drop("__part", "__at", "__before")
+    parts = written(df.repartitionByRange(width, *order).sortWithinPartitions(*order).withColumn(at, place), "numbered")
+    sizes = parts.groupBy(F.shiftright(at, 33).alias(part)).agg(F.count(F.lit(1)).alias(size))
+    earlier = F.coalesce(F.sum(size).over(Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    found = parts.withColumn(part, F.shiftright(at, 33)).join(F.broadcast(sizes.select(part, earlier.alias(before))), part)
+    return found.withColumn(name, F.col(before) + F.col(at) % (1 << 33) + 1 + start).drop(part, at, before)
 
 
 def limited(df: DataFrame, most: int, narrow: Sequence[str] = ()) -> DataFrame:

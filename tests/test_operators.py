@@ -200,3 +200,9 @@ def test_uploads_and_marks(spark):
     assert rows(editions.unseen(landed, register)) == [("e2", 7)]
     assert rows(files.sheet_rows(spark.createDataFrame([("title", None), ("14039", "x")], "a string, b string"), ["key", "v"])) == [("14039", "x")]
     assert files.union_all(spark.range(1).select("id"), spark.range(2).withColumn("b", F.lit(1))).count() == 3
+
+
+def test_numbers_leave_columns_of_any_name(spark):
+    frame = spark.range(50).selectExpr("id AS k", "-id AS __at", "id % 3 AS __part", "'x' AS __size", "'y' AS __before")
+    found = ranking.numbered(frame, ["k"]).collect()
+    assert all(r["id"] == r["k"] + 1 and r["__at"] == -r["k"] and r["__part"] == r["k"] % 3 and r["__size"] == "x" and r["__before"] == "y" for r in found) and len(found) == 50
