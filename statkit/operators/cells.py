@@ -11,25 +11,36 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from statkit.operators.rates import ratio
+from statkit.operators.shared import shuffled
+
+
+TASK_CELLS = 1 << 20  #: about so many cells are made in one task
 
 
 def cover(boxes: DataFrame, keys: Sequence[str], x0: str, y0: str, x1: str, y1: str, size: float = 1.0) -> DataFrame:
-    """(keys, cx, cy): the cells of each half-open box (G1)."""
+    """(keys, cx, cy): the cells of each half-open box (G1).
+
+    Boxes are dealt to tasks by the number of cells they give, since a small file of boxes is read by few tasks.
+    """
     cells = lambda a, b: F.sequence(F.floor(F.col(a) / size), F.ceil(F.col(b) / size) - 1)
     valid = boxes.filter((F.col(x1) > F.col(x0)) & (F.col(y1) > F.col(y0)))
+    side = lambda a, b: (F.ceil(F.col(b) / size) - F.floor(F.col(a) / size)).cast("double")
+    tasks = int((valid.agg(F.sum(side(x0, x1) * side(y0, y1)).alias("n")).first()["n"] or 0) // TASK_CELLS) + 1
+    if tasks > 1:
+        valid = valid.select(*dict.fromkeys((*keys, x0, y0, x1, y1))).repartition(tasks)
     return valid.withColumn("cx", F.explode(cells(x0, x1))).withColumn("cy", F.explode(cells(y0, y1))).select(*keys, "cx", "cy")
 
 
 def candidates(left: DataFrame, right: DataFrame, a: str, b: str) -> DataFrame:
     """Pairs that share a cell (G1)."""
-    return left.join(right, ["cx", "cy"]).select(a, b).distinct()
+    return left.join(shuffled(right), ["cx", "cy"]).select(a, b).distinct()
 
 
 def overlay(left: DataFrame, right: DataFrame, a: str, b: str, size: float = 1.0) -> DataFrame:
     """Area of each pair's intersection, and its share of either side in percent."""
     area = lambda d, k, n: d.groupBy(k).agg((F.count(F.lit(1)) * F.lit(size * size)).alias(n))
-    both = left.join(right, ["cx", "cy"]).groupBy(a, b).agg((F.count(F.lit(1)) * F.lit(size * size)).alias("area"))
-    both = both.join(area(left, a, "area_a"), a).join(area(right, b, "area_b"), b)
+    both = left.join(shuffled(right), ["cx", "cy"]).groupBy(a, b).agg((F.count(F.lit(1)) * F.lit(size * size)).alias("area"))
+    both = both.join(shuffled(area(left, a, "area_a")), a).join(shuffled(area(right, b, "area_b")), b)
     return both.select(a, b, "area", ratio(F.col("area"), F.col("area_a"), 100, 6).alias("share_a"), ratio(F.col("area"), F.col("area_b"), 100, 6).alias("share_b"))
 
 

@@ -28,3 +28,8 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def shuffled(df: DataFrame) -> DataFrame:
+    """df for a join that never broadcasts it: size estimates leave out what `explode` adds, so cells of a small table seem small."""
+    return df.hint("merge")
