@@ -60,7 +60,7 @@ def masks(left: DataFrame, right: DataFrame, size: float = 1.0) -> DataFrame:
 
 def clip(cells: DataFrame, mask: DataFrame) -> DataFrame:
     """Cells inside a mask."""
-    return cells.join(mask.select("cx", "cy").distinct(), ["cx", "cy"], "left_semi")
+    return cells.join(shuffled(mask.select("cx", "cy").distinct()), ["cx", "cy"], "left_semi")
 
 
 def self_overlaps(cells: DataFrame, key: str, size: float = 1.0) -> DataFrame:

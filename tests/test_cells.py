@@ -23,3 +23,10 @@ def test_cells_of_few_boxes_are_joined_by_shuffles(spark):
     for made in (cells.overlay(a, b, "a", "b"), cells.candidates(a, b, "a", "b")):
         assert "Broadcast" not in plan(made)
     assert cells.overlay(a, b, "a", "b").filter("a = 0 AND b = 10").first()["area"] == 230 * 130
+
+
+def test_a_mask_is_not_broadcast(spark):
+    a, b = covers(spark, "a", "b")
+    clipped = cells.clip(a, b.filter("b = 0"))
+    assert "Broadcast" not in plan(clipped)
+    assert clipped.filter("a = 10").count() == 230 * 130
