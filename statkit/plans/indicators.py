@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from statkit.operators import cells, labour, reshape
 from statkit.operators.indicators import Catalogue, Indicator, Parameter
+from statkit.operators.shared import shuffled
 from statkit.plans.measures import survey_rows
 from statkit.plans.registry import ORACLE, query
 from statkit.plans.shapes import BOXES, MONTH_COLUMNS, _layers
@@ -106,7 +107,7 @@ def soils(t):
     for source, shift in BOUNDS.items():
         moved = units.withColumn("cx", F.col("cx") + shift)
         area = cells.dissolve(moved, "b").withColumnRenamed("area", "superficie_municipio")
-        parts.append(cells.overlay(polygons, moved, "a", "b").join(groups, "a").join(area, "b").withColumn("fuente", F.lit(source)))
+        parts.append(cells.overlay(polygons, moved, "a", "b").join(shuffled(groups), "a").join(shuffled(area), "b").withColumn("fuente", F.lit(source)))
     found = parts[0].unionByName(parts[1])
     return found.select((F.col("b") + 14000).cast("string").alias("cve_geo"), F.concat(F.lit("Unit "), "b").alias("nombre_geo"), "fuente", "grupo", "clave", F.col("area").alias("superficie_ha"), "superficie_municipio")
 

@@ -49,3 +49,8 @@ def test_soils_need_a_delimitation_and_never_mix_two(spark, frames):
 def test_row_limit_names_the_parameters(spark, frames):
     with pytest.raises(ValueError, match="tipo_delito"):
         bank.BANK.run(spark, "incidencia_delictiva_municipal", most=10, frames=frames)
+
+
+def test_soils_broadcast_no_table_that_grows(spark, sf):
+    found = bank.soils(lambda table: spark.read.parquet(f"{sf}/{table}.parquet"))
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
