@@ -20,12 +20,12 @@ b AS (SELECT s_suppkey AS b, (s_suppkey % 10) * 40 AS x0, (s_suppkey // 10) * 40
 def _fine(t):
     k, size = F.col("p_partkey"), F.col("p_size")
     x, y = (k % 40) * 9 + (size % 16) / 16, F.floor(k / 40) % 50 * 7 + (size % 5) / 16
-    a = t("part").select(k.alias("a"), "p_brand", x.alias("x0"), y.alias("y0"), (x + 1 + size % 46 + (k % 16) / 16).alias("x1"), (y + 1 + size % 41 + 0.5).alias("y1"))
+    a = t("part").select(k.alias("a"), x.alias("x0"), y.alias("y0"), (x + 1 + size % 46 + (k % 16) / 16).alias("x1"), (y + 1 + size % 41 + 0.5).alias("y1"))
     k = F.col("s_suppkey")
     x, y = (k % 10) * 40, F.floor(k / 10) * 40
     b = t("supplier").select(k.alias("b"), x.alias("x0"), y.alias("y0"), (x + 40).alias("x1"), (y + 40).alias("y1"))
     box = ("x0", "y0", "x1", "y1")
-    return quadtree.quads(a, ["a", "p_brand"], *box, 1 / 16), quadtree.quads(b, ["b"], *box, 1 / 16)
+    return quadtree.tiles(a, ["a"], *box, 1 / 16), quadtree.tiles(b, ["b"], *box, 1 / 16)
 
 
 @query(FINE + """
@@ -33,9 +33,9 @@ def _fine(t):
   FROM a JOIN b ON a.x0 < b.x0 + b.w AND b.x0 < a.x0 + a.w AND a.y0 < b.y0 + b.h AND b.y0 < a.y0 + a.h)
 SELECT a, b, area::DOUBLE AS area, round(area * 100.0::DOUBLE / sa, 6) AS share_a, round(area * 100.0::DOUBLE / sb, 6) AS share_b FROM j""")
 def quad_overlay(t, spark):
-    """Areas of intersections and their shares on a fine grid, by prefix joins of quadtree cells."""
+    """Areas of intersections and their shares on a fine grid, by prefix joins of the quadtree cells of the boxes' sizes."""
     a, b = _fine(t)
-    return quadtree.overlay(a, b, "a", "b", 1 / 16)
+    return quadtree.overlay_tiles(a, b, "a", "b", 1 / 16)
 
 
 @query(FINE + """
@@ -48,8 +48,7 @@ SELECT b, sum(dx * dy)::DOUBLE AS area FROM g GROUP BY b""")
 def quad_dissolve(t, spark):
     """The part of each unit that the union of all other boxes covers."""
     a, b = _fine(t)
-    inside = quadtree.shared(a.filter("a % 5 = 0"), b, "a", "b")
-    return quadtree.areas(quadtree.dissolved(inside, ["b"]), ["b"], 1 / 16)
+    return quadtree.united_areas(quadtree.shared_tiles(a.filter("a % 5 = 0"), b, "a", "b"), ["b"], 1 / 16)
 
 
 @query("""

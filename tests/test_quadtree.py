@@ -60,3 +60,22 @@ def test_odd_boxes(spark):
     assert none.count() == 0 and quadtree.masks(none, none).first()["union_area"] == 0.0
     assert quadtree.overlay(none, none.withColumnRenamed("a", "b"), "a", "b").count() == 0
     assert quadtree.from_cells(spark.range(0).select("id", F.lit(1).alias("cx"), F.lit(1).alias("cy")), ["id"]).count() == 0
+
+
+def test_tiles_give_what_quads_give(spark):
+    """A box is at most four rows whatever its outline; overlays and unions equal those of quads, for overlapping boxes and odd edges too."""
+    rng = random.Random(7)
+    spot = lambda i: (i % 7, *(lambda x, y: (x, y, x + rng.randint(1, 300) / 4, y + rng.randint(1, 300) / 4))(rng.randint(-99, 99) / 4, rng.randint(-99, 99) / 4))
+    a = boxes(spark, [*map(spot, range(30)), (8, None, 0.0, 1.0, 1.0), (8, 3.0, 0.0, 3.0, 5.0), (9, 0.0, 0.0, 0.25, 0.25), (10, -64.0, -64.0, 64.0, 64.0)], "a")
+    b = boxes(spark, [(i * 10 + j, i * 20.0, j * 20.0, i * 20.0 + 20, j * 20.0 + 20) for i in range(-4, 4) for j in range(-4, 4)] + [(None, 0.0, 0.0, 9.0, 9.0)], "b")
+    ta, tb = (quadtree.tiles(d, [k], *BOX, 0.25) for d, k in ((a, "a"), (b, "b")))
+    qa, qb = (quadtree.quads(d, [k], *BOX, 0.25) for d, k in ((a, "a"), (b, "b")))
+    assert ta.count() <= 4 * a.count() < qa.count() / 40
+    one = a.filter("x0 IS NOT NULL").select(F.monotonically_increasing_id().alias("a"), *BOX).localCheckpoint()
+    to, qo = quadtree.tiles(one, ["a"], *BOX, 0.25), quadtree.quads(one, ["a"], *BOX, 0.25)
+    made = quadtree.overlay_tiles(to, tb.filter("b IS NOT NULL"), "a", "b", 0.25)
+    assert "Broadcast" not in made._jdf.queryExecution().executedPlan().toString()
+    assert found(made) == found(quadtree.overlay(qo, qb.filter("b IS NOT NULL"), "a", "b", 0.25))
+    order = lambda d: sorted(found(d.fillna(-1, ["b"])))
+    want = quadtree.areas(quadtree.dissolved(quadtree.shared(qa, qb, "a", "b"), ["b"]), ["b"], 0.25)
+    assert order(quadtree.united_areas(quadtree.shared_tiles(ta, tb, "a", "b"), ["b"], 0.25)) == order(want)
