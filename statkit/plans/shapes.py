@@ -142,13 +142,17 @@ b AS (SELECT s_suppkey AS b, (s_suppkey % 10) * 12 AS x0, (s_suppkey // 10) * 12
 """
 
 
-def _layers(t):
+def _boxes(t):
     k, s = F.col("p_partkey"), F.col("p_size")
     x, y = (k % 40) * 3, F.floor(k / 40) * 3
-    a = t("part").select(k.alias("a"), x.alias("x0"), y.alias("y0"), (x + 2 + s % 7).alias("x1"), (y + 1 + s % 5).alias("y1"))
+    a = t("part").select(k.alias("a"), "p_brand", x.alias("x0"), y.alias("y0"), (x + 2 + s % 7).alias("x1"), (y + 1 + s % 5).alias("y1"))
     k = F.col("s_suppkey")
     x, y = (k % 10) * 12, F.floor(k / 10) * 12
-    b = t("supplier").select(k.alias("b"), x.alias("x0"), y.alias("y0"), (x + 12).alias("x1"), (y + 12).alias("y1"))
+    return a, t("supplier").select(k.alias("b"), x.alias("x0"), y.alias("y0"), (x + 12).alias("x1"), (y + 12).alias("y1"))
+
+
+def _layers(t):
+    a, b = _boxes(t)
     box = ("x0", "y0", "x1", "y1")
     return cells.cover(a, ["a"], *box), cells.cover(b, ["b"], *box)
 
@@ -167,8 +171,8 @@ WITH p AS (SELECT DISTINCT p_brand, (p_partkey % 40) * 3 + x AS cx, (p_partkey /
 SELECT p_brand, count(*)::DOUBLE AS area FROM p GROUP BY 1""")
 def cell_dissolve(t, spark):
     """Area of each key's union."""
-    a, _ = _layers(t)
-    return cells.dissolve(a.join(t("part").select(F.col("p_partkey").alias("a"), "p_brand"), "a"), "p_brand")
+    a, _ = _boxes(t)
+    return cells.dissolve(cells.cover(a, ["p_brand"], "x0", "y0", "x1", "y1"), "p_brand")
 
 
 @query(BOXES + """

@@ -30,3 +30,12 @@ def test_a_mask_is_not_broadcast(spark):
     clipped = cells.clip(a, b.filter("b = 0"))
     assert "Broadcast" not in plan(clipped)
     assert clipped.filter("a = 10").count() == 230 * 130
+
+
+def test_cells_are_dissolved_in_as_many_tasks_as_they_fill(spark):
+    """What one task gathers before the first shuffle is bounded, however small the file of boxes."""
+    keyed = spark.range(40).select((F.col("id") % 2).alias("g"), *[(F.col("id") * 7 + n).alias(c) for c, n in zip(BOX, (0, 0, 300, 200), strict=True)])
+    made = cells.cover(keyed, ["g"], *BOX)
+    per_task = [r["n"] for r in made.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n")).collect()]
+    assert sum(per_task) == 40 * 300 * 200 and max(per_task) <= 1.2 * cells.TASK_CELLS
+    assert cells.dissolve(made, "g").filter("g = 0").first()["area"] == made.filter("g = 0").distinct().count()
