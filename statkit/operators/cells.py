@@ -52,7 +52,7 @@ def dissolve(cells: DataFrame, key: str, size: float = 1.0) -> DataFrame:
 def masks(left: DataFrame, right: DataFrame, size: float = 1.0) -> DataFrame:
     """One row: areas of the union, the intersection and both differences of two layers."""
     side = lambda d, n: d.select("cx", "cy").distinct().withColumn(n, F.lit(True))
-    both = side(left, "l").join(side(right, "r"), ["cx", "cy"], "full")
+    both = side(left, "l").join(shuffled(side(right, "r")), ["cx", "cy"], "full")
     area = lambda c: F.count_if(c) * F.lit(size * size)
     l, r = F.col("l").isNotNull(), F.col("r").isNotNull()  # noqa: E741
     return both.agg(area(l | r).alias("union_area"), area(l & r).alias("both_area"), area(l & ~r).alias("left_only"), area(~l & r).alias("right_only"))
@@ -65,7 +65,8 @@ def clip(cells: DataFrame, mask: DataFrame) -> DataFrame:
 
 def self_overlaps(cells: DataFrame, key: str, size: float = 1.0) -> DataFrame:
     """Cells that several keys claim, as one row: cells and area."""
-    shared = cells.groupBy("cx", "cy").agg(F.countDistinct(key).alias("n")).filter("n > 1")
+    # two keys at least if the smallest is not the largest; counting them would keep each key of a cell
+    shared = cells.groupBy("cx", "cy").agg(F.min(key).alias("low"), F.max(key).alias("high")).filter("low < high")
     return shared.agg(F.count(F.lit(1)).alias("cells"), (F.count(F.lit(1)) * F.lit(size * size)).alias("area"))
 
 

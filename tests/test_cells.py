@@ -39,3 +39,10 @@ def test_cells_are_dissolved_in_as_many_tasks_as_they_fill(spark):
     per_task = [r["n"] for r in made.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n")).collect()]
     assert sum(per_task) == 40 * 300 * 200 and max(per_task) <= 1.2 * cells.TASK_CELLS
     assert cells.dissolve(made, "g").filter("g = 0").first()["area"] == made.filter("g = 0").distinct().count()
+
+
+def test_cells_that_several_keys_claim_keep_two_keys_each(spark):
+    made = spark.createDataFrame([(1, 0, 0), (1, 0, 0), (2, 0, 0), (None, 0, 1), (3, 0, 1), (4, 1, 1), (5, 1, 1), (6, 1, 1)], "a int, cx int, cy int")
+    found = cells.self_overlaps(made, "a")
+    assert tuple(found.first()) == (2, 2.0)
+    assert plan(found).count("HashAggregate(keys=[cx") == 2  # one grouping; distinct keys would be a second one
