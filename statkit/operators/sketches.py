@@ -11,20 +11,21 @@ from pyspark.sql import functions as F
 LOG_K = 14  #: registers of a sketch, as a power of 2: a standard error of about 0.8 %
 
 
-def states(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+def states(df: DataFrame, columns: Sequence[str] | None = None, by: Sequence[str] = ()) -> DataFrame:
     """A row per column: column, rows, nulls, sketch (of distinct values), low, high (as text), integers, numbers, dates (values that read so).
 
     One aggregation, whatever the columns; no row is repeated for a column. An empty table gives rows with counts of 0.
+    by: columns that tell editions apart; each edition then has rows of its own, after `by`, from the same single pass.
     """
     parts = []
-    for c in columns or df.columns:
+    for c in columns or [c for c in df.columns if c not in by]:
         text = F.col(f"`{c}`").cast("string")
         reads = lambda kind, text=text: F.count_if(text.try_cast(kind).isNotNull())
         parts.append(F.struct(
             F.lit(c).alias("column"), F.count(F.lit(1)).alias("rows"), F.count_if(text.isNull()).alias("nulls"), F.hll_sketch_agg(text, F.lit(LOG_K)).alias("sketch"),
             F.min(text).alias("low"), F.max(text).alias("high"), reads("bigint").alias("integers"), reads("double").alias("numbers"), reads("date").alias("dates"),
         ))
-    return df.agg(F.array(*parts).alias("p")).select(F.inline("p"))
+    return df.groupBy(*by).agg(F.array(*parts).alias("p")).select(*by, F.inline("p"))
 
 
 def merged(states: DataFrame) -> DataFrame:

@@ -181,8 +181,7 @@ def merged_profile(t, spark):
     """Each year's profile state is stored; merged, they tell what a profile of all rows tells. Exact counts and frequent values on request."""
     rows = t("orders").select(F.col("o_orderkey").cast("string").alias("o_orderkey"), F.when(F.col("o_orderstatus") != "P", F.col("o_orderstatus")).alias("status"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"), F.year("o_orderdate").alias("year"))
     path, columns = landing(spark), ["o_orderkey", "status", "day"]
-    for year in sorted(r["year"] for r in rows.select("year").distinct().collect()):  # the editions
-        sketches.states(rows.filter(F.col("year") == year), columns).write.mode("append").parquet(path)
+    sketches.states(rows, columns, ["year"]).write.partitionBy("year").parquet(path)  # the editions, in one pass
     merged = sketches.shown(sketches.merged(spark.read.parquet(path)))
     whole = sketches.shown(sketches.states(rows, columns)).select("column", F.col("values").alias("whole"))
     exact = sketches.exact_values(rows, columns).withColumnRenamed("values", "exact")

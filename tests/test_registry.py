@@ -90,3 +90,12 @@ def test_wide_star_equals_single_joins(spark, monkeypatch, most):
 def test_morton_shards_are_spread(spark):
     shards = [r["shard"] for r in spark.range(2000).select(F.pmod(F.xxhash64(F.col("id").cast("string")), F.lit(registry.SHARDS)).alias("shard")).collect()]
     assert max(len(list(g)) for _, g in itertools.groupby(sorted(shards))) < 100
+
+
+def test_editions_are_profiled_in_one_pass(spark):
+    df = spark.range(300).select("id", F.col("id").cast("string").alias("v"), (F.col("id") % 3).alias("year"))
+    found = sketches.states(df, ["id", "v"], by=["year"])
+    assert found.count() == 6 and found.columns[:2] == ["year", "column"]
+    for year in range(3):
+        alone = sketches.states(df.filter(F.col("year") == year), ["id", "v"])
+        assert sorted(map(tuple, sketches.shown(found.filter(F.col("year") == year)).collect())) == sorted(map(tuple, sketches.shown(alone).collect()))
