@@ -23,11 +23,17 @@ def _same(left: DataFrame, right: DataFrame, keys: Sequence[str], prefix: str =
 
 
 def _keys(df: DataFrame, keys: Sequence[str], prefix: str = "__") -> DataFrame:
-    return df.select(*[F.col(k).alias(f"{prefix}{k}") for k in keys]).distinct()
+    return df.select(*[F.col(k).alias(f"{prefix}{k}") for k in keys])
 
 
 def one_per_key(incoming: DataFrame, keys: Sequence[str], order: Sequence[Column] | None = None) -> DataFrame:
-    return keep_one(incoming, list(keys), order or [F.col(c).asc_nulls_last() for c in incoming.columns])
+    """The first row of each key. Rows are dealt by key and by the task that they come from before they are sorted.
+
+    Spark sorts rows once before and once after they meet by key. Dealt so, the first sort has a shuffle's partitions, which
+    adaptive execution sizes, and not whole input splits; a key with very many rows is cut to one row a task before they meet.
+    """
+    dealt = incoming.repartition(*keys, F.spark_partition_id())
+    return keep_one(dealt, list(keys), order or [F.col(c).asc_nulls_last() for c in incoming.columns])
 
 
 def insert_ignore(target: DataFrame, incoming: DataFrame, keys: Sequence[str], order: Sequence[Column] | None = None) -> DataFrame:
@@ -55,13 +61,13 @@ def load(target: DataFrame, incoming: DataFrame, keys: Sequence[str], mode: str)
 
 def replace_scope(target: DataFrame, incoming: DataFrame, scope: Sequence[str]) -> DataFrame:
     """target without the rows of incoming's scopes (editions, years, cuts), and incoming (K5)."""
-    gone = _keys(incoming, scope)
+    gone = _keys(incoming, scope).distinct()
     return target.join(gone, _same(target, gone, scope), "left_anti").unionByName(incoming)
 
 
 def skip_loaded(incoming: DataFrame, target: DataFrame, scope: Sequence[str]) -> DataFrame:
     """incoming rows of scopes that the target has none of (K7)."""
-    known = _keys(target, scope)
+    known = _keys(target, scope).distinct()
     return incoming.join(known, _same(incoming, known, scope), "left_anti")
 
 

@@ -45,6 +45,21 @@ def test_upsert_with_null_keys_and_repeated_rows(spark):
     assert rows(loads.insert_ignore(target, new, ["k"])) == sorted([(1, "a", "x"), (None, "n", "y"), (2, "c", "q")], key=str)
 
 
+def test_rows_to_load_are_dealt_before_they_are_sorted(spark):
+    """No sort of whole input splits, no table of keys by hash; one row of a key that nearly all rows have, or that is null."""
+    new = spark.range(30_000, numPartitions=8).select(F.when(F.col("id") % 100 == 7, F.col("id")).when(F.col("id") % 100 != 8, 0).alias("k"), (-F.col("id")).alias("v"))
+    target = spark.range(0, 1000, 5).select(F.col("id").alias("k"), F.lit(1).cast("long").alias("v"))
+    kept = {r["k"]: r["v"] for r in target.collect()}
+    came = {k: -k for k in range(7, 30_000, 100)} | {0: -29_999, None: -29_908}
+    for load, want in ((loads.upsert, kept | came), (loads.insert_ignore, came | kept)):
+        found = load(target, new, ["k"])
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "HashAggregate" not in plan
+        sorts = [p.split("Range")[0] for p in plan.split(" Sort [")[1:]]
+        assert sorts and all(" Exchange " in p for p in sorts)
+        assert rows(found) == sorted(want.items(), key=str)
+
+
 def test_history_over_three_snapshots(spark):
     day = lambda d: F.lit(d).cast("date")
     snap = lambda *r: spark.createDataFrame(list(r), "k int, v string")
