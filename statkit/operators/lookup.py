@@ -14,9 +14,11 @@ from pyspark.sql import functions as F
 
 from statkit.functions.text import match_key
 from statkit.operators.ranking import numbered
+from statkit.operators.shared import shuffled
 
 
 PACKED = 20_000  #: entries of all dimensions that are packed into a plan's constant
+SMALL = 2_000_000  #: rows of a dimension that may be broadcast
 
 
 class UnmatchedKeys(ValueError):
@@ -38,6 +40,11 @@ def lookup(facts: DataFrame, dim: DataFrame, on: Sequence[str], take: Mapping[st
     return facts.join(right, same, "inner" if unmatched == "drop" else "left").drop(*[f"__{k}" for k in on])
 
 
+def counted(dim: DataFrame) -> DataFrame:
+    """dim for a join that may broadcast it only up to SMALL rows: by its file's size a table of many short rows seems small."""
+    return dim if dim.limit(SMALL + 1).count() <= SMALL else shuffled(dim)
+
+
 def unmatched_counts(facts: DataFrame, dim: DataFrame, on: Sequence[str]) -> DataFrame:
     """Keys of facts without an entry, with their rows."""
     return facts.join(dim.select(*on).distinct(), list(on), "left_anti").groupBy(*on).agg(F.count(F.lit(1)).alias("rows"))

@@ -188,7 +188,7 @@ def staged_load(t, spark):
     staged = t("lineitem").join(t("supplier"), F.col("s_suppkey") == F.col("l_suppkey")).join(t("nation").select("n_nationkey", "n_name"), F.col("n_nationkey") == F.col("s_nationkey"))
     staged = staged.select("l_orderkey", "l_linenumber", F.lower("n_name").alias("nation"), "l_partkey", F.col("l_quantity").alias("quantity"))
     facts = lookup.name_lookup(staged, t("nation"), "nation", "n_name", {"n_nationkey": "nation_id"})
-    facts = lookup.lookup(facts.withColumnRenamed("l_partkey", "p_partkey").withColumn("part_id", F.col("p_partkey")), t("part").select("p_partkey", "p_brand"), ["p_partkey"], {"p_brand": "brand"}, "drop")
+    facts = lookup.lookup(facts.withColumnRenamed("l_partkey", "p_partkey").withColumn("part_id", F.col("p_partkey")), lookup.counted(t("part").select("p_partkey", "p_brand")), ["p_partkey"], {"p_brand": "brand"}, "drop")
     facts = facts.select("l_orderkey", "l_linenumber", "nation_id", "part_id", "quantity")
     old = facts.filter("quantity > 40").withColumn("quantity", F.lit(0.0))
     return loads.upsert(old, facts, ["l_orderkey", "l_linenumber"])

@@ -23,6 +23,18 @@ def test_lookup_policies(spark):
         lookup.lookup(facts, dim, ["code"], {"label": "l"}, "raise")
 
 
+def test_a_dimension_of_many_rows_is_not_broadcast(spark, sf, monkeypatch):
+    """By its file's size it would be; the driver would hold all its rows."""
+    from statkit.plans import loading, registry
+
+    plan = lambda d: d._jdf.queryExecution().optimizedPlan().toString()
+    small = registry.QUERIES["staged_load"](spark, sf)
+    monkeypatch.setattr(lookup, "SMALL", 10)
+    large = registry.QUERIES["staged_load"](spark, sf)
+    assert loading and "strategy=merge" not in plan(small) and plan(large).count("strategy=merge") == 3
+    assert rows(large) == rows(small)
+
+
 def test_level_split_fails_on_gaps(spark):
     df = spark.createDataFrame([(1,), (5,)], "a int")
     with pytest.raises(ValueError, match="no level"):
