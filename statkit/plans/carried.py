@@ -40,7 +40,7 @@ def quad_overlay(t, spark):
 
 @query(FINE + """
 , k AS (SELECT b.b, a.a, greatest(a.x0, b.x0) AS x0, least(a.x0 + a.w, b.x0 + b.w) AS x1, greatest(a.y0, b.y0) AS y0, least(a.y0 + a.h, b.y0 + b.h) AS y1
-  FROM a JOIN b ON a.x0 < b.x0 + b.w AND b.x0 < a.x0 + a.w AND a.y0 < b.y0 + b.h AND b.y0 < a.y0 + a.h WHERE a.a % 5 = 0),
+  FROM a JOIN b ON a.x0 < b.x0 + b.w AND b.x0 < a.x0 + a.w AND a.y0 < b.y0 + b.h AND b.y0 < a.y0 + a.h),
 xs AS (SELECT b, x, lead(x) OVER (PARTITION BY b ORDER BY x) - x AS dx FROM (SELECT b, x0 AS x FROM k UNION SELECT b, x1 FROM k)),
 ys AS (SELECT b, y, lead(y) OVER (PARTITION BY b ORDER BY y) - y AS dy FROM (SELECT b, y0 AS y FROM k UNION SELECT b, y1 FROM k)),
 g AS (SELECT DISTINCT k.b, xs.x, ys.y, dx, dy FROM k JOIN xs ON xs.b = k.b AND xs.x >= x0 AND xs.x < x1 JOIN ys ON ys.b = k.b AND ys.y >= y0 AND ys.y < y1)
@@ -48,7 +48,7 @@ SELECT b, sum(dx * dy)::DOUBLE AS area FROM g GROUP BY b""")
 def quad_dissolve(t, spark):
     """The part of each unit that the union of all other boxes covers."""
     a, b = _fine(t)
-    return quadtree.united_areas(quadtree.shared_tiles(a.filter("a % 5 = 0"), b, "a", "b"), ["b"], 1 / 16)
+    return quadtree.united_areas(quadtree.shared_tiles(a, b, "a", "b"), ["b"], 1 / 16)
 
 
 @query("""

@@ -2,8 +2,10 @@
 
 import random
 
+import duckdb
 from pyspark.sql import functions as F
 
+from statkit import plans
 from statkit.operators import cells, quadtree
 
 BOX = ("x0", "y0", "x1", "y1")
@@ -79,3 +81,22 @@ def test_tiles_give_what_quads_give(spark):
     order = lambda d: sorted(found(d.fillna(-1, ["b"])))
     want = quadtree.areas(quadtree.dissolved(quadtree.shared(qa, qb, "a", "b"), ["b"]), ["b"], 0.25)
     assert order(quadtree.united_areas(quadtree.shared_tiles(ta, tb, "a", "b"), ["b"], 0.25)) == order(want)
+
+
+def test_every_box_counts_in_a_union(spark, tmp_path):
+    """quad_dissolve over boxes of all keys, in the query and in its SQL: each grid cell that any box covers, once."""
+    parts, units = [(1, 3), (2, 20), (3, 9), (4, 6), (5, 2), (41, 4), (83, 11)], [0, 1, 2, 10]
+    spark.createDataFrame(parts, "p_partkey long, p_size int").write.parquet(f"{tmp_path}/part.parquet")
+    spark.createDataFrame([(s,) for s in units], "s_suppkey long").write.parquet(f"{tmp_path}/supplier.parquet")
+    covered = set()
+    for k, size in parts:
+        x, y = k % 40 * 144 + size % 16, k // 40 % 50 * 112 + size % 5  # in units of 1/16
+        covered |= {(i, j) for i in range(x, x + 16 + size % 46 * 16 + k % 16) for j in range(y, y + 16 + size % 41 * 16 + 8)}
+    inside = lambda s: sum(i // 640 == s % 10 and j // 640 == s // 10 for i, j in covered) / 256
+    want = [(s, inside(s)) for s in units if inside(s)]
+    assert len(want) == 2
+    assert found(plans.QUERIES["quad_dissolve"](spark, str(tmp_path)).select("b", "area")) == want
+    con = duckdb.connect()
+    for name in ("part", "supplier"):
+        con.sql(f"CREATE VIEW {name} AS SELECT * FROM '{tmp_path}/{name}.parquet/*.parquet'")
+    assert sorted(con.sql(f"SELECT b, area FROM ({plans.ORACLE['quad_dissolve']})").fetchall()) == want
